@@ -1,0 +1,23 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded action proves it has at most
+``max_rows`` rows (``limit(max_rows + 1).count()`` never scans more than that
+many rows past the filters).  Above the bound the plain DataFrame is returned
+and Spark plans a shuffle join (AQE may still convert it at runtime from the
+measured shuffle size, and splits skewed partitions).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
