@@ -12,9 +12,10 @@ from pyspark.sql.types import StringType
 
 from workpulse.functions.expr import blank_to_null as _blank
 
-# Identifier keywords that mark a non-employee row.
-INVALID_ID_KEYWORDS = ("meal", "adj for", "total", "break", "lunch", "unpaid", "void",
-                       "header", "summary", "n/a")
+# Identifier keywords (case-insensitive substrings) that mark a
+# pay-code or comment fragment shifted into the employee id column.
+INVALID_ID_KEYWORDS = ("meal", "missed", "tardy", "late", "note", "voluntary", "punch",
+                       "traffic", "mbta", "adj for")
 TERMINATION_PREFIX = r"^Terminate_Employee_"
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
