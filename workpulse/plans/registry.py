@@ -41,4 +41,5 @@ def register(name: str, oracle: str | None = None):
 
 
 # Import the query modules for their registrations.
-from workpulse.plans import queries_core, queries_model, queries_silver  # noqa: E402,F401
+from workpulse.plans import (  # noqa: E402,F401
+    queries_core, queries_kpi, queries_model, queries_silver)
