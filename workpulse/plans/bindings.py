@@ -70,10 +70,7 @@ def punch(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> Data
     return ev.select(*cols)
 
 
-def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping typed extracts: file a = every punch; file b = every 3rd
-    event again (every 9th with different hours), plus every 15th event a
-    second time inside file b (hours + 2)."""
+def _extract_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = punch(spark, sf_dir, keep_event_id=True)
     eid = F.col("event_id")
     a = p.withColumns({"_source_file": F.lit("extract_a.csv"),
@@ -88,16 +85,22 @@ def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
           .withColumn("hours_worked", (F.col("hours_worked") + 2).cast("decimal(10,2)"))
           .withColumns({"_source_file": F.lit("extract_b.csv"),
                         "_ingested_at": F.lit(INGEST_B).cast("timestamp")}))
-    return (a.unionByName(b).unionByName(b2)
-            .drop("event_id").withColumn("_batch_id", F.lit(BATCH_ID)))
+    return a.unionByName(b).unionByName(b2).withColumn("_batch_id", F.lit(BATCH_ID))
+
+
+def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping typed extracts: file a = every punch; file b = every 3rd
+    event again (every 9th with different hours), plus every 15th event a
+    second time inside file b (hours + 2)."""
+    return _extract_e(spark, sf_dir).drop("event_id")
 
 
 def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string bronze rows of ``extract`` with injected defects:
-    ids 'Meal ...' (every 97th), '' (101st), NULL (103rd), 'x adj for' (109th);
-    pay code NULL (83rd) or blank (107th); hours a timestamp text (89th),
-    NULL (113th), negative (127th)."""
-    p = punch(spark, sf_dir, keep_event_id=True)
+    """All-string bronze rows of the overlapping extracts (lineage kept) with
+    injected defects: ids 'Meal ...' (every 97th event), '' (101st), NULL
+    (103rd), '...ADJ FOR' (109th); pay code NULL (83rd) or blank (107th);
+    hours a timestamp text (89th), NULL (113th), negative (127th)."""
+    p = _extract_e(spark, sf_dir)
     eid = F.col("event_id")
     ts_fmt = "yyyy-MM-dd HH:mm:ss.SSS"
     emp = F.col("client_employee_id")
@@ -121,7 +124,7 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("punch_out_datetime", ts_fmt).alias("punch_out_datetime"),
         F.date_format("scheduled_start_datetime", ts_fmt).alias("scheduled_start_datetime"),
         F.date_format("scheduled_end_datetime", ts_fmt).alias("scheduled_end_datetime"),
-        F.lit("extract_a.csv").alias("_source_file"),
+        "_source_file", "_ingested_at", "_batch_id",
     )
 
 

@@ -48,6 +48,62 @@ PUNCH_COLS = ("client_employee_id, department_id, department_name, pay_code, hou
               "punch_apply_date, punch_in_datetime, punch_out_datetime, "
               "scheduled_start_datetime, scheduled_end_datetime")
 
+
+def silver_chain(src: str, p: str) -> str:
+    """Silver timesheet rules over relation ``src`` as CTEs ``{p}1`` .. ``{p}_silver``."""
+    return f"""
+{p}1 AS (
+  SELECT *,
+    CASE WHEN punch_in_datetime IS NOT NULL AND punch_out_datetime IS NOT NULL
+      THEN date_diff('second', punch_in_datetime, punch_out_datetime) / 60 END AS actual_duration_minutes,
+    scheduled_start_datetime IS NOT NULL AND scheduled_end_datetime IS NOT NULL AS is_schedulable
+  FROM {src}
+),
+{p}2 AS (
+  SELECT *, {R("actual_duration_minutes / 60")} AS actual_duration_hours,
+    CASE WHEN is_schedulable THEN date_diff('second', scheduled_start_datetime, scheduled_end_datetime) / 60
+      END AS scheduled_duration_minutes
+  FROM {p}1
+),
+{p}3 AS (
+  SELECT *, {R("scheduled_duration_minutes / 60")} AS scheduled_duration_hours,
+    CASE WHEN is_schedulable AND punch_in_datetime IS NOT NULL
+      THEN date_diff('second', scheduled_start_datetime, punch_in_datetime) / 60 END AS arrival_variance_minutes,
+    CASE WHEN is_schedulable AND punch_out_datetime IS NOT NULL
+      THEN date_diff('second', punch_out_datetime, scheduled_end_datetime) / 60 END AS departure_variance_minutes,
+    CASE WHEN is_schedulable AND actual_duration_minutes IS NOT NULL
+      THEN actual_duration_minutes - scheduled_duration_minutes END AS schedule_variance_minutes,
+    actual_duration_hours > 24 AS is_excessive_duration
+  FROM {p}2
+),
+{p}4 AS (
+  SELECT *,
+    CASE WHEN arrival_variance_minutes > 5 THEN {R("arrival_variance_minutes")} ELSE 0.0 END AS late_arrival_minutes,
+    CASE WHEN departure_variance_minutes > 5 THEN {R("departure_variance_minutes")} ELSE 0.0 END AS early_departure_minutes,
+    CASE WHEN schedule_variance_minutes > 5 THEN {R("schedule_variance_minutes")} ELSE 0.0 END AS overtime_minutes
+  FROM {p}3
+),
+{p}_silver AS (
+  SELECT *,
+    late_arrival_minutes > 0 AS is_late_arrival,
+    early_departure_minutes > 0 AS is_early_departure,
+    {R("overtime_minutes / 60")} AS overtime_hours,
+    overtime_minutes > 0 AS is_overtime,
+    CASE WHEN hours_worked IS NOT NULL AND actual_duration_hours IS NOT NULL
+      THEN {R("CAST(hours_worked AS DOUBLE) - actual_duration_hours")} END AS hours_worked_vs_punch_variance,
+    len(string_split(pay_code, '|')) AS pay_code_count,
+    len(string_split(pay_code, '|')) > 1 AS has_multiple_pay_codes,
+    len(list_filter(string_split(pay_code, '|'), lambda x: regexp_matches(trim(x), '{OT}'))) > 0
+      AS has_overtime_pay_code,
+    len(list_filter(string_split(pay_code, '|'), lambda x: regexp_matches(trim(x), '{LEAVE}'))) > 0
+      AS has_leave_pay_code,
+    {TIMESHEET_ID} AS timesheet_id,
+    client_employee_id IN (SELECT client_employee_id FROM e_ids) AS employee_master_match
+  FROM {p}4
+)
+"""
+
+
 CTES = f"""
 b_punch_e AS (
   SELECT event_id,
@@ -70,22 +126,23 @@ b_punch_e AS (
   FROM events
 ),
 b_punch AS (SELECT {PUNCH_COLS} FROM b_punch_e),
-b_extract AS (
-  SELECT {PUNCH_COLS}, 'extract_a.csv' AS _source_file,
+b_extract_e AS (
+  SELECT event_id, {PUNCH_COLS}, 'extract_a.csv' AS _source_file,
     TIMESTAMP '2024-02-01 00:00:00' AS _ingested_at, '20240201_000000' AS _batch_id FROM b_punch_e
   UNION ALL
-  SELECT client_employee_id, department_id, department_name, pay_code,
+  SELECT event_id, client_employee_id, department_id, department_name, pay_code,
     CAST(CASE WHEN event_id % 9 = 0 THEN hours_worked + 1 ELSE hours_worked END AS DECIMAL(10,2)),
     punch_apply_date, punch_in_datetime, punch_out_datetime, scheduled_start_datetime,
     scheduled_end_datetime, 'extract_b.csv', TIMESTAMP '2024-02-02 00:00:00', '20240201_000000'
   FROM b_punch_e WHERE event_id % 3 = 0
   UNION ALL
-  SELECT client_employee_id, department_id, department_name, pay_code,
+  SELECT event_id, client_employee_id, department_id, department_name, pay_code,
     CAST(hours_worked + 2 AS DECIMAL(10,2)),
     punch_apply_date, punch_in_datetime, punch_out_datetime, scheduled_start_datetime,
     scheduled_end_datetime, 'extract_b.csv', TIMESTAMP '2024-02-02 00:00:00', '20240201_000000'
   FROM b_punch_e WHERE event_id % 15 = 0
 ),
+b_extract AS (SELECT * EXCLUDE (event_id) FROM b_extract_e),
 b_raw AS (
   SELECT
     CASE WHEN event_id % 97 = 0 THEN 'Meal ' || client_employee_id
@@ -104,8 +161,8 @@ b_raw AS (
     strftime(punch_out_datetime, '%Y-%m-%d %H:%M:%S.%g') AS punch_out_datetime,
     strftime(scheduled_start_datetime, '%Y-%m-%d %H:%M:%S.%g') AS scheduled_start_datetime,
     strftime(scheduled_end_datetime, '%Y-%m-%d %H:%M:%S.%g') AS scheduled_end_datetime,
-    'extract_a.csv' AS _source_file
-  FROM b_punch_e
+    _source_file, _ingested_at, _batch_id
+  FROM b_extract_e
 ),
 e_first AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS hire FROM orders GROUP BY o_custkey),
 e_base AS (
@@ -166,55 +223,7 @@ b_employee AS (
       AS is_early_attrition
   FROM e1
 ),
-t1 AS (
-  SELECT *,
-    CASE WHEN punch_in_datetime IS NOT NULL AND punch_out_datetime IS NOT NULL
-      THEN date_diff('second', punch_in_datetime, punch_out_datetime) / 60 END AS actual_duration_minutes,
-    scheduled_start_datetime IS NOT NULL AND scheduled_end_datetime IS NOT NULL AS is_schedulable
-  FROM b_punch
-),
-t2 AS (
-  SELECT *, {R("actual_duration_minutes / 60")} AS actual_duration_hours,
-    CASE WHEN is_schedulable THEN date_diff('second', scheduled_start_datetime, scheduled_end_datetime) / 60
-      END AS scheduled_duration_minutes
-  FROM t1
-),
-t3 AS (
-  SELECT *, {R("scheduled_duration_minutes / 60")} AS scheduled_duration_hours,
-    CASE WHEN is_schedulable AND punch_in_datetime IS NOT NULL
-      THEN date_diff('second', scheduled_start_datetime, punch_in_datetime) / 60 END AS arrival_variance_minutes,
-    CASE WHEN is_schedulable AND punch_out_datetime IS NOT NULL
-      THEN date_diff('second', punch_out_datetime, scheduled_end_datetime) / 60 END AS departure_variance_minutes,
-    CASE WHEN is_schedulable AND actual_duration_minutes IS NOT NULL
-      THEN actual_duration_minutes - scheduled_duration_minutes END AS schedule_variance_minutes,
-    actual_duration_hours > 24 AS is_excessive_duration
-  FROM t2
-),
-t4 AS (
-  SELECT *,
-    CASE WHEN arrival_variance_minutes > 5 THEN {R("arrival_variance_minutes")} ELSE 0.0 END AS late_arrival_minutes,
-    CASE WHEN departure_variance_minutes > 5 THEN {R("departure_variance_minutes")} ELSE 0.0 END AS early_departure_minutes,
-    CASE WHEN schedule_variance_minutes > 5 THEN {R("schedule_variance_minutes")} ELSE 0.0 END AS overtime_minutes
-  FROM t3
-),
-t_silver AS (
-  SELECT *,
-    late_arrival_minutes > 0 AS is_late_arrival,
-    early_departure_minutes > 0 AS is_early_departure,
-    {R("overtime_minutes / 60")} AS overtime_hours,
-    overtime_minutes > 0 AS is_overtime,
-    CASE WHEN hours_worked IS NOT NULL AND actual_duration_hours IS NOT NULL
-      THEN {R("CAST(hours_worked AS DOUBLE) - actual_duration_hours")} END AS hours_worked_vs_punch_variance,
-    len(string_split(pay_code, '|')) AS pay_code_count,
-    len(string_split(pay_code, '|')) > 1 AS has_multiple_pay_codes,
-    len(list_filter(string_split(pay_code, '|'), lambda x: regexp_matches(trim(x), '{OT}'))) > 0
-      AS has_overtime_pay_code,
-    len(list_filter(string_split(pay_code, '|'), lambda x: regexp_matches(trim(x), '{LEAVE}'))) > 0
-      AS has_leave_pay_code,
-    {TIMESHEET_ID} AS timesheet_id,
-    client_employee_id IN (SELECT client_employee_id FROM e_ids) AS employee_master_match
-  FROM t4
-)
+{silver_chain("b_punch", "t")}
 """
 
 

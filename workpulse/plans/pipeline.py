@@ -42,3 +42,62 @@ def silver_employee(raw: DataFrame, as_of: dt.date | str, early_days: int = 90)
                                      "manager_exists", null_when_missing=True)
     e = workforce.with_tenure(e, as_of)
     return workforce.with_early_attrition(e, early_days)
+
+
+# --------------------------------------------------------------------------- timesheet
+
+TIMESHEET_TIMESTAMPS = ("punch_in_datetime", "punch_out_datetime", "scheduled_start_datetime",
+                        "scheduled_end_datetime")
+TIMESHEET_STRINGS = ("client_employee_id", "department_id", "department_name", "pay_code")
+
+
+def timesheet_reasons() -> dict:
+    """Ordered quarantine rules for bronze timesheet rows (first match wins)."""
+    from workpulse.functions import expr as X
+    return {
+        "invalid_employee_id": X.invalid_identifier("client_employee_id", clean.INVALID_ID_KEYWORDS),
+        "missing_pay_code": X.blank_to_null("pay_code").isNull(),
+        "malformed_hours_worked": X.malformed_numeric("hours_worked"),
+        "missing_hours_worked": F.col("hours_worked").isNull(),
+        "invalid_punch_apply_date": F.try_to_date("punch_apply_date", clean.DATE_FORMAT).isNull(),
+    }
+
+
+def type_timesheet(good: DataFrame) -> DataFrame:
+    """Trim/blank->NULL the text columns, then tolerant date/timestamp/decimal casts."""
+    t = clean.blank_to_null(good, [c for c in TIMESHEET_STRINGS if c in good.columns])
+    t = clean.cast_dates(t, ["punch_apply_date"])
+    t = clean.cast_timestamps(t, [c for c in TIMESHEET_TIMESTAMPS if c in t.columns])
+    return clean.cast_columns(t, {"hours_worked": "decimal(10,2)"}, strict=False)
+
+
+def apply_timesheet_rules(t: DataFrame, master: DataFrame | None, grace_minutes: float = 5
+                          ) -> DataFrame:
+    """Durations, adherence, declared-vs-punched, pay-code count/flags,
+    surrogate id and (when a master is given) the master match flag."""
+    from workpulse.operators import attendance, codes, keys
+    t = attendance.with_durations(t)
+    t = attendance.with_schedule_adherence(t, grace_minutes=grace_minutes)
+    t = attendance.with_hours_variance(t)
+    t = codes.with_packed_count(t)
+    t = codes.with_code_flags(t)
+    t = keys.with_surrogate_key(t, keys.TIMESHEET_KEY, "timesheet_id")
+    if master is not None:
+        t = refs.with_reference_flag(t, "client_employee_id", master, "client_employee_id",
+                                     "employee_master_match", null_when_missing=False)
+    return t
+
+
+def silver_timesheet(raw: DataFrame, master: DataFrame | None, grace_minutes: float = 5,
+                     checked_at=None, null_key_policy: str = "collapse"
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Bronze timesheet -> (silver timesheet, quarantine).
+
+    quarantine split -> typing -> dedup on the natural key (count of copies
+    kept) -> attendance rules and flags.  Dedup runs before the rules so they
+    evaluate each punch once."""
+    from workpulse.operators import keys, quarantine
+    good, bad = quarantine.split_quarantine(raw, timesheet_reasons(), checked_at=checked_at)
+    typed = type_timesheet(good)
+    deduped = keys.deduplicate(typed, null_key_policy=null_key_policy)
+    return apply_timesheet_rules(deduped, master, grace_minutes), bad

@@ -125,7 +125,8 @@ SELECT client_employee_id, department_id, department_name, trim(pay_code) AS pay
   TRY_CAST(punch_in_datetime AS TIMESTAMP) AS punch_in_datetime,
   TRY_CAST(punch_out_datetime AS TIMESTAMP) AS punch_out_datetime,
   TRY_CAST(scheduled_start_datetime AS TIMESTAMP) AS scheduled_start_datetime,
-  TRY_CAST(scheduled_end_datetime AS TIMESTAMP) AS scheduled_end_datetime, _source_file
+  TRY_CAST(scheduled_end_datetime AS TIMESTAMP) AS scheduled_end_datetime, _source_file,
+  _ingested_at, _batch_id
 FROM b_raw WHERE ({REASON_SQL}) IS NULL""")
 def quarantine_good(spark, sf):
     """FLT3/FLT4/PRJ6/PRJ9: clean rows, typed (tolerant casts)."""
