@@ -20,6 +20,22 @@ def c(x: ColLike) -> Column:
 
 # --------------------------------------------------------------------------- numbers
 
+ROUND_FUNCTION = "wp_round_half_up"
+_ROUND_SQL = (f"CREATE OR REPLACE TEMPORARY FUNCTION {ROUND_FUNCTION}(x DOUBLE, k DOUBLE) "
+              "RETURNS DOUBLE RETURN CAST(CASE WHEN x < 0 THEN -floor(-x * k + 0.500000001) "
+              "ELSE floor(x * k + 0.500000001) END AS DOUBLE) / k")
+_registered: set[int] = set()
+
+
+def _ensure_round_function() -> None:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    key = id(spark)
+    if key not in _registered:
+        spark.sql(_ROUND_SQL)
+        _registered.add(key)
+
+
 def rnd(x: ColLike, scale: int = 2) -> Column:
     """HALF_UP rounding of a double to ``scale`` decimals.
 
@@ -27,12 +43,10 @@ def rnd(x: ColLike, scale: int = 2) -> Column:
     ``round(1.005, 2) = 1.01``.  ``floor(|x|*10^s + 0.500000001)`` reproduces
     that on every value we probed and is evaluated the same way by any IEEE
     engine, which keeps results comparable across engines.  The integer step
-    also never yields ``-0.0``.
-    """
-    k = float(10 ** scale)
-    v = c(x).cast("double")
-    ticks = F.when(v < 0, -F.floor(-v * k + 0.500000001)).otherwise(F.floor(v * k + 0.500000001))
-    return F.when(v.isNotNull(), ticks.cast("double") / k)
+    also never yields ``-0.0``.  It is a SQL function (inlined by the
+    analyzer, so it stays inside whole-stage codegen)."""
+    _ensure_round_function()
+    return F.call_function(ROUND_FUNCTION, c(x).cast("double"), F.lit(float(10 ** scale)))
 
 
 def pct(numerator: ColLike, denominator: ColLike, scale: int = 2) -> Column:
@@ -61,12 +75,13 @@ def blank_to_null(x: ColLike) -> Column:
 
 def invalid_identifier(x: ColLike, keywords: Sequence[str] = ()) -> Column:
     """True when an identifier is null, blank, contains a space or contains one of
-    ``keywords`` (case-insensitive).  Never null."""
+    ``keywords`` (case-insensitive).  Never null.  The keywords are one regex
+    alternation (a single pass over the string, one predicate for the optimizer)."""
+    import re
     v = c(x)
     bad = v.isNull() | (F.trim(v) == "") | v.contains(" ")
-    low = F.lower(v)
-    for kw in keywords:
-        bad = bad | low.contains(kw.lower())
+    if keywords:
+        bad = bad | v.rlike("(?i)(" + "|".join(re.escape(k) for k in keywords) + ")")
     return F.coalesce(bad, F.lit(True))
 
 

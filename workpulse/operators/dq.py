@@ -1,36 +1,53 @@
 """Data-quality engine.
 
-A ``Check`` declares aggregate metrics (Columns) over a frame and turns them
-into a report record with Column expressions (pass rule, actual value text,
-message).  ``dq_report`` groups checks by the frame they read and compiles
-each group into **one** aggregate: a table with twenty row-level checks is
-scanned once, not twenty times.  Uniqueness and reference checks read a
-derived frame (grouped keys, anti-joined keys) and form their own group.
-The report is a lazy DataFrame with the record schema below; ``dq_gate``
-reduces it to one verdict row and ``enforce_gate`` raises on FAIL.
+A ``Check`` declares aggregate metrics over a frame (SQL aggregate text or
+Columns) and SQL templates over those metrics for the pass rule, the actual
+value text and the message (``{name}`` stands for metric ``name``).
+``dq_report`` groups checks by the frame they read and compiles each group
+into **one** aggregate: a table with twenty row-level checks is scanned once,
+not twenty times.  Uniqueness, reference and reconciliation checks read a
+derived frame (grouped keys, joined key sets, one-row counts) and form their
+own group.  The report is a lazy DataFrame with the 11-field record schema;
+``dq_gate`` reduces it to one verdict row and ``enforce_gate`` raises on FAIL.
 
 Schema and availability checks inspect metadata only (``df.schema``,
-``spark.catalog``) and run over a one-row frame.
+``spark.catalog``) and evaluate over a one-row frame.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 Frames = Mapping[str, DataFrame]
-Metrics = dict[str, Column]
+REPORT_FIELDS = ("check_id", "check_name", "layer", "table_name", "check_type", "severity",
+                 "actual_value", "expected_value", "status", "message", "checked_at")
 
-REPORT_SCHEMA = StructType([
-    StructField(n, StringType()) for n in
-    ("check_id", "check_name", "layer", "table_name", "check_type", "severity",
-     "actual_value", "expected_value", "status", "message")
-] + [StructField("checked_at", TimestampType())])
+
+def q(text: str) -> str:
+    """SQL string literal."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def txt(name: str) -> str:
+    """Template piece: a metric as text (NULL shown as 'null')."""
+    return f"coalesce(cast({{{name}}} as string), 'null')"
+
+
+def concat(*parts: str) -> str:
+    """SQL concat of template pieces; plain strings become literals unless they
+    already are SQL (start with ``coalesce(`` / ``cast(``)."""
+    return "concat(" + ", ".join(p if p.startswith(("coalesce(", "cast(")) else q(p)
+                                  for p in parts) + ")"
+
+
+def cnt(pred_sql: str) -> str:
+    return f"count(CASE WHEN {pred_sql} THEN 1 END)"
 
 
 @dataclass
@@ -40,29 +57,23 @@ class Check:
     table_name: str
     check_type: str
     severity: str
-    metrics: Metrics
-    passed: Callable[[Metrics], Column]
-    actual: Callable[[Metrics], Column]
-    expected: str
-    message: Callable[[Metrics], Column]
+    metrics: dict[str, str | Column]
+    passed: str          # SQL boolean template
+    actual: str          # SQL string template
+    expected: str        # plain text
+    message: str         # SQL string template
     fail_status: str = "FAIL"
     layer: str = "silver"
     frame_key: str | None = None          # defaults to table_name
     frame: Callable[[Frames], DataFrame] | None = field(default=None, repr=False)
 
 
-def _txt(x) -> Column:
-    return x.cast("string") if isinstance(x, Column) else F.lit(str(x))
-
-
-def fmt(*parts) -> Column:
-    """concat of literal text and metric Columns (nulls shown as 'null')."""
-    return F.concat(*[F.coalesce(_txt(p), F.lit("null")) if isinstance(p, Column) else F.lit(p)
-                      for p in parts])
+def _status_default(severity: str) -> str:
+    return "FAIL" if severity == "CRITICAL" else "WARNING"
 
 
-def cnt(pred: Column) -> Column:
-    return F.count(F.when(pred, 1))
+def _ident(col: str) -> str:
+    return f"`{col}`"
 
 
 # --------------------------------------------------------------------------- builders
@@ -70,19 +81,18 @@ def cnt(pred: Column) -> Column:
 def check_complete(cid, table, col, severity="CRITICAL", fail_status=None, layer="silver",
                    name=None) -> Check:
     """Null or blank values in ``col``."""
-    c = F.col(col)
+    c = _ident(col)
     return Check(cid, name or f"{col} completeness (null + blank)", table, "completeness", severity,
-                 {"nulls": cnt(c.isNull()), "blanks": cnt(F.trim(c.cast("string")) == "")},
-                 lambda m: (m["nulls"] + m["blanks"]) == 0,
-                 lambda m: fmt("nulls=", m["nulls"], ", blanks=", m["blanks"]),
-                 "nulls=0, blanks=0",
-                 lambda m: fmt(m["nulls"], " null and ", m["blanks"], " blank values in ", col, "."),
-                 fail_status or ("FAIL" if severity == "CRITICAL" else "WARNING"), layer)
+                 {"nulls": cnt(f"{c} IS NULL"), "blanks": cnt(f"trim(cast({c} as string)) = ''")},
+                 "{nulls} + {blanks} = 0",
+                 concat("nulls=", txt("nulls"), ", blanks=", txt("blanks")), "nulls=0, blanks=0",
+                 concat(txt("nulls"), " null and ", txt("blanks"), f" blank values in {col}."),
+                 fail_status or _status_default(severity), layer)
 
 
 def check_unique(cid, table, keys: Sequence[str], severity="CRITICAL", fail_status="FAIL",
                  layer="silver", require_non_null=False, name=None) -> Check:
-    """Keys appearing more than once (one grouped pass)."""
+    """Keys appearing more than once (one grouped pass per key list)."""
     keys = list(keys)
 
     def frame(frames: Frames) -> DataFrame:
@@ -92,105 +102,91 @@ def check_unique(cid, table, keys: Sequence[str], severity="CRITICAL", fail_stat
                 df = df.filter(F.col(k).isNotNull())
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
-    n = F.col("_n")
     return Check(cid, name or f"{', '.join(keys)} uniqueness", table, "uniqueness", severity,
-                 {"dup_groups": cnt(n > 1),
-                  "extra_rows": F.coalesce(F.sum(F.when(n > 1, n - 1)), F.lit(0))},
-                 lambda m: m["dup_groups"] == 0,
-                 lambda m: _txt(m["dup_groups"]), "0",
-                 lambda m: fmt(m["dup_groups"], " duplicate key groups (", m["extra_rows"],
-                               " extra rows) on ", ", ".join(keys), "."),
-                 fail_status, layer, frame_key=f"{table}|unique|{','.join(keys)}|{require_non_null}",
-                 frame=frame)
+                 {"dup_groups": cnt("_n > 1"),
+                  "extra_rows": "coalesce(sum(CASE WHEN _n > 1 THEN _n - 1 END), 0)"},
+                 "{dup_groups} = 0", txt("dup_groups"), "0",
+                 concat(txt("dup_groups"), " duplicate key groups (", txt("extra_rows"),
+                        f" extra rows) on {', '.join(keys)}."),
+                 fail_status, layer,
+                 frame_key=f"{table}|unique|{','.join(keys)}|{require_non_null}", frame=frame)
 
 
-def check_predicate(cid, table, name, violations: Mapping[str, Column], severity="CRITICAL",
+def check_predicate(cid, table, name, violations: Mapping[str, str], severity="CRITICAL",
                     fail_status=None, check_type="validity", layer="silver") -> Check:
-    """Each named predicate marks violating rows; PASS when all counts are 0."""
-    metrics = {k: cnt(v) for k, v in violations.items()}
-    names = list(metrics)
-
-    def total(m):
-        out = F.lit(0)
-        for k in names:
-            out = out + m[k]
-        return out
-
-    def actual(m):
-        parts = []
-        for i, k in enumerate(names):
-            parts += ([", "] if i else []) + [f"{k}=", m[k]]
-        return fmt(*parts)
-    return Check(cid, name, table, check_type, severity, metrics,
-                 lambda m: total(m) == 0, actual, ", ".join(f"{k}=0" for k in names),
-                 lambda m: fmt(total(m), " violating rows."),
-                 fail_status or ("FAIL" if severity == "CRITICAL" else "WARNING"), layer)
+    """Each named SQL predicate marks violating rows; PASS when all counts are 0."""
+    names = list(violations)
+    total = " + ".join(f"{{{k}}}" for k in names)
+    pieces = []
+    for i, k in enumerate(names):
+        pieces += ([", "] if i else []) + [f"{k}=", txt(k)]
+    return Check(cid, name, table, check_type, severity,
+                 {k: cnt(v) for k, v in violations.items()},
+                 f"{total} = 0", concat(*pieces), ", ".join(f"{k}=0" for k in names),
+                 concat(f"cast({total} as string)", " violating rows."),
+                 fail_status or _status_default(severity), layer)
 
 
 def check_range(cid, table, col, low=None, high=None, severity="CRITICAL", fail_status=None,
                 layer="silver", name=None) -> Check:
     """Values outside [low, high]; nulls and zeros are only reported."""
-    c = F.col(col)
-    bad = F.lit(False)
-    if low is not None:
-        bad = bad | (c < low)
-    if high is not None:
-        bad = bad | (c > high)
-    metrics = {"out_of_range": cnt(bad), "nulls": cnt(c.isNull()), "zeros": cnt(c == 0)}
-    return Check(cid, name or f"{col} range [{low}, {high}]", table, "validity", severity, metrics,
-                 lambda m: m["out_of_range"] == 0,
-                 lambda m: fmt("out_of_range=", m["out_of_range"], ", nulls=", m["nulls"],
-                               ", zeros=", m["zeros"]),
+    c = _ident(col)
+    bad = " OR ".join(([f"{c} < {low}"] if low is not None else []) +
+                      ([f"{c} > {high}"] if high is not None else [])) or "FALSE"
+    return Check(cid, name or f"{col} range [{low}, {high}]", table, "validity", severity,
+                 {"out_of_range": cnt(bad), "nulls": cnt(f"{c} IS NULL"), "zeros": cnt(f"{c} = 0")},
+                 "{out_of_range} = 0",
+                 concat("out_of_range=", txt("out_of_range"), ", nulls=", txt("nulls"),
+                        ", zeros=", txt("zeros")),
                  "out_of_range=0",
-                 lambda m: fmt(m["out_of_range"], " values of ", col, " outside [", str(low), ", ",
-                               str(high), "]."),
-                 fail_status or ("FAIL" if severity == "CRITICAL" else "WARNING"), layer)
+                 concat(txt("out_of_range"), f" values of {col} outside "
+                        f"[{'-inf' if low is None else low}, {'inf' if high is None else high}]."),
+                 fail_status or _status_default(severity), layer)
 
 
-def check_flag_rule(cid, table, flag, variance, threshold=5, guard: Column | None = None,
+def check_flag_rule(cid, table, flag, variance, threshold=5, guard: str = "TRUE",
                     severity="CRITICAL", fail_status="FAIL", layer="silver") -> Check:
     """Flag must equal ``variance > threshold`` on guarded rows (both directions)."""
-    g = F.lit(True) if guard is None else guard
-    f, v = F.col(flag), F.coalesce(F.col(variance) > threshold, F.lit(False))
-    metrics = {"flag_without_variance": cnt(g & f & ~v), "variance_without_flag": cnt(g & ~f & v)}
+    f, v = _ident(flag), f"coalesce({_ident(variance)} > {threshold}, FALSE)"
     return Check(cid, f"{flag} matches {variance} > {threshold}", table, "business_rule", severity,
-                 metrics,
-                 lambda m: (m["flag_without_variance"] + m["variance_without_flag"]) == 0,
-                 lambda m: fmt("flag_without_variance=", m["flag_without_variance"],
-                               ", variance_without_flag=", m["variance_without_flag"]),
+                 {"flag_without_variance": cnt(f"({guard}) AND {f} AND NOT {v}"),
+                  "variance_without_flag": cnt(f"({guard}) AND NOT {f} AND {v}")},
+                 "{flag_without_variance} + {variance_without_flag} = 0",
+                 concat("flag_without_variance=", txt("flag_without_variance"),
+                        ", variance_without_flag=", txt("variance_without_flag")),
                  "flag_without_variance=0, variance_without_flag=0",
-                 lambda m: fmt(m["flag_without_variance"] + m["variance_without_flag"],
-                               " rows disagree with the rule."), fail_status, layer)
+                 concat("cast({flag_without_variance} + {variance_without_flag} as string)",
+                        " rows disagree with the rule."), fail_status, layer)
 
 
-def check_count_equals(cid, table, name, flagged: Column, recomputed: Column,
-                       severity="WARNING", fail_status="FAIL", layer="silver") -> Check:
+def check_count_equals(cid, table, name, flagged: str, recomputed: str, severity="WARNING",
+                       fail_status="FAIL", layer="silver") -> Check:
     """Count of a stored flag equals the count of its recomputation."""
-    metrics = {"flagged": cnt(flagged), "recomputed": cnt(recomputed)}
-    return Check(cid, name, table, "business_rule", severity, metrics,
-                 lambda m: m["flagged"] == m["recomputed"],
-                 lambda m: fmt("flagged=", m["flagged"], ", recomputed=", m["recomputed"]),
+    return Check(cid, name, table, "business_rule", severity,
+                 {"flagged": cnt(flagged), "recomputed": cnt(recomputed)},
+                 "{flagged} = {recomputed}",
+                 concat("flagged=", txt("flagged"), ", recomputed=", txt("recomputed")),
                  "flagged=recomputed",
-                 lambda m: fmt(m["flagged"], " flagged vs ", m["recomputed"], " recomputed."),
+                 concat(txt("flagged"), " flagged vs ", txt("recomputed"), " recomputed."),
                  fail_status, layer)
 
 
 def check_reference(cid, fact, fk, master, pk, severity="WARNING", fail_status="WARNING",
                     layer="silver") -> Check:
-    """Distinct fact keys missing from the master (left anti on key sets)."""
+    """Distinct fact keys missing from the master (distinct key sets joined)."""
     def frame(frames: Frames) -> DataFrame:
         keys = frames[fact].select(F.col(fk).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
         ref = frames[master].select(F.col(pk).alias("_r")).distinct().withColumn("_hit", F.lit(True))
         return keys.join(ref, keys["_k"] == ref["_r"], "left")
 
-    metrics = {"distinct_keys": F.count(F.lit(1)), "unmatched": cnt(F.col("_hit").isNull())}
     return Check(cid, f"{fact}.{fk} -> {master}.{pk}", fact, "referential_integrity", severity,
-                 metrics, lambda m: m["unmatched"] == 0,
-                 lambda m: fmt("unmatched=", m["unmatched"], " of ", m["distinct_keys"]),
+                 {"distinct_keys": "count(1)", "unmatched": cnt("_hit IS NULL")},
+                 "{unmatched} = 0",
+                 concat("unmatched=", txt("unmatched"), " of ", txt("distinct_keys")),
                  "unmatched=0",
-                 lambda m: fmt(m["unmatched"], " distinct ", fk, " values (",
-                               F.round(m["unmatched"] * 100.0 / m["distinct_keys"], 2),
-                               "%) have no master row."),
+                 concat(txt("unmatched"), f" distinct {fk} values (",
+                        "cast(round({unmatched} * 100.0 / {distinct_keys}, 2) as string)",
+                        "%) have no master row."),
                  fail_status, layer, frame_key=f"{fact}|ref|{fk}|{master}|{pk}", frame=frame)
 
 
@@ -212,38 +208,36 @@ def check_reconcile(cid, name, source, target, removed: Sequence = (), max_gap=N
             out = one if out is None else out.crossJoin(one)
         return out
 
-    metrics = {lab: F.max(f"_c_{lab}") for lab in labels}
-
-    def gap(m):
-        g = m[src] - m[tgt]
-        for r in rem:
-            g = g - m[r]
-        return g
-
-    def ok(m):
-        rule = gap(m) >= 0
-        return rule if max_gap is None else rule & (gap(m) <= max_gap)
-    return Check(cid, name, tgt, "reconciliation", severity, metrics, ok,
-                 lambda m: fmt(src, "=", m[src], ", ", tgt, "=", m[tgt],
-                               *[p for r in rem for p in (", ", r, "=", m[r])],
-                               ", unexplained_gap=", gap(m)),
+    gap = "({" + src + "} - {" + tgt + "}" + "".join(f" - {{{r}}}" for r in rem) + ")"
+    rule = f"{gap} >= 0" + (f" AND {gap} <= {max_gap}" if max_gap is not None else "")
+    pieces = [f"{src}=", txt(src), f", {tgt}=", txt(tgt)]
+    for r in rem:
+        pieces += [f", {r}=", txt(r)]
+    pieces += [", unexplained_gap=", f"cast({gap} as string)"]
+    return Check(cid, name, tgt, "reconciliation", severity,
+                 {lab: f"max(_c_{lab})" for lab in labels}, rule, concat(*pieces),
                  "unexplained_gap>=0" if max_gap is None else f"0<=unexplained_gap<={max_gap}",
-                 lambda m: fmt("unexplained gap of ", gap(m), " rows."),
+                 concat("unexplained gap of ", f"cast({gap} as string)", " rows."),
                  fail_status, layer, frame_key=f"reconcile|{'|'.join(labels)}", frame=frame)
 
 
 def check_non_empty(cid, table, layer="gold") -> Check:
-    return Check(cid, f"{table} has rows", table, "volume", "CRITICAL",
-                 {"rows": F.count(F.lit(1))}, lambda m: m["rows"] > 0,
-                 lambda m: _txt(m["rows"]), ">0", lambda m: fmt(m["rows"], " rows."), "FAIL", layer)
+    return Check(cid, f"{table} has rows", table, "volume", "CRITICAL", {"rows": "count(1)"},
+                 "{rows} > 0", txt("rows"), ">0", concat(txt("rows"), " rows."), "FAIL", layer)
+
+
+def check_counts(cid_prefix, tables: Sequence[str], layer="silver") -> list[Check]:
+    """Informational row counts (always PASS)."""
+    return [Check(f"{cid_prefix}_{t}", f"{t} row count", t, "volume", "INFO", {"rows": "count(1)"},
+                  "TRUE", txt("rows"), "informational", concat(txt("rows"), " rows."), "PASS", layer)
+            for t in tables]
 
 
 def _meta_check(cid, name, table, check_type, severity, ok: bool, actual: str, expected: str,
                 message: str, fail_status="FAIL", layer="silver") -> Check:
-    return Check(cid, name, table, check_type, severity, {"ok": F.max(F.lit(ok))},
-                 lambda m: m["ok"], lambda m: F.lit(actual), expected,
-                 lambda m: F.lit(message), fail_status, layer, frame_key="__meta__",
-                 frame=lambda frames: frames["__meta__"])
+    return Check(cid, name, table, check_type, severity, {"ok": "max(TRUE)" if ok else "max(FALSE)"},
+                 "{ok}", q(actual), expected, q(message), fail_status, layer,
+                 frame_key="__meta__", frame=lambda frames: frames["__meta__"])
 
 
 def check_columns(cid, table, df: DataFrame, required: Sequence[str], layer="silver") -> Check:
@@ -283,35 +277,42 @@ def check_available(cid_prefix, spark: SparkSession, names: Sequence[str],
 
 # --------------------------------------------------------------------------- engine
 
+_PLACEHOLDER = re.compile(r"\{([A-Za-z_][A-Za-z0-9_]*)\}")
+
+
+def _bind(template: str, names: Mapping[str, str]) -> str:
+    return _PLACEHOLDER.sub(lambda m: names[m.group(1)], template)
+
+
 def dq_report(spark: SparkSession, frames: Frames, checks: Sequence[Check],
               checked_at: dt.datetime | None = None) -> DataFrame:
     """Compile the checks: one aggregate per distinct frame, then union."""
     frames = dict(frames)
     frames.setdefault("__meta__", spark.range(1))
-    ts = F.current_timestamp() if checked_at is None else F.lit(checked_at).cast("timestamp")
+    ts = "current_timestamp()" if checked_at is None else \
+        f"cast({q(checked_at.isoformat(sep=' '))} as timestamp)"
     groups: dict[str, list[tuple[int, Check]]] = {}
     for i, chk in enumerate(checks):
         groups.setdefault(chk.frame_key or chk.table_name, []).append((i, chk))
     parts = []
-    for key, members in groups.items():
+    for members in groups.values():
         first = members[0][1]
         base = first.frame(frames) if first.frame is not None else frames[first.table_name]
         aggs, records = [], []
         for i, chk in members:
             names = {k: f"m{i}_{k}" for k in chk.metrics}
-            aggs += [col.alias(names[k]) for k, col in chk.metrics.items()]
-            m = {k: F.col(v) for k, v in names.items()}
-            status = F.when(F.coalesce(chk.passed(m), F.lit(False)), F.lit("PASS")) \
-                .otherwise(F.lit(chk.fail_status))
-            records.append(F.struct(
-                F.lit(chk.check_id).alias("check_id"), F.lit(chk.check_name).alias("check_name"),
-                F.lit(chk.layer).alias("layer"), F.lit(chk.table_name).alias("table_name"),
-                F.lit(chk.check_type).alias("check_type"), F.lit(chk.severity).alias("severity"),
-                chk.actual(m).cast("string").alias("actual_value"),
-                F.lit(chk.expected).alias("expected_value"), status.alias("status"),
-                chk.message(m).cast("string").alias("message"),
-                ts.alias("checked_at")))
-        parts.append(base.agg(*aggs).select(F.explode(F.array(*records)).alias("r")).select("r.*"))
+            for k, m in chk.metrics.items():
+                aggs.append((F.expr(m) if isinstance(m, str) else m).alias(names[k]))
+            status = (f"CASE WHEN coalesce({_bind(chk.passed, names)}, FALSE) THEN 'PASS' "
+                      f"ELSE {q(chk.fail_status)} END")
+            fields = [q(chk.check_id), q(chk.check_name), q(chk.layer), q(chk.table_name),
+                      q(chk.check_type), q(chk.severity),
+                      f"cast({_bind(chk.actual, names)} as string)", q(chk.expected), status,
+                      f"cast({_bind(chk.message, names)} as string)", ts]
+            records.append("named_struct(" + ", ".join(
+                f"{q(n)}, {v}" for n, v in zip(REPORT_FIELDS, fields)) + ")")
+        parts.append(base.agg(*aggs).select(
+            F.explode(F.expr("array(" + ", ".join(records) + ")")).alias("r")).select("r.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -36,22 +36,19 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
                     ) -> list[dq.Check]:
     """Checks over ``employee``, ``timesheet`` (silver), ``bronze_timesheet``,
     ``quarantine``, ``timesheet_typed`` and the gold frames."""
-    c = F.col
-    ts_sched = c("is_schedulable")
-    as_of_l, punch_l = F.lit(str(as_of)).cast("date"), F.lit(str(punch_as_of)).cast("date")
+    a, p = f"DATE '{as_of}'", f"DATE '{punch_as_of}'"
     checks = [
         check_complete("DQ005_1", "employee", "client_employee_id"),
         check_unique("DQ005_2", "employee", ["client_employee_id"]),
         *[check_complete(f"DQ005_3_{k}", "employee", k, severity="WARNING")
           for k in ("department_id", "department_code", "department_name")],
         check_predicate("DQ005_4", "employee", "Employment status consistency", {
-            "active_with_term": (c("active_status") == F.lit(True)) & c("term_date").isNotNull(),
-            "terminated_no_term": (c("active_status") == F.lit(False)) & c("term_date").isNull()},
+            "active_with_term": "active_status = TRUE AND term_date IS NOT NULL",
+            "terminated_no_term": "active_status = FALSE AND term_date IS NULL"},
             check_type="consistency"),
         check_predicate("DQ005_5", "employee", "Hire/termination chronology", {
-            "term_before_hire": c("term_date").isNotNull() & c("hire_date").isNotNull() &
-            (c("term_date") < c("hire_date")),
-            "future_hires": c("hire_date") > as_of_l}),
+            "term_before_hire": "term_date IS NOT NULL AND hire_date IS NOT NULL AND term_date < hire_date",
+            "future_hires": f"hire_date > {a}"}),
         check_range("DQ005_6", "employee", "scheduled_weekly_hour", 0, 80),
         check_unique("DQ006_1", "timesheet", ["timesheet_id"]),
         check_complete("DQ006_2", "timesheet", "client_employee_id"),
@@ -60,45 +57,45 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
         check_range("DQ006_4b", "timesheet", "hours_worked", high=24, severity="WARNING",
                     name="hours_worked above 24"),
         check_predicate("DQ006_5a", "timesheet", "Punch completeness", {
-            "missing_punch_in": c("punch_in_datetime").isNull(),
-            "missing_punch_out": c("punch_out_datetime").isNull()},
+            "missing_punch_in": "punch_in_datetime IS NULL",
+            "missing_punch_out": "punch_out_datetime IS NULL"},
             severity="WARNING", check_type="completeness"),
         check_predicate("DQ006_5b", "timesheet", "Punch chronology", {
-            "out_before_in": c("punch_out_datetime") < c("punch_in_datetime")}),
+            "out_before_in": "punch_out_datetime < punch_in_datetime"}),
         check_predicate("DQ006_6a", "timesheet", "Schedule completeness", {
-            "missing_schedule": c("scheduled_start_datetime").isNull() |
-            c("scheduled_end_datetime").isNull()}, severity="WARNING", check_type="completeness"),
+            "missing_schedule": "scheduled_start_datetime IS NULL OR scheduled_end_datetime IS NULL"},
+            severity="WARNING", check_type="completeness"),
         check_predicate("DQ006_6b", "timesheet", "Schedule chronology", {
-            "end_before_start": c("scheduled_end_datetime") < c("scheduled_start_datetime")}),
+            "end_before_start": "scheduled_end_datetime < scheduled_start_datetime"}),
         check_predicate("DQ006_6c", "timesheet", "Schedulable flag consistency", {
-            "flagged_but_missing": ts_sched & (c("scheduled_start_datetime").isNull() |
-                                               c("scheduled_end_datetime").isNull())}),
+            "flagged_but_missing": "is_schedulable AND (scheduled_start_datetime IS NULL OR "
+                                   "scheduled_end_datetime IS NULL)"}),
         check_reference("DQ007", "timesheet", "client_employee_id", "employee", "client_employee_id"),
         check_unique("DQ008_3", "timesheet",
                      ["client_employee_id", "punch_apply_date", "punch_in_datetime",
                       "punch_out_datetime"], severity="WARNING", fail_status="WARNING",
                      require_non_null=True),
         check_predicate("DQ009_1", "timesheet", "No future punch dates", {
-            "future_punches": c("punch_apply_date") > punch_l}),
+            "future_punches": f"punch_apply_date > {p}"}),
         check_predicate("DQ009_2", "employee", "No future hire/term dates", {
-            "future_hires": c("hire_date") > as_of_l, "future_terms": c("term_date") > as_of_l}),
+            "future_hires": f"hire_date > {a}", "future_terms": f"term_date > {a}"}),
         check_predicate("DQ010_0", "timesheet", "No negative minutes", {
-            k: c(k) < 0 for k in ("actual_duration_minutes", "scheduled_duration_minutes",
-                                  "late_arrival_minutes", "early_departure_minutes",
-                                  "overtime_minutes")}),
+            k: f"{k} < 0" for k in ("actual_duration_minutes", "scheduled_duration_minutes",
+                                    "late_arrival_minutes", "early_departure_minutes",
+                                    "overtime_minutes")}),
         check_flag_rule("DQ010_1", "timesheet", "is_late_arrival", "arrival_variance_minutes",
-                        5, guard=ts_sched),
+                        5, guard="is_schedulable"),
         check_flag_rule("DQ010_2", "timesheet", "is_early_departure", "departure_variance_minutes",
-                        5, guard=ts_sched),
+                        5, guard="is_schedulable"),
         check_flag_rule("DQ010_3", "timesheet", "is_overtime", "schedule_variance_minutes",
-                        5, guard=ts_sched),
+                        5, guard="is_schedulable"),
         check_count_equals("DQ010_4", "timesheet", "Excessive duration flag count",
-                           c("is_excessive_duration"), c("actual_duration_hours") > 24),
+                           "is_excessive_duration", "actual_duration_hours > 24"),
         check_reconcile("DQ011_1", "Bronze = typed + quarantined", "bronze_timesheet",
                         "timesheet_typed", ["quarantine"]),
         check_reconcile("DQ011_2", "Typed = silver + duplicate copies removed", "timesheet_typed",
                         "timesheet", [("duplicates_removed", "timesheet",
-                                       F.sum(c("source_duplicate_count") - 1))]),
+                                       F.sum(F.col("source_duplicate_count") - 1))]),
         check_non_empty("DQ012_1", "daily_headcount"),
         check_complete("DQ012_2", "working_hours", "client_employee_id", layer="gold"),
         check_range("DQ012_3", "working_hours", "total_hours_worked", low=0, layer="gold"),

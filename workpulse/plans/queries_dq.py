@@ -13,6 +13,7 @@ from workpulse.plans.oracles import PCT, R, silver_chain
 from workpulse.plans.queries_model import HEADCOUNT_SQL
 from workpulse.plans.queries_silver import KEY_SQL, ORDER_SQL, REASON_SQL
 from workpulse.plans.registry import register
+from workpulse.sources import io
 
 PUNCH_AS_OF = dt.date(2024, 2, 1)
 CHECKED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -56,9 +57,13 @@ def silver_pair(spark, sf):
 
 
 def dq_frames(spark, sf):
+    """Frames of the suite.  Silver timesheet and employee are checkpointed
+    once (reliable checkpoint in spark.checkpoint.dir) so the suite's
+    aggregate branches read them instead of re-running the pipeline."""
     raw, silver, bad = silver_pair(spark, sf)
+    silver = io.materialize(silver)
     good, _ = quarantine.split_quarantine(raw, pipeline.timesheet_reasons())
-    emp = B.employee(spark, sf)
+    emp = io.materialize(B.employee(spark, sf))
     frames = {"employee": emp, "timesheet": silver, "bronze_timesheet": raw, "quarantine": bad,
               "timesheet_typed": good}
     frames.update(dq_suite.gold_frames(emp, silver))

@@ -1,10 +1,17 @@
 """Size-checked broadcast.
 
-A side is broadcast only after a bounded action proves it has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` never scans more than that
-many rows past the filters).  Above the bound the plain DataFrame is returned
-and Spark plans a shuffle join (AQE may still convert it at runtime from the
-measured shuffle size, and splits skewed partitions).
+A side is broadcast only when its size is bounded:
+
+1. the optimizer's size estimate of the side (the statistic Spark itself
+   uses for ``autoBroadcastJoinThreshold``; an upper bound without CBO,
+   since filters and aggregates never shrink it) times an in-memory
+   inflation factor is at most ``max_bytes`` -- no job is run; or
+2. failing that, a bounded action proves at most ``max_rows`` rows
+   (``limit(max_rows + 1).count()`` stops after that many rows).
+
+Otherwise the DataFrame is returned unhinted and Spark plans a shuffle join
+(AQE may still switch to a broadcast from measured shuffle sizes, and splits
+skewed partitions).
 """
 
 from __future__ import annotations
@@ -13,11 +20,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
+INFLATION = 4  # parquet bytes -> rows in memory, conservative
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate in bytes, or None when unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. remote sessions without a JVM handle
+        return None
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+             max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    est = estimated_bytes(df)
+    if est is not None and est * INFLATION <= max_bytes:
+        return True
+    return has_at_most(df, max_rows)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df

@@ -32,6 +32,9 @@ def get_spark(master: str | None = None, partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # generated methods above HotSpot's 8000-byte JIT limit would run
+        # interpreted; let Spark split or fall back instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("WORKPULSE_DRIVER_MEMORY", "16g"))
     )
