@@ -70,33 +70,42 @@ def attendance_metrics(ts: DataFrame) -> DataFrame:
 def attendance_daily(ts: DataFrame, emp: DataFrame,
                      max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """Employee x work date (rows with a duration only), enriched from the
-    master; department = master's, else the punch's (max per day)."""
-    valid = ts.filter(F.col("actual_duration_hours").isNotNull())
-    dim = emp.select(F.col(EMP).alias("_e_id"), F.col("full_name").alias("_e_name"),
-                     F.col("job_title").alias("_e_job"),
-                     F.col("employment_status").alias("_e_status"),
-                     F.col("department_name").alias("_e_dept_name"),
-                     F.col("department_id").alias("_e_dept_id"))
-    dim = broadcast_if_small(dim, max_broadcast_rows)
-    j = valid.join(dim, valid[EMP] == dim["_e_id"], "left")
+    master; department = master's, else the punch's (max per day).
+
+    The punch fact is aggregated to employee-day first (partial aggregation
+    folds a hot employee map-side) and only the aggregate meets the master,
+    deduplicated to one row per id, so the join never fans out or carries raw
+    punches.  ``max(coalesce(master, punch))`` per day equals
+    ``coalesce(master, max(punch))`` because the master value is constant per id."""
     one = F.lit(1)
-    return j.groupBy(F.col(EMP), F.col("punch_apply_date").alias("work_date")).agg(
-        F.max("_e_name").alias("employee_name"),
-        F.max("_e_job").alias("job_title"),
-        F.max("_e_status").alias("employment_status"),
-        F.max(F.coalesce("_e_dept_name", "department_name")).alias("department_name"),
-        F.max(F.coalesce("_e_dept_id", "department_id")).alias("department_id"),
+    daily = (ts.filter(F.col("actual_duration_hours").isNotNull())
+             .groupBy(F.col(EMP), F.col("punch_apply_date").alias("work_date")).agg(
+        F.max("department_name").alias("_t_dept_name"),
+        F.max("department_id").alias("_t_dept_id"),
         F.max("employee_master_match").alias("has_employee_master"),
         F.sum("actual_duration_hours").alias("total_working_hours"),
         F.sum("scheduled_duration_hours").alias("total_scheduled_hours"),
         F.sum(F.when(F.col("is_late_arrival"), one).otherwise(0)).alias("late_arrival_count"),
         F.sum("late_arrival_minutes").alias("total_late_minutes"),
-        F.sum(F.when(F.col("is_early_departure"), one).otherwise(0)
-              ).alias("early_departure_count"),
+        F.sum(F.when(F.col("is_early_departure"), one).otherwise(0)).alias("early_departure_count"),
         F.sum("early_departure_minutes").alias("total_early_departure_minutes"),
         F.sum(F.when(F.col("is_overtime"), one).otherwise(0)).alias("overtime_count"),
         F.sum("overtime_hours").alias("total_overtime_hours"),
-        F.count(F.lit(1)).alias("timesheet_record_count"))
+        F.count(F.lit(1)).alias("timesheet_record_count")))
+    dim = emp.groupBy(F.col(EMP).alias("_e_id")).agg(
+        F.max("full_name").alias("employee_name"), F.max("job_title").alias("job_title"),
+        F.max("employment_status").alias("employment_status"),
+        F.max("department_name").alias("_e_dept_name"), F.max("department_id").alias("_e_dept_id"))
+    dim = broadcast_if_small(dim, max_broadcast_rows)
+    j = daily.join(dim, daily[EMP] == dim["_e_id"], "left")
+    return j.select(
+        EMP, "work_date", "employee_name", "job_title", "employment_status",
+        F.coalesce("_e_dept_name", "_t_dept_name").alias("department_name"),
+        F.coalesce("_e_dept_id", "_t_dept_id").alias("department_id"),
+        "has_employee_master", "total_working_hours", "total_scheduled_hours",
+        "late_arrival_count", "total_late_minutes", "early_departure_count",
+        "total_early_departure_minutes", "overtime_count", "total_overtime_hours",
+        "timesheet_record_count")
 
 
 def attendance_summary(daily: DataFrame) -> DataFrame:

@@ -77,20 +77,26 @@ def q05_department_hours(wh: DataFrame, emp: DataFrame) -> DataFrame:
 
 
 def _by_employee(ts, emp, flag, minutes, count_name, hours_name, k):
-    j = ts.filter(F.col(flag)).join(_dim(emp, ["first_name", "last_name"]), EMP)
-    g = j.groupBy(EMP, "first_name", "last_name").agg(
-        F.count(F.lit(1)).alias(count_name),
-        rnd(F.sum(minutes) / 60.0, 2).alias(hours_name))
+    """Aggregate the flagged punches per employee first, then attach names."""
+    per = ts.filter(F.col(flag)).groupBy(EMP).agg(
+        F.count(F.lit(1)).alias(count_name), F.sum(minutes).alias("_m"))
+    j = per.join(_dim(emp, ["first_name", "last_name"]), EMP)
+    g = j.select(EMP, "first_name", "last_name", count_name,
+                 rnd(F.col("_m") / 60.0, 2).alias(hours_name))
     return g.orderBy(F.col(count_name).desc(), F.col(EMP)).limit(k)
 
 
 def _by_department(ts, emp, flag, count_name, distinct_name, minutes=None, hours_name=None):
-    j = ts.filter(F.col(flag)).join(_dim(emp, ["department_code"]), EMP)
-    aggs = [F.count(F.lit(1)).alias(count_name)]
+    """Per-employee partial counts joined to the department, then summed:
+    distinct employees per department = rows of the per-employee aggregate."""
+    aggs = [F.count(F.lit(1)).alias("_n")] + ([F.sum(minutes).alias("_m")] if minutes else [])
+    per = ts.filter(F.col(flag)).groupBy(EMP).agg(*aggs)
+    j = per.join(_dim(emp, ["department_code"]), EMP)
+    out = [F.sum("_n").alias(count_name)]
     if minutes:
-        aggs.append(rnd(F.sum(minutes) / 60.0, 2).alias(hours_name))
-    aggs.append(F.countDistinct(EMP).alias(distinct_name))
-    return j.groupBy("department_code").agg(*aggs)
+        out.append(rnd(F.sum("_m") / 60.0, 2).alias(hours_name))
+    out.append(F.count(F.lit(1)).alias(distinct_name))
+    return j.groupBy("department_code").agg(*out)
 
 
 def q06_late_by_employee(ts, emp, k=20):
@@ -168,10 +174,11 @@ def q14_tenure_category(emp: DataFrame, k: int = 30) -> DataFrame:
 
 def q15_department_rank(emp: DataFrame, ts: DataFrame) -> DataFrame:
     """Aggregate first (one row per department), then the global window."""
-    j = ts.join(_dim(emp.filter(F.col("department_code").isNotNull()), ["department_code"]), EMP)
+    per = ts.groupBy(EMP).agg(F.sum("hours_worked").alias("_h"))
+    j = per.join(_dim(emp.filter(F.col("department_code").isNotNull()), ["department_code"]), EMP)
     dept = j.groupBy("department_code").agg(
-        F.countDistinct(EMP).alias("employee_count"),
-        F.round(F.sum("hours_worked"), 2).alias("total_hours"))
+        F.count(F.lit(1)).alias("employee_count"),
+        F.round(F.sum("_h"), 2).alias("total_hours"))
     w_all = Window.partitionBy()
     return dept.select(
         "department_code", "employee_count", "total_hours",

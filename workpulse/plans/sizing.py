@@ -41,6 +41,8 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
     est = estimated_bytes(df)
     if est is not None and est * INFLATION <= max_bytes:
         return True
+    if est is not None and est > max_bytes * 64:
+        return False  # far too large on any estimate: do not spend a scan counting it
     return has_at_most(df, max_rows)
 
 
