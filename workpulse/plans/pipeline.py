@@ -101,3 +101,59 @@ def silver_timesheet(raw: DataFrame, master: DataFrame | None, grace_minutes: fl
     typed = type_timesheet(good)
     deduped = keys.deduplicate(typed, null_key_policy=null_key_policy)
     return apply_timesheet_rules(deduped, master, grace_minutes), bad
+
+
+# --------------------------------------------------------------------------- end to end
+
+def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
+        punch_as_of: dt.date | None = None, grace_minutes: float = 5, batch_id: str | None = None,
+        strict: bool = False, timesheet_partition_by: tuple[str, ...] = ()) -> dict:
+    """Extract files -> bronze -> silver -> gold -> data-quality report and gate.
+
+    Every layer is written under ``root`` (a shared folder) and read back, so
+    each stage starts from files: an executor lost late in the run recomputes
+    from the last written table, never from the raw extracts.  Returns the
+    table paths and the gate verdict (``strict`` raises on FAIL)."""
+    from workpulse.operators import dq, hours, quarantine
+    from workpulse.plans import dq_suite
+    from workpulse.sources import io
+    batch_id = batch_id or io.new_batch_id()
+    paths = {}
+
+    def put(layer, name, df, **kw):
+        paths[f"{layer}.{name}"] = io.publish(df, root, layer, name, **kw)
+        return io.load(spark, root, layer, name)
+
+    b_emp = put("bronze", "employee", io.with_lineage(io.read_extract(spark, employee_paths), batch_id))
+    b_ts = put("bronze", "timesheet", io.with_lineage(io.read_extract(spark, timesheet_paths),
+                                                      batch_id))
+    emp = put("silver", "employee", silver_employee(b_emp, as_of))
+    silver, bad = silver_timesheet(b_ts, emp.select("client_employee_id"), grace_minutes)
+    ts = put("silver", "timesheet", silver, partition_by=list(timesheet_partition_by) or None)
+    quarantined = put("silver", "timesheet_quarantine", bad)
+    good, _ = quarantine.split_quarantine(b_ts, timesheet_reasons())
+
+    headcount = put("gold", "daily_headcount", workforce.daily_headcount(emp))
+    gold = {
+        "monthly_turnover": workforce.monthly_turnover(emp, headcount),
+        "department_tenure": workforce.group_tenure(emp),
+        "employee_working_hours": hours.working_hours(ts),
+        "attendance_metrics": hours.attendance_metrics(ts),
+        "rolling_avg_hours": hours.rolling_hours(ts),
+        "early_attrition_overall": workforce.attrition(emp),
+        "early_attrition_by_department": workforce.attrition(emp, by=list(workforce.DEPARTMENT_KEYS)),
+        "early_attrition_by_cohort": workforce.attrition(emp, by="hire_year"),
+    }
+    loaded = {name: put("gold", name, df) for name, df in gold.items()}
+    daily = put("gold", "employee_attendance_daily", hours.attendance_daily(ts, emp))
+    put("gold", "employee_attendance_summary", hours.attendance_summary(daily))
+    put("gold", "attendance_rolling_trend", hours.attendance_trend(daily))
+
+    frames = {"employee": emp, "timesheet": ts, "bronze_timesheet": b_ts, "quarantine": quarantined,
+              "timesheet_typed": good, "daily_headcount": headcount,
+              "working_hours": loaded["employee_working_hours"],
+              "attendance_metrics": loaded["attendance_metrics"]}
+    report = dq_suite.run_suite(spark, frames, as_of, punch_as_of or as_of)
+    report = put("gold", "data_quality_report", report)
+    gate = dq.enforce_gate(report, strict=strict)
+    return {"paths": paths, "gate": gate, "batch_id": batch_id}
