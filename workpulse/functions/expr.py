@@ -85,6 +85,11 @@ def invalid_identifier(x: ColLike, keywords: Sequence[str] = ()) -> Column:
     return F.coalesce(bad, F.lit(True))
 
 
+def numeric_identifier(x: ColLike) -> Column:
+    """Digits only (``^\\d+$``); null stays null."""
+    return c(x).rlike(r"^\d+$")
+
+
 def malformed_numeric(x: ColLike, to: str = "decimal(10,2)") -> Column:
     """Present but not parseable as ``to``: ``x is not null and try_cast(x) is null``."""
     v = c(x)

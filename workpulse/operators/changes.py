@@ -42,6 +42,13 @@ def lookup_page(df: DataFrame, order: Sequence[str], offset: int = 0, limit: int
     return out.limit(limit)
 
 
+def recent(df: DataFrame, order_col: str, n: int, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Last ``n`` rows by ``order_col`` (per-partition top-n, then merged),
+    returned in ascending order."""
+    desc = [F.col(order_col).desc()] + [F.col(t).desc() for t in tie_break]
+    return df.orderBy(*desc).limit(n).orderBy(order_col, *tie_break)
+
+
 def date_window_filters(date_col: str, start=None, end=None) -> list[Column]:
     out = []
     if start is not None:

@@ -55,6 +55,13 @@ def employment_status(active: str = "active_status") -> F.Column:
         .otherwise("Unknown")
 
 
+def status_inconsistency(active: str = "active_status", term: str = "term_date") -> dict:
+    """Two predicates: active with a termination date, terminated without one."""
+    a = F.col(active)
+    return {"active_with_term": (a == F.lit(True)) & F.col(term).isNotNull(),
+            "terminated_no_term": (a == F.lit(False)) & F.col(term).isNull()}
+
+
 # --------------------------------------------------------------------------- headcount
 
 def date_spine(bounds: DataFrame, start: str = "start_date", end: str = "end_date",

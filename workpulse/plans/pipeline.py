@@ -105,6 +105,10 @@ def silver_timesheet(raw: DataFrame, master: DataFrame | None, grace_minutes: fl
 
 # --------------------------------------------------------------------------- end to end
 
+CRITICAL_TABLES = ("bronze_employee", "bronze_timesheet", "silver_employee", "silver_timesheet",
+                   "gold_daily_headcount", "gold_monthly_turnover", "gold_employee_working_hours",
+                   "gold_attendance_metrics", "gold_employee_attendance_daily")
+
 def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
         punch_as_of: dt.date | None = None, grace_minutes: float = 5, batch_id: str | None = None,
         strict: bool = False, timesheet_partition_by: tuple[str, ...] = ()) -> dict:
@@ -153,7 +157,12 @@ def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
               "timesheet_typed": good, "daily_headcount": headcount,
               "working_hours": loaded["employee_working_hours"],
               "attendance_metrics": loaded["attendance_metrics"]}
-    report = dq_suite.run_suite(spark, frames, as_of, punch_as_of or as_of)
-    report = put("gold", "data_quality_report", report)
+    # every published table is registered as a view: availability is checked in the catalog
+    views = {f"{k.replace('.', '_')}": io.load(spark, root, *k.split(".")) for k in paths}
+    io.register_views(views)
+    checks = dq_suite.standard_checks(frames, as_of, punch_as_of or as_of)
+    checks += dq.check_available("DQ_TBL", spark, sorted(views), critical=CRITICAL_TABLES)
+    checks += dq.check_counts("DQ_CNT", ["bronze_timesheet", "timesheet", "employee"])
+    report = put("gold", "data_quality_report", dq.dq_report(spark, frames, checks))
     gate = dq.enforce_gate(report, strict=strict)
     return {"paths": paths, "gate": gate, "batch_id": batch_id}

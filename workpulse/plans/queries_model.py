@@ -188,6 +188,27 @@ def quarterly_turnover(spark, sf):
 DEPT = "department_id, department_code, department_name"
 
 
+@register("status_inconsistency", """
+SELECT count(*) FILTER (WHERE active_status = TRUE AND term_date IS NOT NULL) AS active_with_term,
+  count(*) FILTER (WHERE active_status = FALSE AND term_date IS NULL) AS terminated_no_term,
+  count(*) FILTER (WHERE term_date < hire_date) AS term_before_hire
+FROM b_employee""")
+def status_inconsistency(spark, sf):
+    """FLT8/FLT7: status vs term-date consistency and term-before-hire."""
+    e = B.employee(spark, sf)
+    preds = workforce.status_inconsistency()
+    preds["term_before_hire"] = X.chronology_violation("hire_date", "term_date")
+    return e.agg(*[F.count(F.when(p, 1)).alias(k) for k, p in preds.items()])
+
+
+@register("recent_headcount", f"""
+SELECT * FROM (SELECT * FROM ({HEADCOUNT_SQL}) ORDER BY calendar_date DESC LIMIT 30)""")
+def recent_headcount(spark, sf):
+    """SRT3: last 30 headcount days, re-sorted ascending."""
+    from workpulse.operators import changes
+    return changes.recent(_headcount(spark, sf), "calendar_date", 30)
+
+
 @register("department_tenure", f"""
 SELECT {DEPT}, count(client_employee_id) AS total_employees,
   count(*) FILTER (WHERE active_status = TRUE) AS active_employees,

@@ -171,6 +171,23 @@ def invalid_identifier(spark, sf):
     return bad.groupBy("client_employee_id").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@register("identifier_formats", """
+SELECT count(*) FILTER (WHERE regexp_matches(client_employee_id, '^[0-9]+$')) AS numeric_ids,
+  count(*) FILTER (WHERE NOT regexp_matches(client_employee_id, '^[0-9]+$')) AS non_numeric_ids,
+  count(*) FILTER (WHERE contains(pay_code, '|')) AS packed_pay_codes,
+  count(*) FILTER (WHERE pay_code LIKE '%|%' AND NOT regexp_matches(client_employee_id, '^[0-9]+$'))
+    AS packed_with_bad_id
+FROM b_raw""")
+def identifier_formats(spark, sf):
+    """FLT6: numeric-id regex, contains '|', LIKE '%|%'."""
+    raw = B.raw_extract(spark, sf)
+    num = X.numeric_identifier("client_employee_id")
+    return raw.agg(F.count(F.when(num, 1)).alias("numeric_ids"),
+                   F.count(F.when(~num, 1)).alias("non_numeric_ids"),
+                   F.count(F.when(F.col("pay_code").contains("|"), 1)).alias("packed_pay_codes"),
+                   F.count(F.when(F.col("pay_code").like("%|%") & ~num, 1)).alias("packed_with_bad_id"))
+
+
 @register("normalise_numeric_text", """
 SELECT hours_worked_text, count(*) AS row_count FROM (
   SELECT CAST(TRY_CAST(hours_worked AS DECIMAL(10,2)) AS VARCHAR) AS hours_worked_text FROM b_raw)
