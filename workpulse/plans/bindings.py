@@ -23,12 +23,28 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import functools
+
 AS_OF = dt.date(2003, 1, 1)
 INGEST_A = "2024-02-01 00:00:00"
 INGEST_B = "2024-02-02 00:00:00"
 BATCH_ID = "20240201_000000"
 
 
+def _memo(fn):
+    """Build each derived view once per (session, folder, args): DataFrames are
+    immutable plans, so queries share them like registered views."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
+        key = (id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kwargs.items())))
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir, *args, **kwargs)
+        return cache[key]
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -42,6 +58,7 @@ def _pay_code(event_type: Column) -> Column:
             .otherwise("Float pool"))
 
 
+@_memo
 def punch(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     """Typed punches: one row per event.
 
@@ -70,6 +87,7 @@ def punch(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> Data
     return ev.select(*cols)
 
 
+@_memo
 def _extract_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = punch(spark, sf_dir, keep_event_id=True)
     eid = F.col("event_id")
@@ -88,6 +106,7 @@ def _extract_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b).unionByName(b2).withColumn("_batch_id", F.lit(BATCH_ID))
 
 
+@_memo
 def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping typed extracts: file a = every punch; file b = every 3rd
     event again (every 9th with different hours), plus every 15th event a
@@ -95,6 +114,7 @@ def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extract_e(spark, sf_dir).drop("event_id")
 
 
+@_memo
 def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string bronze rows of the overlapping extracts (lineage kept) with
     injected defects: ids 'Meal ...' (every 97th event), '' (101st), NULL
@@ -128,6 +148,7 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def employee_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string employee master: customers with ``c_custkey % 4 <> 3``; hire =
     first order date; every 5th terminated after ``c_custkey % 400`` days, every
@@ -173,16 +194,19 @@ def employee_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def employee(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:
     """Silver employee master built by the library from ``employee_raw``."""
     from workpulse.plans.pipeline import silver_employee
     return silver_employee(employee_raw(spark, sf_dir), as_of=as_of)
 
 
+@_memo
 def master_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return employee_raw(spark, sf_dir).select("client_employee_id")
 
 
+@_memo
 def timesheet(spark: SparkSession, sf_dir: str, grace_minutes: float = 5) -> DataFrame:
     """Silver-like timesheet: punch -> durations -> adherence -> declared-vs-punched
     -> pay-code flags -> surrogate key -> employee master match."""
