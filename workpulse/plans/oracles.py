@@ -91,7 +91,7 @@ def silver_chain(src: str, p: str) -> str:
     overtime_minutes > 0 AS is_overtime,
     CASE WHEN hours_worked IS NOT NULL AND actual_duration_hours IS NOT NULL
       THEN {R("CAST(hours_worked AS DOUBLE) - actual_duration_hours")} END AS hours_worked_vs_punch_variance,
-    len(string_split(pay_code, '|')) AS pay_code_count,
+    CAST(len(string_split(pay_code, '|')) AS INTEGER) AS pay_code_count,
     len(string_split(pay_code, '|')) > 1 AS has_multiple_pay_codes,
     len(list_filter(string_split(pay_code, '|'), lambda x: regexp_matches(trim(x), '{OT}'))) > 0
       AS has_overtime_pay_code,

@@ -55,6 +55,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="workpulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
