@@ -16,7 +16,8 @@ def spark():
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
-               .config("spark.sql.codegen.hugeMethodLimit", "8000"))
+               .config("spark.sql.codegen.hugeMethodLimit", "8000")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="wp-test-wh-")))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():

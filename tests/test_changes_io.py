@@ -60,3 +60,19 @@ def test_serving_projection(spark):
     df = spark.createDataFrame([(1, float("nan"), "secret")], "id long, v double, pii string")
     out = io.serving_projection(df, ["id", "v"]).first()
     assert out.asDict() == {"id": 1, "v": None}
+
+
+def test_managed_tables_and_catalog_checks(spark):
+    from workpulse.operators import dq
+    df = spark.range(4).withColumn("x", F.col("id") + 1)
+    name = io.publish(df, None, "wp_silver", "t1")
+    assert name == "wp_silver.t1"
+    io.publish(df.withColumn("y", F.lit(1)), None, "wp_silver", "t1")     # schema replaced
+    assert io.load(spark, None, "wp_silver", "t1").columns == ["id", "x", "y"]
+    checks = dq.check_available("DQ_TBL", spark, ["wp_silver.t1", "wp_silver.nope"],
+                                critical=["wp_silver.t1"])
+    rep = {r.check_id: r.status for r in dq.dq_report(spark, {}, checks).collect()}
+    assert rep == {"DQ_TBL_wp_silver_t1": "PASS", "DQ_TBL_wp_silver_nope": "WARNING"}
+    inv = {r.table_name: (r.row_count, r.exists) for r in
+           io.catalog_inventory(spark, ["wp_silver.t1", "wp_silver.nope"]).collect()}
+    assert inv == {"wp_silver.t1": (4, True), "wp_silver.nope": (None, False)}

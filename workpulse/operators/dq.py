@@ -91,8 +91,9 @@ def check_complete(cid, table, col, severity="CRITICAL", fail_status=None, layer
 
 
 def check_unique(cid, table, keys: Sequence[str], severity="CRITICAL", fail_status="FAIL",
-                 layer="silver", require_non_null=False, name=None) -> Check:
-    """Keys appearing more than once (one grouped pass per key list)."""
+                 layer="silver", require_non_null=False, nulls_fail=False, name=None) -> Check:
+    """Keys appearing more than once (one grouped pass per key list).  With
+    ``nulls_fail`` rows whose key has a null part fail the check too."""
     keys = list(keys)
 
     def frame(frames: Frames) -> DataFrame:
@@ -102,12 +103,17 @@ def check_unique(cid, table, keys: Sequence[str], severity="CRITICAL", fail_stat
                 df = df.filter(F.col(k).isNotNull())
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
+    any_null = " OR ".join(f"{_ident(k)} IS NULL" for k in keys)
+    rule = "{dup_groups} = 0" + (" AND {null_rows} = 0" if nulls_fail else "")
     return Check(cid, name or f"{', '.join(keys)} uniqueness", table, "uniqueness", severity,
                  {"dup_groups": cnt("_n > 1"),
-                  "extra_rows": "coalesce(sum(CASE WHEN _n > 1 THEN _n - 1 END), 0)"},
-                 "{dup_groups} = 0", txt("dup_groups"), "0",
+                  "extra_rows": "coalesce(sum(CASE WHEN _n > 1 THEN _n - 1 END), 0)",
+                  "null_rows": f"coalesce(sum(CASE WHEN {any_null} THEN _n END), 0)"},
+                 rule, concat("duplicate_groups=", txt("dup_groups"), ", null_keys=", txt("null_rows")),
+                 "duplicate_groups=0" + (", null_keys=0" if nulls_fail else ""),
                  concat(txt("dup_groups"), " duplicate key groups (", txt("extra_rows"),
-                        f" extra rows) on {', '.join(keys)}."),
+                        f" extra rows) on {', '.join(keys)}; ", txt("null_rows"),
+                        " rows with a null key."),
                  fail_status, layer,
                  frame_key=f"{table}|unique|{','.join(keys)}|{require_non_null}", frame=frame)
 
@@ -319,6 +325,11 @@ def dq_report(spark: SparkSession, frames: Frames, checks: Sequence[Check],
     return out
 
 
+def dq_summary(report: DataFrame) -> DataFrame:
+    """Checks per status and severity."""
+    return report.groupBy("status", "severity").agg(F.count(F.lit(1)).alias("checks"))
+
+
 def dq_gate(report: DataFrame) -> DataFrame:
     """One row: FAIL if any check failed, PASS_WITH_WARNINGS if any warned, else PASS."""
     s = F.col("status")

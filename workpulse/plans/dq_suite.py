@@ -19,7 +19,7 @@ TIMESHEET_REQUIRED = ("client_employee_id", "department_id", "department_name",
                       "punch_out_datetime", "scheduled_start_datetime", "scheduled_end_datetime")
 EMPLOYEE_REQUIRED = ("client_employee_id", "hire_date", "term_date", "active_status",
                      "department_id", "department_name")
-TIMESHEET_TYPES = {"hours_worked": "decimal(10,2)", "punch_apply_date": "date",
+TIMESHEET_TYPES = {"client_employee_id": "string", "hours_worked": "decimal(10,2)", "punch_apply_date": "date",
                    "punch_in_datetime": "timestamp", "is_late_arrival": "boolean",
                    "source_duplicate_count": "bigint", "actual_duration_minutes": "double"}
 EMPLOYEE_TYPES = {"hire_date": "date", "active_status": "boolean", "tenure_days": "int",
@@ -50,7 +50,7 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
             "term_before_hire": "term_date IS NOT NULL AND hire_date IS NOT NULL AND term_date < hire_date",
             "future_hires": f"hire_date > {a}"}),
         check_range("DQ005_6", "employee", "scheduled_weekly_hour", 0, 80),
-        check_unique("DQ006_1", "timesheet", ["timesheet_id"]),
+        check_unique("DQ006_1", "timesheet", ["timesheet_id"], nulls_fail=True),
         check_complete("DQ006_2", "timesheet", "client_employee_id"),
         check_complete("DQ006_3", "timesheet", "pay_code"),
         check_range("DQ006_4a", "timesheet", "hours_worked", low=0, name="hours_worked negatives"),
@@ -154,7 +154,8 @@ def status_sql(as_of: dt.date, punch_as_of: dt.date) -> str:
               "(active_status = FALSE AND term_date IS NULL)"),
         _none("DQ005_5", "b_employee", f"term_date < hire_date OR hire_date > {a}"),
         _none("DQ005_6", "b_employee", "scheduled_weekly_hour < 0 OR scheduled_weekly_hour > 80"),
-        _unique("DQ006_1", "s_silver", ["timesheet_id"]),
+        _st("DQ006_1", "count(*) FILTER (WHERE n > 1) = 0 AND coalesce(sum(n) FILTER (WHERE k IS NULL), 0) = 0",
+            "(SELECT timesheet_id AS k, count(*) AS n FROM s_silver GROUP BY 1)"),
         _complete("DQ006_2", "s_silver", "client_employee_id"),
         _complete("DQ006_3", "s_silver", "pay_code"),
         _none("DQ006_4a", "s_silver", "hours_worked < 0"),

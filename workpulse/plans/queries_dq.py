@@ -95,6 +95,21 @@ def dq_status(spark, sf):
     return report(spark, sf).select("check_id", "status")
 
 
+SEVERITY = {"DQ005_3": "WARNING", "DQ006_4b": "WARNING", "DQ006_5a": "WARNING", "DQ006_6a": "WARNING",
+            "DQ007": "WARNING", "DQ008_3": "WARNING", "DQ010_4": "WARNING", "DQ011_1": "WARNING",
+            "DQ011_2": "WARNING"}
+_SEV_SQL = "CASE " + " ".join(f"WHEN check_id LIKE '{k}%' THEN '{v}'" for k, v in SEVERITY.items()) + \
+    " ELSE 'CRITICAL' END"
+
+
+@register("dq_summary", SILVER_CTES + f"""
+SELECT status, {_SEV_SQL} AS severity, count(*) AS checks FROM (""" + STATUS_SQL + """)
+GROUP BY 1, 2""")
+def dq_summary(spark, sf):
+    """DQ-RPT: checks per status and severity."""
+    return dq.dq_summary(report(spark, sf))
+
+
 @register("dq_gate", SILVER_CTES + """
 SELECT count(*) AS total_checks, count(*) FILTER (WHERE status = 'PASS') AS passed,
   count(*) FILTER (WHERE status = 'WARNING') AS warnings,
