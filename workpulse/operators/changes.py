@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from workpulse.plans.sizing import DEFAULT_MAX_ROWS, broadcast_if_small
@@ -68,7 +68,12 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str, op_col: str = "
     ``key_exists`` (insert of an existing key), ``key_not_found`` (update or
     delete of a missing key), ``unknown_op``.  Returns (snapshot, rejects)."""
     cols = [c for c in base.columns if c != key]
-    ch = changes.withColumn("_dups", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    # keys changed more than once in the batch: an aggregate (folds a hot key
+    # map-side), joined back only for the repeated keys
+    repeated = changes.groupBy(key).agg(F.count(F.lit(1)).alias("_dups")) \
+        .filter(F.col("_dups") > 1)
+    ch = changes.join(broadcast_if_small(repeated, max_broadcast_rows), key, "left") \
+        .withColumn("_dups", F.coalesce(F.col("_dups"), F.lit(1)))
     touched = broadcast_if_small(ch.select(key).distinct(), max_broadcast_rows)
     existing = base.select(key).join(touched, key, "left_semi").distinct() \
         .withColumn("_exists", F.lit(True))
