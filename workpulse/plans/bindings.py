@@ -71,7 +71,9 @@ def punch(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> Data
     hour = F.date_trunc("hour", "ts")
     shift = F.lit(240) + (eid * 7) % 420 + F.when(eid % 997 == 0, 1260).otherwise(0)
     cols = [
-        F.lpad(uid.cast("string"), 6, "0").alias("client_employee_id"),
+        # every 4th user punches under an id outside the master (no master row)
+        F.when(uid % 4 == 3, F.concat(F.lit("9"), F.lpad(uid.cast("string"), 6, "0")))
+        .otherwise(F.lpad(uid.cast("string"), 6, "0")).alias("client_employee_id"),
         dept.alias("department_id"),
         F.concat(F.lit("DEPT-"), dept).alias("department_name"),
         _pay_code(et).alias("pay_code"),
@@ -150,7 +152,7 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_memo
 def employee_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string employee master: customers with ``c_custkey % 4 <> 3``; hire =
+    """All-string employee master: every customer; hire =
     first order date; every 5th terminated after ``c_custkey % 400`` days, every
     397th (+1) terminated before hire; departments ``<nation>-<segment>``, some
     without a dash or with two."""
@@ -164,8 +166,7 @@ def employee_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k % 5 == 0, F.date_add(hire, (k % 400).cast("int"))))
     nation = F.col("c_nationkey").cast("string")
     seg = F.col("c_mktsegment")
-    base = (cust.filter(k % 4 != 3)
-            .join(first, cust.c_custkey == first.o_custkey, "left")
+    base = (cust.join(first, cust.c_custkey == first.o_custkey, "left")
             .withColumn("term", term))
     return base.select(
         F.lpad(k.cast("string"), 6, "0").alias("client_employee_id"),

@@ -107,7 +107,8 @@ def silver_chain(src: str, p: str) -> str:
 CTES = f"""
 b_punch_e AS (
   SELECT event_id,
-    lpad(CAST(user_id AS VARCHAR), 6, '0') AS client_employee_id,
+    CASE WHEN user_id % 4 = 3 THEN '9' || lpad(CAST(user_id AS VARCHAR), 6, '0')
+      ELSE lpad(CAST(user_id AS VARCHAR), 6, '0') END AS client_employee_id,
     {_DEPT} AS department_id,
     'DEPT-' || {_DEPT} AS department_name,
     CASE event_type WHEN 'click' THEN 'Hourly' WHEN 'purchase' THEN 'TM-12 OT 50HP|Hourly'
@@ -170,7 +171,6 @@ e_base AS (
     CASE WHEN c.c_custkey % 397 = 1 THEN f.hire - 10
       WHEN c.c_custkey % 5 = 0 THEN f.hire + CAST(c.c_custkey % 400 AS INTEGER) END AS term
   FROM customer c LEFT JOIN e_first f ON c.c_custkey = f.o_custkey
-  WHERE c.c_custkey % 4 <> 3
 ),
 e_raw AS (
   SELECT lpad(CAST(k AS VARCHAR), 6, '0') AS client_employee_id,
