@@ -199,20 +199,21 @@ def check_reference(cid, fact, fk, master, pk, severity="WARNING", fail_status="
 def check_reconcile(cid, name, source, target, removed: Sequence = (), max_gap=None,
                     severity="WARNING", fail_status="WARNING", layer="silver") -> Check:
     """source rows = target rows + removed rows (+ an unexplained gap).
-    Each side is a frame name (its row count) or ``(label, frame, agg Column)``.
-    PASS when the gap is >= 0 (and <= ``max_gap`` when given)."""
+    Each side is a frame name (its row count) or ``(label, frame, SQL value)``
+    (the sum of that value).  PASS when the gap is >= 0 (and <= ``max_gap``).
+    All sides are summed in ONE aggregate over a tagged union (no joins)."""
     def norm(x):
-        return (x, x, F.count(F.lit(1))) if isinstance(x, str) else x
+        return (x, x, None) if isinstance(x, str) else x
     sides = [norm(x) for x in (source, target, *removed)]
     labels = [s[0] for s in sides]
     src, tgt, rem = labels[0], labels[1], labels[2:]
 
     def frame(frames: Frames) -> DataFrame:
-        out = None
-        for label, fname, agg in sides:
-            one = frames[fname].agg(F.coalesce(agg, F.lit(0)).cast("long").alias(f"_c_{label}"))
-            out = one if out is None else out.crossJoin(one)
-        return out
+        from workpulse.operators.combine import tagged_union
+        return tagged_union({
+            label: frames[fname].select(
+                (F.lit(1) if value is None else F.expr(value)).cast("long").alias("_v"))
+            for label, fname, value in sides})
 
     gap = "({" + src + "} - {" + tgt + "}" + "".join(f" - {{{r}}}" for r in rem) + ")"
     rule = f"{gap} >= 0" + (f" AND {gap} <= {max_gap}" if max_gap is not None else "")
@@ -221,7 +222,8 @@ def check_reconcile(cid, name, source, target, removed: Sequence = (), max_gap=N
         pieces += [f", {r}=", txt(r)]
     pieces += [", unexplained_gap=", f"cast({gap} as string)"]
     return Check(cid, name, tgt, "reconciliation", severity,
-                 {lab: f"max(_c_{lab})" for lab in labels}, rule, concat(*pieces),
+                 {lab: f"coalesce(sum(CASE WHEN _src = {q(lab)} THEN _v END), 0)" for lab in labels},
+                 rule, concat(*pieces),
                  "unexplained_gap>=0" if max_gap is None else f"0<=unexplained_gap<={max_gap}",
                  concat("unexplained gap of ", f"cast({gap} as string)", " rows."),
                  fail_status, layer, frame_key=f"reconcile|{'|'.join(labels)}", frame=frame)

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from workpulse.operators.combine import of, tagged_union
+
 
 def profile_sources(df: DataFrame, source: str = "_source_file", date_col: str = "punch_apply_date",
                     id_col: str = "client_employee_id", ingest_col: str = "_ingested_at"
@@ -22,13 +24,14 @@ def profile_sources(df: DataFrame, source: str = "_source_file", date_col: str =
 
 
 def reconcile_sources(df: DataFrame, source: str = "_source_file") -> DataFrame:
-    """One row: sum of per-source counts vs table count and the difference."""
+    """One row: number of sources, sum of per-source counts, table count and the
+    difference -- one aggregate over (per-source counts) + (table rows)."""
     per = df.groupBy(source).agg(F.count(F.lit(1)).alias("_n"))
-    parts = per.agg(F.count(F.lit(1)).alias("source_count"),
-                    F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("sum_of_sources"))
-    total = df.agg(F.count(F.lit(1)).alias("table_rows"))
-    return parts.crossJoin(total).withColumn(
-        "difference", F.col("table_rows") - F.col("sum_of_sources"))
+    u = tagged_union({"p": per.select("_n"), "w": df.select()})
+    out = u.agg(F.count(of("p")).alias("source_count"),
+                F.coalesce(F.sum(of("p", F.col("_n"))), F.lit(0)).cast("long").alias("sum_of_sources"),
+                F.count(of("w")).alias("table_rows"))
+    return out.withColumn("difference", F.col("table_rows") - F.col("sum_of_sources"))
 
 
 def profile_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -69,8 +72,11 @@ def completeness_matrix(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def reconcile_totals(agg: DataFrame, agg_col: str, source: DataFrame,
                      source_filter=None) -> DataFrame:
-    """One row: sum of a per-group count vs rows of the source it came from."""
+    """One row: sum of a per-group count vs rows of the source it came from
+    (one aggregate over a tagged union, no join)."""
     src = source if source_filter is None else source.filter(source_filter)
-    a = agg.agg(F.coalesce(F.sum(agg_col), F.lit(0)).cast("long").alias("aggregated_total"))
-    s = src.agg(F.count(F.lit(1)).alias("source_total"))
-    return a.crossJoin(s).withColumn("matches", F.col("aggregated_total") == F.col("source_total"))
+    u = tagged_union({"a": agg.select(agg_col), "s": src.select()})
+    out = u.agg(F.coalesce(F.sum(of("a", F.col(agg_col))), F.lit(0)).cast("long")
+                .alias("aggregated_total"),
+                F.count(of("s")).alias("source_total"))
+    return out.withColumn("matches", F.col("aggregated_total") == F.col("source_total"))

@@ -95,7 +95,7 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
                         "timesheet_typed", ["quarantine"]),
         check_reconcile("DQ011_2", "Typed = silver + duplicate copies removed", "timesheet_typed",
                         "timesheet", [("duplicates_removed", "timesheet",
-                                       F.sum(F.col("source_duplicate_count") - 1))]),
+                                       "source_duplicate_count - 1")]),
         check_non_empty("DQ012_1", "daily_headcount"),
         check_complete("DQ012_2", "working_hours", "client_employee_id", layer="gold"),
         check_range("DQ012_3", "working_hours", "total_hours_worked", low=0, layer="gold"),
