@@ -39,8 +39,6 @@ def test_headcount_sweep_has_no_nested_loop_join(spark):
         F.lit(None).cast("date").alias("term_date"))
     plan = _plan(workforce.daily_headcount(emp, as_of=dt.date(2021, 1, 1)))
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
-    assert "NestedLoop" in _plan(workforce.daily_headcount(emp, as_of=dt.date(2021, 1, 1),
-                                                           method="range"))
 
 
 def test_broadcast_only_when_small(spark):

@@ -78,13 +78,12 @@ def _spine_for(emp: DataFrame, hire: str, end_col) -> DataFrame:
 
 
 def daily_headcount(emp: DataFrame, as_of=None, hire: str = "hire_date", term: str = "term_date",
-                    fill_zero: bool = False, method: str = "sweep") -> DataFrame:
+                    fill_zero: bool = False) -> DataFrame:
     """Active employees per day between the first hire and the last tenure end
     (``tenure_end_date`` if present, else ``coalesce(term, as_of)``).
 
     Active on d: ``hire <= d`` and (``term`` is null or ``d <= term``).  Days
-    with nobody active are dropped unless ``fill_zero``.  ``method="range"``
-    builds the literal spine x employee range join (for checking only)."""
+    with nobody active are dropped unless ``fill_zero``."""
     if "tenure_end_date" in emp.columns:
         end_col = F.col("tenure_end_date")
     elif as_of is not None:
@@ -93,15 +92,6 @@ def daily_headcount(emp: DataFrame, as_of=None, hire: str = "hire_date", term: s
         raise ValueError("need tenure_end_date or as_of")
     spine = _spine_for(emp, hire, end_col)
 
-    if method == "range":
-        people = emp.select(F.col(hire).alias("_h"), F.col(term).alias("_t"))
-        joined = spine.join(people, (F.col("_h") <= F.col("calendar_date")) &
-                            (F.col("_t").isNull() | (F.col("calendar_date") <= F.col("_t"))))
-        out = joined.groupBy("calendar_date").agg(F.count(F.lit(1)).alias("active_headcount"))
-        if fill_zero:
-            out = spine.join(out, "calendar_date", "left").fillna(0, ["active_headcount"])
-        return out
-
     valid = emp.filter(F.col(hire).isNotNull() &
                        (F.col(term).isNull() | (F.col(term) >= F.col(hire))))
     starts = valid.select(F.col(hire).alias("calendar_date"), F.lit(1).alias("_d"))
