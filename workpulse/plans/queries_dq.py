@@ -76,7 +76,7 @@ def report(spark, sf):
 
 @register("silver_timesheet", SILVER_CTES + "SELECT * FROM s_silver")
 def silver_timesheet(spark, sf):
-    """Bronze extract -> quarantine -> typing -> dedup -> rules -> flags (notebook 03 chain)."""
+    """Bronze extract -> quarantine -> typing -> dedup -> rules -> flags (the silver timesheet step)."""
     return silver_pair(spark, sf)[1]
 
 
