@@ -12,8 +12,11 @@ from pyspark.sql.types import StringType
 
 from workpulse.functions.expr import blank_to_null as _blank
 
-# Identifier keywords (case-insensitive substrings) that mark a
-# pay-code or comment fragment shifted into the employee id column.
+# Fixed values (must equal the source system's):
+# - identifier keywords (case-insensitive substrings) that mark a pay-code or
+#   comment fragment shifted into the employee id column;
+# - the termination-reason prefix removed from the reason text;
+# - the date and timestamp text formats of the extracts.
 INVALID_ID_KEYWORDS = ("meal", "missed", "tardy", "late", "note", "voluntary", "punch",
                        "traffic", "mbta", "adj for")
 TERMINATION_PREFIX = r"^Terminate_Employee_"

@@ -20,9 +20,8 @@ def PCT(num: str, den: str, scale: int = 2) -> str:
     return R(f"CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) * 100", scale)
 
 
-OT = r"(?i)(^|[- ])OT( |$)"
-LEAVE = (r"(?i)(PTO|VACATION|SICK|BEREAVEMENT|JURY DUTY|LOA|UNPAID|PERSONAL|HOLIDAY|"
-         r"APPROVED ABSENCE|ADMINISTRATIVE LEAVE|CANCELLED|CANCELED)")
+from workpulse.operators.codes import LEAVE_PATTERN as LEAVE  # noqa: E402
+from workpulse.operators.codes import OVERTIME_PATTERN as OT  # noqa: E402
 
 _DEPT = "CAST(CASE WHEN event_id % 10 = 0 THEN (user_id + 1) % 25 ELSE user_id % 25 END AS VARCHAR)"
 _SHIFT = "CAST(240 + (event_id * 7) % 420 + CASE WHEN event_id % 997 = 0 THEN 1260 ELSE 0 END AS BIGINT)"
