@@ -19,11 +19,29 @@ TIMESHEET_REQUIRED = ("client_employee_id", "department_id", "department_name",
                       "punch_out_datetime", "scheduled_start_datetime", "scheduled_end_datetime")
 EMPLOYEE_REQUIRED = ("client_employee_id", "hire_date", "term_date", "active_status",
                      "department_id", "department_name")
-TIMESHEET_TYPES = {"client_employee_id": "string", "hours_worked": "decimal(10,2)", "punch_apply_date": "date",
-                   "punch_in_datetime": "timestamp", "is_late_arrival": "boolean",
-                   "source_duplicate_count": "bigint", "actual_duration_minutes": "double"}
-EMPLOYEE_TYPES = {"hire_date": "date", "active_status": "boolean", "tenure_days": "int",
-                  "client_employee_id": "string"}
+TIMESHEET_TYPES = {
+    "client_employee_id": "string", "timesheet_id": "string", "hours_worked": "decimal(10,2)",
+    "punch_apply_date": "date", "punch_in_datetime": "timestamp", "punch_out_datetime": "timestamp",
+    "scheduled_start_datetime": "timestamp", "scheduled_end_datetime": "timestamp",
+    "actual_duration_minutes": "double", "actual_duration_hours": "double",
+    "scheduled_duration_minutes": "double", "late_arrival_minutes": "double",
+    "early_departure_minutes": "double", "overtime_minutes": "double", "overtime_hours": "double",
+    "hours_worked_vs_punch_variance": "double", "is_schedulable": "boolean",
+    "is_late_arrival": "boolean", "is_early_departure": "boolean", "is_overtime": "boolean",
+    "is_excessive_duration": "boolean", "pay_code_count": "int", "has_multiple_pay_codes": "boolean",
+    "has_overtime_pay_code": "boolean", "has_leave_pay_code": "boolean",
+    "employee_master_match": "boolean", "source_duplicate_count": "bigint"}
+EMPLOYEE_TYPES = {
+    "client_employee_id": "string", "hire_date": "date", "term_date": "date",
+    "tenure_end_date": "date", "active_status": "boolean", "manager_exists": "boolean",
+    "is_early_attrition": "boolean", "tenure_days": "int", "days_to_termination": "int",
+    "tenure_years": "double", "scheduled_weekly_hour": "decimal(10,2)"}
+GOLD_TYPES = {
+    "daily_headcount": {"calendar_date": "date", "active_headcount": "bigint"},
+    "working_hours": {"total_working_days": "bigint", "total_hours_worked": "double",
+                      "first_work_date": "date"},
+    "attendance_metrics": {"late_arrival_count": "bigint", "late_arrival_rate_pct": "double"},
+}
 
 
 def gold_frames(employee: DataFrame, timesheet: DataFrame) -> dict[str, DataFrame]:
@@ -108,6 +126,8 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
         check_columns("DQ_SCHEMA_EXIST_employee", "employee", frames["employee"], EMPLOYEE_REQUIRED),
         *check_types("DQ_SCHEMA_TYPE_timesheet", "timesheet", frames["timesheet"], TIMESHEET_TYPES),
         *check_types("DQ_SCHEMA_TYPE_employee", "employee", frames["employee"], EMPLOYEE_TYPES),
+        *[c for t, types in GOLD_TYPES.items()
+          for c in check_types(f"DQ_SCHEMA_TYPE_{t}", t, frames[t], types, layer="gold")],
     ]
     return checks
 
@@ -204,5 +224,7 @@ def status_sql(as_of: dt.date, punch_as_of: dt.date) -> str:
           for k in TIMESHEET_TYPES],
         *[f"SELECT 'DQ_SCHEMA_TYPE_employee_{k}' AS check_id, 'PASS' AS status"
           for k in EMPLOYEE_TYPES],
+        *[f"SELECT 'DQ_SCHEMA_TYPE_{t}_{k}' AS check_id, 'PASS' AS status"
+          for t, types in GOLD_TYPES.items() for k in types],
     ]
     return "\nUNION ALL\n".join(f"({x})" for x in parts)
