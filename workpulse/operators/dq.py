@@ -234,6 +234,13 @@ def check_non_empty(cid, table, layer="gold") -> Check:
                  "{rows} > 0", txt("rows"), ">0", concat(txt("rows"), " rows."), "FAIL", layer)
 
 
+def check_info(cid, table, name, predicate_sql: str, layer="silver") -> Check:
+    """Informational count of rows matching a predicate (always PASS)."""
+    return Check(cid, name, table, "informational", "INFO", {"rows": cnt(predicate_sql)},
+                 "TRUE", txt("rows"), "informational", concat(txt("rows"), f" rows: {name}."),
+                 "PASS", layer)
+
+
 def check_counts(cid_prefix, tables: Sequence[str], layer="silver") -> list[Check]:
     """Informational row counts (always PASS)."""
     return [Check(f"{cid_prefix}_{t}", f"{t} row count", t, "volume", "INFO", {"rows": "count(1)"},

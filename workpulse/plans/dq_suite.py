@@ -71,6 +71,7 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
         check_unique("DQ006_1", "timesheet", ["timesheet_id"], nulls_fail=True),
         check_complete("DQ006_2", "timesheet", "client_employee_id"),
         check_complete("DQ006_3", "timesheet", "pay_code"),
+        dq.check_info("DQ006_3m", "timesheet", "rows with several pay codes", "pay_code LIKE '%|%'"),
         check_range("DQ006_4a", "timesheet", "hours_worked", low=0, name="hours_worked negatives"),
         check_range("DQ006_4b", "timesheet", "hours_worked", high=24, severity="WARNING",
                     name="hours_worked above 24"),
@@ -178,6 +179,7 @@ def status_sql(as_of: dt.date, punch_as_of: dt.date) -> str:
             "(SELECT timesheet_id AS k, count(*) AS n FROM s_silver GROUP BY 1)"),
         _complete("DQ006_2", "s_silver", "client_employee_id"),
         _complete("DQ006_3", "s_silver", "pay_code"),
+        "SELECT 'DQ006_3m' AS check_id, 'PASS' AS status",
         _none("DQ006_4a", "s_silver", "hours_worked < 0"),
         _none("DQ006_4b", "s_silver", "hours_worked > 24", "WARNING"),
         _none("DQ006_5a", "s_silver", "punch_in_datetime IS NULL OR punch_out_datetime IS NULL",

@@ -95,7 +95,7 @@ def dq_status(spark, sf):
     return report(spark, sf).select("check_id", "status")
 
 
-SEVERITY = {"DQ005_3": "WARNING", "DQ006_4b": "WARNING", "DQ006_5a": "WARNING", "DQ006_6a": "WARNING",
+SEVERITY = {"DQ006_3m": "INFO", "DQ005_3": "WARNING", "DQ006_4b": "WARNING", "DQ006_5a": "WARNING", "DQ006_6a": "WARNING",
             "DQ007": "WARNING", "DQ008_3": "WARNING", "DQ010_4": "WARNING", "DQ011_1": "WARNING",
             "DQ011_2": "WARNING"}
 _SEV_SQL = "CASE " + " ".join(f"WHEN check_id LIKE '{k}%' THEN '{v}'" for k, v in SEVERITY.items()) + \
