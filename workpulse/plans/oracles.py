@@ -12,8 +12,8 @@ from __future__ import annotations
 def R(x: str, scale: int = 2) -> str:
     k = f"CAST({10 ** scale} AS DOUBLE)"
     v = f"CAST(({x}) AS DOUBLE)"
-    return (f"(CAST(CASE WHEN {v} < 0 THEN -floor(-{v} * {k} + 0.500000001) "
-            f"ELSE floor({v} * {k} + 0.500000001) END AS DOUBLE) / {k})")
+    return (f"(CAST(CASE WHEN {v} < 0 THEN -CAST(floor(-{v} * {k} + 0.500000001) AS BIGINT) "
+            f"ELSE CAST(floor({v} * {k} + 0.500000001) AS BIGINT) END AS DOUBLE) / {k})")
 
 
 def PCT(num: str, den: str, scale: int = 2) -> str:
