@@ -50,3 +50,23 @@ def test_bucketize(spark):
 def test_rounding_is_half_up(spark):
     df = spark.createDataFrame([(1.005,), (2.675,), (-1.005,), (0.0,)], "v double")
     assert [r[0] for r in df.select(X.rnd("v", 2)).collect()] == [1.01, 2.68, -1.01, 0.0]
+
+
+def test_required_and_existing_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert clean.missing_columns(df, ["a", "c"]) == ["c"]
+    with pytest.raises(ValueError):
+        clean.require_columns(df, ["a", "c"])
+    assert clean.drop_existing(df, ["b", "zz"]).columns == ["a"]
+
+
+def test_tagged_union_aggregate(spark):
+    from pyspark.sql import functions as F
+
+    from workpulse.operators.combine import of, tagged_union
+    u = tagged_union({"x": spark.range(3).select(F.col("id").alias("v")),
+                      "y": spark.range(5).select()})
+    r = u.agg(F.sum(of("x", F.col("v"))).alias("sx"), F.count(of("y")).alias("ny")).first()
+    assert (r.sx, r.ny) == (3, 5)
+    plan = u.agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
