@@ -121,6 +121,8 @@ def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
     from workpulse.operators import dq, hours, quarantine
     from workpulse.plans import dq_suite
     from workpulse.sources import io
+    # surrogate ids hash the JSON text of timestamps, rendered in the session zone
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     batch_id = batch_id or io.new_batch_id()
     paths = {}
 
