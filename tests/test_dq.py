@@ -51,3 +51,8 @@ def test_reconcile_gap(spark):
     got = {r.check_id: r for r in rep.collect()}
     assert got["R"].status == "PASS" and got["R"].actual_value.endswith("unexplained_gap=1")
     assert got["R2"].status == "WARNING"
+
+
+def test_empty_suite(spark):
+    rep = dq.dq_report(spark, {}, [])
+    assert rep.count() == 0 and dq.dq_gate(rep).first().gate_status == "PASS"

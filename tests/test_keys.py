@@ -64,3 +64,9 @@ def test_dedup_idempotent_and_counts_every_row(spark, rows):
     twice = keys.deduplicate(once.drop("source_duplicate_count"))
     assert sorted(map(tuple, once.drop("source_duplicate_count").collect()), key=str) == \
         sorted(map(tuple, twice.drop("source_duplicate_count").collect()), key=str)
+
+
+def test_dedup_without_lineage_columns(spark):
+    df = spark.createDataFrame([("1", "b"), ("1", "a"), ("2", "c")], "k string, v string")
+    out = {r.k: (r.v, r.source_duplicate_count) for r in keys.deduplicate(df, keys=["k"]).collect()}
+    assert out == {"1": ("a", 2), "2": ("c", 1)}

@@ -302,6 +302,9 @@ def _bind(template: str, names: Mapping[str, str]) -> str:
 def dq_report(spark: SparkSession, frames: Frames, checks: Sequence[Check],
               checked_at: dt.datetime | None = None) -> DataFrame:
     """Compile the checks: one aggregate per distinct frame, then union."""
+    if not checks:
+        schema = ", ".join(f"{n} string" for n in REPORT_FIELDS[:-1]) + ", checked_at timestamp"
+        return spark.createDataFrame([], schema)
     frames = dict(frames)
     frames.setdefault("__meta__", spark.range(1))
     ts = "current_timestamp()" if checked_at is None else \

@@ -40,6 +40,7 @@ def deduplicate(df: DataFrame, keys: Sequence[str] = TIMESHEET_KEY,
     each with a count of 1.
     """
     keys = list(keys)
+    order = [o for o in order if o in df.columns]     # lineage columns are optional
     rest = [x for x in df.columns if x not in keys and x not in order]
     payload = list(order) + rest
     winner = F.min(F.struct(*[F.col(x) for x in payload])).alias("_w")

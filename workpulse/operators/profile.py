@@ -45,6 +45,8 @@ def profile_ranges(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     """One row: min and max of every date/timestamp column (or ``cols``)."""
     if cols is None:
         cols = [n for n, t in df.dtypes if t in ("date", "timestamp", "timestamp_ntz")]
+    if not cols:
+        return df.agg(F.count(F.lit(1)).alias("row_count"))
     return df.agg(*[a for c in cols for a in (F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))])
 
 
