@@ -50,8 +50,9 @@ def rnd(x: ColLike, scale: int = 2) -> Column:
 
 
 def pct(numerator: ColLike, denominator: ColLike, scale: int = 2) -> Column:
-    """``round(num / den * 100, scale)``; null when the denominator is 0/null."""
-    return rnd(c(numerator) / c(denominator) * 100, scale)
+    """``round(num / den * 100, scale)``; null when the denominator is 0/null
+    (``try_divide``: no ANSI divide-by-zero error on empty groups)."""
+    return rnd(F.try_divide(c(numerator), c(denominator)) * 100, scale)
 
 
 def epoch_seconds(ts: ColLike) -> Column:

@@ -191,7 +191,7 @@ def check_reference(cid, fact, fk, master, pk, severity="WARNING", fail_status="
                  concat("unmatched=", txt("unmatched"), " of ", txt("distinct_keys")),
                  "unmatched=0",
                  concat(txt("unmatched"), f" distinct {fk} values (",
-                        "cast(round({unmatched} * 100.0 / {distinct_keys}, 2) as string)",
+                        "cast(round({unmatched} * 100.0 / NULLIF({distinct_keys}, 0), 2) as string)",
                         "%) have no master row."),
                  fail_status, layer, frame_key=f"{fact}|ref|{fk}|{master}|{pk}", frame=frame)
 
