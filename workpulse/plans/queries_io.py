@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from workpulse.operators import changes, hours
 from workpulse.plans import bindings as B
 from workpulse.plans.queries_kpi import WH_SQL
+from workpulse.plans.queries_silver import REASON_SQL
 from workpulse.plans.registry import register
 from workpulse.sources import io
 
@@ -190,3 +191,25 @@ def changes_rejected(spark, sf):
     base, ch = _changes(spark, sf)
     rej = changes.apply_changes(base, ch, "c_custkey")[1]
     return rej.withColumn("set_fields", F.array_join("set_fields", ","))
+
+
+@register("stream_bronze_ingest", f"""
+SELECT {', '.join(RAW_DATA_COLS)} FROM b_raw
+WHERE ({REASON_SQL}) IS NULL""")
+def stream_bronze_ingest(spark, sf):
+    """Structured Streaming bronze step: extract files landing in a folder are
+    ingested incrementally (availableNow), split into clean and quarantined
+    rows and appended; the clean rows are read back."""
+    from workpulse.plans import pipeline
+    from workpulse.streaming import ingest
+    raw = B.raw_extract(spark, sf)
+    root = io.scratch_path(spark, "stream")
+    for name in ("extract_a.csv", "extract_b.csv"):
+        io.write_extract(raw.filter(F.col("_source_file") == name).select(*RAW_DATA_COLS),
+                         f"{root}/landing/{name.split('.')[0]}")
+    q = ingest.start_bronze_ingest(spark, f"{root}/landing/*", RAW_DATA_COLS, f"{root}/lake",
+                                   f"{root}/checkpoint", pipeline.timesheet_reasons())
+    if not q.awaitTermination(1800):
+        q.stop()
+        raise TimeoutError("bronze stream did not drain its backlog")
+    return spark.read.parquet(f"{root}/lake/bronze/timesheet").select(*RAW_DATA_COLS)
