@@ -45,3 +45,14 @@ def test_reference_flags(spark):
     assert total == {"1": False, "2": True, "3": False}
     assert [r.manager_employee_id for r in refs.orphans(
         emp, "manager_employee_id", emp, "client_employee_id").collect()] == ["9"]
+
+
+def test_packed_rules_equal_per_code_rules(spark):
+    import itertools
+    vals = ["OT", " OT ", "A|OT", "A | OT", "OT|B", "XOT", "OTX", "TM-12 OT 50HP", "a-ot", "b ot|c",
+            "LOA", "Float", "x|", "|", "", "OT -", "-OT", "A|-OT", "A| OT|B", "JURY|DUTY", "Sick"]
+    rows = [(v,) for v in vals] + [(f"{a}|{b}",) for a, b in itertools.product(vals, repeat=2)]
+    df = spark.createDataFrame(rows + [(None,)], "pay_code string")
+    fast = codes.with_code_flags(df).collect()
+    per_code = codes.with_code_flags(df, flags=codes.DEFAULT_FLAGS).collect()
+    assert [tuple(r) for r in fast] == [tuple(r) for r in per_code]

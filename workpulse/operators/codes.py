@@ -27,6 +27,12 @@ SEPARATOR = r"\|"
 
 DEFAULT_FLAGS = {"overtime": OVERTIME_PATTERN, "leave": LEAVE_PATTERN}
 
+# The same two rules stated on the packed text: a code boundary is the start or
+# end of the text or a '|' (codes are trimmed of spaces, which the rules already
+# accept as separators), and no leave keyword contains '|', so a substring match
+# never spans two codes.  Evaluated as one rlike per row (code-generated).
+PACKED_FLAGS = {"overtime": r"(?i)(^|[- |])OT( |\||$)", "leave": LEAVE_PATTERN}
+
 
 def with_packed_count(df: DataFrame, code_col: str = "pay_code",
                       count_col: str = "pay_code_count",
@@ -59,8 +65,12 @@ def with_code_flags(df: DataFrame, code_col: str = "pay_code",
                     flags: Mapping[str, str] | None = None) -> DataFrame:
     """``has_<name>_pay_code``: some trimmed atomic code of the row matches the
     pattern.  Same result as bridge -> dimension -> bool_or per punch, without
-    the two shuffles."""
-    flags = DEFAULT_FLAGS if flags is None else flags
+    the two shuffles.  The default rules run on the packed text
+    (``PACKED_FLAGS``); caller-supplied per-code patterns are evaluated on the
+    split, trimmed codes."""
+    if flags is None:
+        return df.withColumns({f"has_{name}_pay_code": F.col(code_col).rlike(p)
+                               for name, p in PACKED_FLAGS.items()})
     parts = F.transform(F.split(F.col(code_col), SEPARATOR), lambda x: F.trim(x))
     return df.withColumns({f"has_{name}_pay_code": any_match(parts, p)
                            for name, p in flags.items()})
