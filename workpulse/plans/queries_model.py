@@ -52,6 +52,15 @@ def decode_flag(spark, sf):
         "client_employee_id", "active_status", "employment_status")
 
 
+@register("employment_status", """
+SELECT employment_status, count(*) AS employees FROM b_employee GROUP BY 1""")
+def employment_status(spark, sf):
+    """PRJ13: Active / Terminated / Unknown label from the tri-state flag."""
+    e = B.employee_raw(spark, sf).withColumn("active_status", X.decode_flag("active_status"))
+    return e.groupBy(workforce.employment_status().alias("employment_status")).agg(
+        F.count(F.lit(1)).alias("employees"))
+
+
 @register("strip_prefix", "SELECT client_employee_id, termination_reason FROM e1")
 def strip_prefix(spark, sf):
     """PRJ12: remove ``^Terminate_Employee_``."""
