@@ -38,6 +38,10 @@ def get_spark(master: str | None = None, partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("WORKPULSE_DRIVER_MEMORY", "16g"))
     )
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_dir:  # stage/task timings without the UI: Spark's event log in a scratch folder
+        builder = builder.config("spark.eventLog.enabled", "true") \
+            .config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
