@@ -52,3 +52,37 @@ def test_stream_ingest_available_now(spark, tmp_path):
     bad = spark.read.parquet(str(tmp_path / "lake" / "bronze" / "timesheet_quarantine"))
     assert good.count() + bad.count() == 300
     assert bad.filter(F.col("dq_reason").isNull()).count() == 0
+
+
+def test_stream_restart_is_exactly_once(spark, tmp_path):
+    raw = B.raw_extract(spark, SF).select(*RAW_COLS)
+    folder = tmp_path / "landing"
+    lake, ckpt = str(tmp_path / "lake"), str(tmp_path / "ckpt")
+
+    def run_once():
+        q = ingest.start_bronze_ingest(spark, str(folder / "*"), RAW_COLS, lake, ckpt,
+                                       pipeline.timesheet_reasons())
+        q.awaitTermination(120)
+
+    def total():
+        good = spark.read.parquet(f"{lake}/bronze/timesheet").count()
+        bad = spark.read.parquet(f"{lake}/bronze/timesheet_quarantine").count()
+        return good + bad
+
+    io.write_extract(raw.limit(200), str(folder / "f1"))
+    run_once()
+    assert total() == 200
+    run_once()                                   # restart, nothing new: nothing re-ingested
+    assert total() == 200
+    io.write_extract(raw.limit(50), str(folder / "f2"))
+    run_once()                                   # only the new file is read
+    assert total() == 250
+
+
+def test_pipeline_strict_gate_raises(spark, tmp_path):
+    import pytest
+    _write_inputs(spark, tmp_path)
+    with pytest.raises(RuntimeError, match="data-quality gate FAIL"):
+        pipeline.run(spark, str(tmp_path / "in" / "employee"), str(tmp_path / "in" / "timesheet_*"),
+                     str(tmp_path / "lake"), as_of=B.AS_OF, punch_as_of=dt.date(2024, 2, 1),
+                     strict=True)
