@@ -24,13 +24,13 @@ ROUND_FUNCTION = "wp_round_half_up"
 _ROUND_SQL = (f"CREATE OR REPLACE TEMPORARY FUNCTION {ROUND_FUNCTION}(x DOUBLE, k DOUBLE) "
               "RETURNS DOUBLE RETURN CAST(CASE WHEN x < 0 THEN -floor(-x * k + 0.500000001) "
               "ELSE floor(x * k + 0.500000001) END AS DOUBLE) / k")
-_registered: set[int] = set()
+_registered: set = set()
 
 
 def _ensure_round_function() -> None:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    key = id(spark)
+    key = (id(spark), id(spark._jsparkSession))
     if key not in _registered:
         spark.sql(_ROUND_SQL)
         _registered.add(key)

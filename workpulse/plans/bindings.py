@@ -38,7 +38,8 @@ def _memo(fn):
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        key = (id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kwargs.items())))
+        key = (id(spark), id(spark._jsparkSession), sf_dir.rstrip("/"), args,
+               tuple(sorted(kwargs.items())))
         if key not in cache:
             cache[key] = fn(spark, sf_dir, *args, **kwargs)
         return cache[key]
