@@ -38,7 +38,7 @@ def schedule_adherence(spark, sf):
 
 @register("hours_variance",
           f"SELECT {KEY_SQL}, hours_worked, actual_duration_hours, hours_worked_vs_punch_variance "
-          "FROM t_silver")
+          "FROM t_silver", doubles=("hours_worked",))
 def hours_variance(spark, sf):
     """PRJ23: declared minus punched hours."""
     t = attendance.with_hours_variance(attendance.with_durations(B.punch(spark, sf)))
@@ -307,7 +307,7 @@ SELECT CASE WHEN pay_code IN ('Vacation TM', 'LOA - Un Paid TM') THEN 'Likely pa
     WHEN hours_worked = 24.50 AND pay_code = 'Hourly' THEN 'Likely legitimate extended shift'
     ELSE 'Manual review: exceptional long shift' END AS investigation_classification,
   count(*) AS record_count, min(hours_worked) AS min_hours_worked, max(hours_worked) AS max_hours_worked
-FROM t_silver WHERE hours_worked > 24 GROUP BY 1""")
+FROM t_silver WHERE hours_worked > 24 GROUP BY 1""", doubles=("min_hours_worked", "max_hours_worked"))
 def long_shift_review(spark, sf):
     """GLD13: records with declared hours > 24 by investigation class."""
     return hours.long_shift_review(B.timesheet(spark, sf))

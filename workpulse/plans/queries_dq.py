@@ -75,7 +75,7 @@ def report(spark, sf):
     return dq_suite.run_suite(spark, dq_frames(spark, sf), B.AS_OF, PUNCH_AS_OF, CHECKED_AT)
 
 
-@register("silver_timesheet", SILVER_CTES + "SELECT * FROM s_silver")
+@register("silver_timesheet", SILVER_CTES + "SELECT * FROM s_silver", doubles=("hours_worked",))
 def silver_timesheet(spark, sf):
     """Bronze extract -> quarantine -> typing -> dedup -> rules -> flags (the silver timesheet step)."""
     return silver_pair(spark, sf)[1]

@@ -84,7 +84,7 @@ def lookup_many(spark, sf):
 @register("lookup_page", """
 SELECT client_employee_id, punch_apply_date, timesheet_id, hours_worked FROM t_silver
 WHERE punch_apply_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'
-ORDER BY punch_apply_date, timesheet_id OFFSET 100 LIMIT 1000""")
+ORDER BY punch_apply_date, timesheet_id OFFSET 100 LIMIT 1000""", doubles=("hours_worked",))
 def lookup_page(spark, sf):
     """RD2/FLT10/SRT5: inclusive date window, ordered by (date, id), one page."""
     ts = B.timesheet(spark, sf).select("client_employee_id", "punch_apply_date", "timesheet_id",

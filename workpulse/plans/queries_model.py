@@ -19,7 +19,7 @@ EMP_COLS = ["client_employee_id", "first_name", "last_name", "full_name", "job_t
             "is_early_attrition"]
 
 
-@register("silver_employee", f"SELECT {', '.join(EMP_COLS)} FROM b_employee")
+@register("silver_employee", f"SELECT {', '.join(EMP_COLS)} FROM b_employee", doubles=("scheduled_weekly_hour",))
 def silver_employee(spark, sf):
     """Bronze employee -> silver (PRJ1-16, JN1) in one chain."""
     return B.employee(spark, sf).select(*EMP_COLS)
@@ -85,7 +85,7 @@ def full_name(spark, sf):
 
 @register("cast_tolerant", """
 SELECT client_employee_id, hire_date, term_date, scheduled_weekly_hour,
-  TRY_CAST(client_employee_id AS BIGINT) AS employee_number FROM e_raw""")
+  TRY_CAST(client_employee_id AS BIGINT) AS employee_number FROM e_raw""", doubles=("scheduled_weekly_hour",))
 def cast_tolerant(spark, sf):
     """PRJ5-9: tolerant date and decimal casts (bad text -> NULL)."""
     e = B.employee_raw(spark, sf)

@@ -27,7 +27,7 @@ ORDER_SQL = ", ".join(f"{c} ASC NULLS FIRST" for c in ["_source_file", "_ingeste
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, count(*) OVER (PARTITION BY {KEY_SQL}) AS source_duplicate_count,
     row_number() OVER (PARTITION BY {KEY_SQL} ORDER BY {ORDER_SQL}) AS rn
-  FROM b_extract) WHERE rn = 1""")
+  FROM b_extract) WHERE rn = 1""", doubles=("hours_worked",))
 def dedup_extracts(spark, sf):
     """WN1/JN3: one row per natural key (null parts collapse), copies counted."""
     return keys.deduplicate(B.extract(spark, sf))
@@ -40,7 +40,7 @@ SELECT * EXCLUDE (rn) FROM (
   FROM b_extract WHERE {' AND '.join(f'{k} IS NOT NULL' for k in KEY)}) WHERE rn = 1
 UNION ALL
 SELECT *, 1 AS source_duplicate_count FROM b_extract
-WHERE {' OR '.join(f'{k} IS NULL' for k in KEY)}""")
+WHERE {' OR '.join(f'{k} IS NULL' for k in KEY)}""", doubles=("hours_worked",))
 def dedup_extracts_keep_null_keys(spark, sf):
     """Dedup with ``null_key_policy='keep'``: rows with a null key part pass."""
     return keys.deduplicate(B.extract(spark, sf), null_key_policy="keep")
@@ -127,7 +127,7 @@ SELECT client_employee_id, department_id, department_name, trim(pay_code) AS pay
   TRY_CAST(scheduled_start_datetime AS TIMESTAMP) AS scheduled_start_datetime,
   TRY_CAST(scheduled_end_datetime AS TIMESTAMP) AS scheduled_end_datetime, _source_file,
   _ingested_at, _batch_id
-FROM b_raw WHERE ({REASON_SQL}) IS NULL""")
+FROM b_raw WHERE ({REASON_SQL}) IS NULL""", doubles=("hours_worked",))
 def quarantine_good(spark, sf):
     """FLT3/FLT4/PRJ6/PRJ9: clean rows, typed (tolerant casts)."""
     good, _ = _split(spark, sf)

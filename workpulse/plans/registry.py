@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import DecimalType, TimestampType
 
 from workpulse.plans.oracles import q
 
@@ -19,14 +19,26 @@ ORACLES: dict[str, str] = {}
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Present timestamps as wall-clock TIMESTAMP_NTZ (UTC) so collected
-    values do not depend on the caller's zone."""
-    casts = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields
-             if isinstance(f.dataType, TimestampType)}
+    """Present results in collection-neutral types: timestamps as wall-clock
+    TIMESTAMP_NTZ (UTC), so collected values do not depend on the caller's
+    zone, and decimals as doubles (the oracles do the same), so values compare
+    equal whether collected as Python objects or through pandas."""
+    casts = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, TimestampType):
+            casts[f.name] = F.col(f.name).cast("timestamp_ntz")
+        elif isinstance(f.dataType, DecimalType):
+            casts[f.name] = F.col(f.name).cast("double")
     return df.withColumns(casts) if casts else df
 
 
-def register(name: str, oracle: str | None = None):
+def register(name: str, oracle: str | None = None, doubles: tuple[str, ...] = ()):
+    """Register ``fn`` as query ``name`` with its DuckDB ``oracle``; ``doubles``
+    names oracle columns of DECIMAL type presented as DOUBLE (like ``finish``)."""
+    if oracle is not None and doubles:
+        repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in doubles)
+        oracle = f"SELECT * REPLACE ({repl}) FROM ({oracle.strip()})"
+
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return finish(fn(spark, sf_dir))
