@@ -331,9 +331,11 @@ def dq_report(spark: SparkSession, frames: Frames, checks: Sequence[Check],
                 f"{q(n)}, {v}" for n, v in zip(REPORT_FIELDS, fields)) + ")")
         parts.append(base.agg(*aggs).select(
             F.explode(F.expr("array(" + ", ".join(records) + ")")).alias("r")).select("r.*"))
+    # every part has the same 11 record fields in the same order: a positional
+    # union avoids re-resolving columns for each of the many parts
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.union(p)
     return out
 
 

@@ -151,7 +151,7 @@ def catalog_inventory(spark: SparkSession, names: Sequence[str]) -> DataFrame:
                 F.lit(None).cast("int").alias("column_count"), F.lit(False).alias("exists")))
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.union(p)      # identical (table_name, row_count, column_count, exists) parts
     return out
 
 
