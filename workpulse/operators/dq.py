@@ -139,14 +139,14 @@ def check_range(cid, table, col, low=None, high=None, severity="CRITICAL", fail_
     c = _ident(col)
     bad = " OR ".join(([f"{c} < {low}"] if low is not None else []) +
                       ([f"{c} > {high}"] if high is not None else [])) or "FALSE"
-    return Check(cid, name or f"{col} range [{low}, {high}]", table, "validity", severity,
+    bounds = f"[{'-inf' if low is None else low}, {'inf' if high is None else high}]"
+    return Check(cid, name or f"{col} range {bounds}", table, "validity", severity,
                  {"out_of_range": cnt(bad), "nulls": cnt(f"{c} IS NULL"), "zeros": cnt(f"{c} = 0")},
                  "{out_of_range} = 0",
                  concat("out_of_range=", txt("out_of_range"), ", nulls=", txt("nulls"),
                         ", zeros=", txt("zeros")),
                  "out_of_range=0",
-                 concat(txt("out_of_range"), f" values of {col} outside "
-                        f"[{'-inf' if low is None else low}, {'inf' if high is None else high}]."),
+                 concat(txt("out_of_range"), f" values of {col} outside {bounds}."),
                  fail_status or _status_default(severity), layer)
 
 
