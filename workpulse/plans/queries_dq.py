@@ -49,19 +49,21 @@ dq_am AS (SELECT client_employee_id,
 """
 
 
-def silver_pair(spark, sf):
-    raw = B.raw_extract(spark, sf)
+def silver_pair(spark, sf, raw=None):
+    raw = B.raw_extract(spark, sf) if raw is None else raw
     silver, bad = pipeline.silver_timesheet(raw, B.master_ids(spark, sf),
                                             checked_at=F.lit(CHECKED_AT).cast("timestamp"))
     return raw, silver, bad
 
 
 def dq_frames(spark, sf):
-    """Frames of the suite.  The silver timesheet (the large, expensive frame)
-    is checkpointed once (reliable checkpoint in spark.checkpoint.dir) so the
-    suite's aggregate branches read it instead of re-running dedup and the
-    rules; the small employee dimension is cheaper to recompute than to write."""
-    raw, silver, bad = silver_pair(spark, sf)
+    """Frames of the suite, shaped like the pipeline's written layers: the
+    bronze extract and the silver timesheet are checkpointed once (reliable
+    checkpoint in spark.checkpoint.dir), so the report's branches read them
+    instead of re-deriving bronze and re-running dedup and the rules; the small
+    employee dimension is cheaper to recompute than to write."""
+    raw = io.materialize(B.raw_extract(spark, sf))
+    raw, silver, bad = silver_pair(spark, sf, raw)
     silver = io.materialize(silver)
     good, _ = quarantine.split_quarantine(raw, pipeline.timesheet_reasons())
     emp = B.employee(spark, sf)
