@@ -43,3 +43,16 @@ FROM sizes s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
 LEFT JOIN taken t ON s.doc_id IS NOT DISTINCT FROM t.doc_id
   AND s.source IS NOT DISTINCT FROM t.source AND s.size = t.size
 """
+
+LINE_DEDUP = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+parts AS (SELECT r, doc_id, string_split(text, chr(10)) AS ls FROM docs),
+lines AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM parts),
+keyed AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+bad AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+flagged AS (SELECT k.*, b.key IS NOT NULL AS gone FROM keyed k LEFT JOIN bad b ON k.key = b.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM flagged GROUP BY r, doc_id
+"""

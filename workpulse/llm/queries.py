@@ -7,8 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from workpulse.llm import mixing, oracles
+from workpulse.llm import line_dedup, mixing, oracles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op1_mixing", oracles.MIXING)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(*mixing.mix(table(spark, sf_dir, "documents")))
+
+
+@query("op2_line_dedup", oracles.LINE_DEDUP)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = line_dedup.with_kept_lines(docs, line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1))
+    return made.select("d.doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
