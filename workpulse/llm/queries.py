@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import line_dedup, mixing, oracles
+from workpulse.llm import line_dedup, mixing, oracles, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = line_dedup.with_kept_lines(docs, line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1))
     return made.select("d.doc_id", "n_lines", "n_dropped",
                        F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op3_simhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_in=3, radius=3)
+    return made.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                       "component_id")
