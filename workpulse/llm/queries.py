@@ -6,10 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import line_dedup, mixing, oracles, simhash
+from workpulse.llm import bpe, line_dedup, mixing, oracles, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +47,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_in=3, radius=3)
     return made.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                        "component_id")
+
+
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return made.select("d.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
