@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import bpe, line_dedup, mixing, oracles, simhash
+from workpulse.llm import bpe, langid, line_dedup, mixing, oracles, outliers, simhash, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return made.select("d.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = texts.crc_class("doc_id", 4) == 2
+    learned = langid.dictionaries(docs, ~held_out)
+    made = langid.predicted(docs.select("doc_id", "text"), learned)
+    return made.select("d.doc_id", F.col("d.doc_id").alias("i"), "lang_pred", "score", "rejected").select(
+        "doc_id", (texts.crc_class("i", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op8_outliers")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = outliers.judged(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", *outliers.STATS, "base_failed", "kept", "d2")
