@@ -3,17 +3,17 @@
 Each language has a raw-content zstandard dictionary, filled with text of a
 bounded sample of labelled documents.  A text is compressed, whole, in pieces of
 ``PIECE`` bytes with every dictionary; the language whose dictionary makes it
-smallest is the answer.  The score weighs each language by 2 to the power of
+smallest is the answer.  Case is ignored.  The score weighs each language by 2 to the power of
 minus the bytes it is behind, so a tie of two scores 0.5; narrow margins are
-rejected.
+rejected, save in texts too short to tell languages apart.
 
 Bounds: ``sample_docs`` documents a language, of each at most ``DOC_CHARS``
 characters, make a dictionary of at most ``dictionary_bytes``; more than
 ``MAX_LANGUAGES`` labels raise an error.  Predictions read nothing but the text.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so
-is every text when nothing could be learned; a tie goes to the language first in
-code-point order; null labels, null ids and null texts are not learned from;
+is every text when nothing could be learned; a tie goes to the label learned from
+more rows, then to the first in code-point order; null labels, null ids and null texts are not learned from;
 repeated rows count once in the sample; columns of the input are carried in one
 struct.
 """
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -35,9 +36,10 @@ MAX_LANGUAGES = 500
 UNKNOWN = "und"
 
 
-def dictionaries(docs: DataFrame, learn: Column, sample_docs: int = 100,
+def dictionaries(docs: DataFrame, learn: Column, sample_docs: int = 200,
                  dictionary_bytes: int = 96 << 10) -> dict[str, bytes]:
-    """Dictionary of each label, from rows for which ``learn`` holds."""
+    """Dictionary of each label, the most frequent label first, from rows for
+    which ``learn`` holds."""
     rows = docs.select(F.col("doc_id"), F.col("lang"), F.col("text"), learn.alias("learn")).where(
         "learn AND lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL")
     counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
@@ -55,8 +57,9 @@ def dictionaries(docs: DataFrame, learn: Column, sample_docs: int = 100,
     sample = drawn.withColumn("n", F.row_number().over(order)).where(f"n <= {sample_docs}")
     texts: dict[str, list[bytes]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["n"])):
-        texts.setdefault(r["lang"], []).append(r["text"].encode())
-    return {lang: _fill(some, dictionary_bytes) for lang, some in texts.items()}
+        texts.setdefault(r["lang"], []).append(r["text"].lower().encode())
+    often = {r["lang"]: r["count"] for r in counts}
+    return {lang: _fill(texts[lang], dictionary_bytes) for lang in sorted(texts, key=lambda x: (-often[x], x))}
 
 
 def _fill(texts: list[bytes], size: int) -> bytes:
@@ -69,8 +72,8 @@ def _fill(texts: list[bytes], size: int) -> bytes:
 
 
 class Classifier:
-    def __init__(self, learned: dict[str, bytes], level: int = 3):
-        self.langs = sorted(learned)
+    def __init__(self, learned: dict[str, bytes], level: int = 9):
+        self.langs = list(learned)
         self.compressors = []
         for lang in self.langs:
             raw = zstandard.ZstdCompressionDict(learned[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -80,7 +83,7 @@ class Classifier:
                 write_dict_id=False))
 
     def sizes(self, text: str) -> np.ndarray:
-        data = text.encode()
+        data = text.lower().encode()
         pieces = [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
         return np.array([sum(len(c.compress(p)) for p in pieces) for c in self.compressors], float)
 
@@ -92,12 +95,12 @@ class Classifier:
         return self.langs[best], float(1 / np.exp2(sizes[best] - sizes).sum())
 
 
-def predicted(docs: DataFrame, learned: dict[str, bytes], min_score: float = 0.6) -> DataFrame:
+def predicted(docs: DataFrame, learned: dict[str, bytes], min_score: float = 0.5,
+              min_bytes: int = 64) -> DataFrame:
     """Columns of ``docs`` as struct ``d``, lang_pred, score, and rejected (no
-    language, or a score below ``min_score``)."""
+    language, or a score below ``min_score`` of a text of ``min_bytes`` or more)."""
     bc = docs.sparkSession.sparkContext.broadcast(learned)  # at most MAX_LANGUAGES dictionaries
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), "text")
-    rows = rows.select("d", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Classifier(bc.value)
@@ -105,8 +108,10 @@ def predicted(docs: DataFrame, learned: dict[str, bytes], min_score: float = 0.6
             made = [model.predict(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("d"), pa.array([m[0] for m in made], pa.string()),
-                 pa.array([m[1] for m in made], pa.float64())], names=["d", "lang_pred", "score"])
+                 pa.array([m[1] for m in made], pa.float64()), pc.binary_length(batch.column("text"))],
+                names=["d", "lang_pred", "score", "bytes"])
 
-    fields = f"d {rows.schema['d'].dataType.simpleString()}, lang_pred string, score double"
+    fields = f"d {rows.schema['d'].dataType.simpleString()}, lang_pred string, score double, bytes int"
+    narrow = (F.col("score") < min_score) & (F.col("bytes") >= min_bytes)
     return rows.mapInArrow(run, fields).withColumn(
-        "rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score))
+        "rejected", (F.col("lang_pred") == UNKNOWN) | narrow).drop("bytes")

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import bpe, langid, line_dedup, mixing, oracles, outliers, simhash, texts
+from workpulse.llm import bpe, knn, langid, line_dedup, mixing, oracles, outliers, simhash, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = outliers.judged(table(spark, sf_dir, "documents"))
     return made.select("doc_id", *outliers.STATS, "base_failed", "kept", "d2")
+
+
+@query("op5_top_k", oracles.TOP_K)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, top=5)
