@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import bpe, knn, langid, line_dedup, mixing, oracles, outliers, simhash, texts
+from workpulse.llm import bpe, knn, langid, line_dedup, mixing, oracles, outliers, secrets, simhash, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_top_k", oracles.TOP_K)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, top=5)
+
+
+@query("op10_secrets")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = secrets.secrets(table(spark, sf_dir, "documents"))
+    n = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}")
+         for k in range(3)]
+    return made.select(
+        "doc_id", *n, F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(F.sort_array(F.concat("base", "added"))).alias("spans"),
+        F.size("added").cast("long").alias("n_markov"))
