@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import bpe, knn, langid, line_dedup, mixing, oracles, outliers, secrets, simhash, texts
+from workpulse.llm import bpe, knn, langid, lbl, line_dedup, mixing, oracles, outliers, secrets, simhash, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *n, F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
         secrets.span_text(F.sort_array(F.concat("base", "added"))).alias("spans"),
         F.size("added").cast("long").alias("n_markov"))
+
+
+@query("op9_log_bilinear")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = texts.crc_class("doc_id", 7) == 2
+    made = lbl.scored(docs, texts.crc_class("doc_id", 7) != 2)
+    return made.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                       "train_tokens", "base_score", "score")
