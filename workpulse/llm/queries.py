@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import bpe, knn, langid, lbl, line_dedup, mixing, oracles, outliers, secrets, simhash, texts
+from workpulse.llm import bpe, knn, langid, lbl, line_dedup, mixing, oracles, outliers, secrets, simhash, substring, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = lbl.scored(docs, texts.crc_class("doc_id", 7) != 2)
     return made.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
                        "train_tokens", "base_score", "score")
+
+
+@query("op6_substring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = substring.repeated_passages(table(spark, sf_dir, "documents"), min_words=50, limit=0.8)
+    spans = F.transform("passages", lambda p: F.concat_ws(":", p["first"], p["last"], p["words"]))
+    return made.select("doc_id", F.size("passages").cast("long").alias("n_passages"), "n_words", "n_removed",
+                       F.array_join(spans, ",").alias("passages"), "first_doc_ids")
