@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -27,11 +28,24 @@ def test_partial_update_null_vs_unset_and_rejects(spark):
                        (5, "duplicate_change"), (9, "key_not_found")]
 
 
-def test_lookup_page_caps_and_orders(spark):
+def test_lookup_page_orders_and_rejects_a_larger_limit(spark):
     df = spark.range(3000).withColumn("d", F.lit("2024-01-01").cast("date"))
-    page = changes.lookup_page(df, ["d", "id"], offset=10, limit=5000)
-    rows = page.collect()
+    rows = changes.lookup_page(df, ["d", "id"], offset=10, limit=1000).collect()
     assert len(rows) == changes.MAX_PAGE and rows[0].id == 10
+    with pytest.raises(ValueError):
+        changes.lookup_page(df, ["d", "id"], limit=5000)
+    assert changes.lookup_page(df, ["d", "id"], limit=2000, max_page=2000).count() == 2000
+
+
+def test_every_change_is_applied_or_rejected(spark):
+    base = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], BASE)
+    ch = spark.createDataFrame([
+        (1, None, ["seg"], "n", "s"), (None, "I", [], "p", None), (None, "I", [], "q", None),
+        (2, "U", ["nope"], "z", None), (7, "I", [], "new", None)], CH)
+    snap, rej = changes.apply_changes(base, ch, "k")
+    assert sorted(r.reject_reason for r in rej.collect()) == ["null_key", "null_key", "unknown_field",
+                                                              "unknown_op"]
+    assert {r.k: r.name for r in snap.collect()} == {1: "a", 2: "b", 7: "new"}
 
 
 def test_extract_roundtrip_with_lineage(spark, tmp_path):

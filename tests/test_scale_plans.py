@@ -1,12 +1,11 @@
 """Plan-shape regressions for the scale design: hot keys fold map-side,
-headcount never becomes a nested-loop join, dimensions broadcast only when small."""
+headcount never becomes a nested-loop join, no join carries a hint."""
 
 import datetime as dt
 
 from pyspark.sql import functions as F
 
 from workpulse.operators import keys, workforce
-from workpulse.plans import sizing
 
 
 def _plan(df) -> str:
@@ -41,7 +40,16 @@ def test_headcount_sweep_has_no_nested_loop_join(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
-def test_broadcast_only_when_small(spark):
-    small = spark.range(10)
-    assert sizing.is_small(small)
-    assert not sizing.is_small(spark.range(10), max_rows=5, max_bytes=1)
+def test_disabled_broadcast_threshold_is_respected(spark):
+    """No join carries a hint, so a disabled threshold leaves shuffle joins."""
+    from workpulse.operators import changes, refs
+    df = spark.range(50).withColumnRenamed("id", "k")
+    exploded = spark.range(3).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(5000).cast("long"))).alias("p"))
+    wide = spark.range(40).select(F.col("id").alias("k"), F.lit("x" * 3000).alias("w"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for made in (refs.with_reference_flag(df, "k", exploded, "p", "hit"), changes.lookup_many(df, "k", wide)):
+            assert "BroadcastHashJoin" not in _plan(made)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

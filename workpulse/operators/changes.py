@@ -1,9 +1,9 @@
 """Keyed reads and batch change application (insert / partial update / delete).
 
 ``apply_changes`` applies a change set to a snapshot and returns the new
-snapshot plus the rejected changes with a reason.  The change set is the
-small side: it is broadcast behind a row-count bound, so the base table is
-scanned once and never shuffled just to find the keys a batch touches.
+snapshot plus the rejected changes with a reason; every change is one or the
+other.  No join carries a hint: Spark broadcasts a small change set by the sizes
+it measures and keeps a shuffle join for a large one.
 A partial update only replaces the fields listed in ``set_fields``, so
 "set to NULL" and "not set" stay distinct.
 """
@@ -15,31 +15,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from workpulse.plans.sizing import DEFAULT_MAX_ROWS, broadcast_if_small
-
 MAX_PAGE = 1000
 
 
-def lookup_many(df: DataFrame, key: str, keys: DataFrame, keys_col: str | None = None,
-                max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def lookup_many(df: DataFrame, key: str, keys: DataFrame, keys_col: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in the ``keys`` frame (left semi join)."""
     k = keys.select(F.col(keys_col or key).alias("_lookup_key")).distinct()
-    k = broadcast_if_small(k, max_broadcast_rows)
     return df.join(k, df[key] == k["_lookup_key"], "left_semi")
 
 
 def lookup_page(df: DataFrame, order: Sequence[str], offset: int = 0, limit: int = 100,
-                filters: Sequence[Column] = ()) -> DataFrame:
-    """Filtered, totally ordered page (``limit`` capped at ``MAX_PAGE``).  The
-    filters are plain predicates, so they reach the scan."""
-    limit = min(int(limit), MAX_PAGE)
+                filters: Sequence[Column] = (), max_page: int = MAX_PAGE) -> DataFrame:
+    """Filtered, totally ordered page.  The filters are plain predicates, so they
+    reach the scan.  A limit over ``max_page`` raises ``ValueError``."""
+    if int(limit) > max_page:
+        raise ValueError(f"limit {limit} is over the page maximum of {max_page}")
     out = df
     for f in filters:
         out = out.filter(f)
     out = out.orderBy(*order)
     if offset:
         out = out.offset(int(offset))
-    return out.limit(limit)
+    return out.limit(int(limit))
 
 
 def recent(df: DataFrame, order_col: str, n: int, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -59,28 +56,31 @@ def date_window_filters(date_col: str, start=None, end=None) -> list[Column]:
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, key: str, op_col: str = "op",
-                  set_col: str = "set_fields", max_broadcast_rows: int = DEFAULT_MAX_ROWS
-                  ) -> tuple[DataFrame, DataFrame]:
+                  set_col: str = "set_fields") -> tuple[DataFrame, DataFrame]:
     """Apply ``changes`` (``key``, ``op`` in I/U/D, ``set_fields`` array, new
     values under the base column names) to ``base``.
 
-    Rejections: ``duplicate_change`` (several changes for one key in a batch),
-    ``key_exists`` (insert of an existing key), ``key_not_found`` (update or
-    delete of a missing key), ``unknown_op``.  Returns (snapshot, rejects)."""
+    Rejections: ``null_key``, ``duplicate_change`` (several changes for one key in
+    a batch), ``unknown_op`` (a null one included), ``unknown_field`` (an update
+    naming a field that the base does not have), ``key_exists`` (insert of an
+    existing key), ``key_not_found`` (update or delete of a missing key).
+    Returns (snapshot, rejects)."""
     cols = [c for c in base.columns if c != key]
     # keys changed more than once in the batch: an aggregate (folds a hot key
     # map-side), joined back only for the repeated keys
     repeated = changes.groupBy(key).agg(F.count(F.lit(1)).alias("_dups")) \
         .filter(F.col("_dups") > 1)
-    ch = changes.join(broadcast_if_small(repeated, max_broadcast_rows), key, "left") \
-        .withColumn("_dups", F.coalesce(F.col("_dups"), F.lit(1)))
-    touched = broadcast_if_small(ch.select(key).distinct(), max_broadcast_rows)
-    existing = base.select(key).join(touched, key, "left_semi").distinct() \
+    ch = changes.join(repeated, key, "left").withColumn("_dups", F.coalesce(F.col("_dups"), F.lit(1)))
+    existing = base.select(key).join(changes.select(key).distinct(), key, "left_semi").distinct() \
         .withColumn("_exists", F.lit(True))
-    ch = ch.join(broadcast_if_small(existing, max_broadcast_rows), key, "left")
+    ch = ch.join(existing, key, "left")
     op, exists = F.col(op_col), F.coalesce(F.col("_exists"), F.lit(False))
-    reason = (F.when(F.col("_dups") > 1, "duplicate_change")
-              .when(~op.isin("I", "U", "D"), "unknown_op")
+    known = F.array(*[F.lit(c) for c in cols]) if cols else F.array().cast("array<string>")
+    stray = F.size(F.array_except(F.coalesce(F.col(set_col), F.array().cast("array<string>")), known)) > 0
+    reason = (F.when(F.col(key).isNull(), "null_key")
+              .when(F.col("_dups") > 1, "duplicate_change")
+              .when(~F.coalesce(op.isin("I", "U", "D"), F.lit(False)), "unknown_op")
+              .when((op == "U") & stray, "unknown_field")
               .when((op == "I") & exists, "key_exists")
               .when(op.isin("U", "D") & ~exists, "key_not_found"))
     ch = ch.withColumn("reject_reason", reason)
@@ -90,7 +90,6 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str, op_col: str = "
     upd = valid.filter(op.isin("U", "D")).select(
         F.col(key).alias("_ck"), F.col(op_col).alias("_op"), F.col(set_col).alias("_set"),
         *[F.col(c).alias(f"_new_{c}") for c in cols])
-    upd = broadcast_if_small(upd, max_broadcast_rows)
     j = base.join(upd, base[key] == upd["_ck"], "left")
     kept = j.filter(F.col("_op").isNull() | (F.col("_op") != "D"))
     snap = kept.select(key, *[

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from workpulse.functions.expr import bucketize, pct, rnd
-from workpulse.plans.sizing import DEFAULT_MAX_ROWS, broadcast_if_small
 
 EMP = "client_employee_id"
 
@@ -67,8 +66,7 @@ def attendance_metrics(ts: DataFrame) -> DataFrame:
     })
 
 
-def attendance_daily(ts: DataFrame, emp: DataFrame,
-                     max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def attendance_daily(ts: DataFrame, emp: DataFrame) -> DataFrame:
     """Employee x work date (rows with a duration only), enriched from the
     master; department = master's, else the punch's (max per day).
 
@@ -96,7 +94,6 @@ def attendance_daily(ts: DataFrame, emp: DataFrame,
         F.max("full_name").alias("employee_name"), F.max("job_title").alias("job_title"),
         F.max("employment_status").alias("employment_status"),
         F.max("department_name").alias("_e_dept_name"), F.max("department_id").alias("_e_dept_id"))
-    dim = broadcast_if_small(dim, max_broadcast_rows)
     j = daily.join(dim, daily[EMP] == dim["_e_id"], "left")
     return j.select(
         EMP, "work_date", "employee_name", "job_title", "employment_status",

@@ -50,8 +50,8 @@ def gold_frames(employee: DataFrame, timesheet: DataFrame) -> dict[str, DataFram
             "attendance_metrics": hours.attendance_metrics(timesheet)}
 
 
-def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: dt.date
-                    ) -> list[dq.Check]:
+def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: dt.date,
+                    grace_minutes: float = 5, max_hours: float = 24) -> list[dq.Check]:
     """Checks over ``employee``, ``timesheet`` (silver), ``bronze_timesheet``,
     ``quarantine``, ``timesheet_typed`` and the gold frames."""
     a, p = f"DATE '{as_of}'", f"DATE '{punch_as_of}'"
@@ -103,18 +103,18 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
                                     "late_arrival_minutes", "early_departure_minutes",
                                     "overtime_minutes")}),
         check_flag_rule("DQ010_1", "timesheet", "is_late_arrival", "arrival_variance_minutes",
-                        5, guard="is_schedulable"),
+                        grace_minutes, guard="is_schedulable"),
         check_flag_rule("DQ010_2", "timesheet", "is_early_departure", "departure_variance_minutes",
-                        5, guard="is_schedulable"),
+                        grace_minutes, guard="is_schedulable"),
         check_flag_rule("DQ010_3", "timesheet", "is_overtime", "schedule_variance_minutes",
-                        5, guard="is_schedulable"),
+                        grace_minutes, guard="is_schedulable"),
         check_count_equals("DQ010_4", "timesheet", "Excessive duration flag count",
-                           "is_excessive_duration", "actual_duration_hours > 24"),
+                           "is_excessive_duration", f"actual_duration_hours > {max_hours}"),
         check_reconcile("DQ011_1", "Bronze = typed + quarantined", "bronze_timesheet",
-                        "timesheet_typed", ["quarantine"]),
+                        "timesheet_typed", ["quarantine"], max_gap=0),
         check_reconcile("DQ011_2", "Typed = silver + duplicate copies removed", "timesheet_typed",
                         "timesheet", [("duplicates_removed", "timesheet",
-                                       "source_duplicate_count - 1")]),
+                                       "source_duplicate_count - 1")], max_gap=0),
         check_non_empty("DQ012_1", "daily_headcount"),
         check_complete("DQ012_2", "working_hours", "client_employee_id", layer="gold"),
         check_range("DQ012_3", "working_hours", "total_hours_worked", low=0, layer="gold"),

@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 
 from workpulse.functions.expr import rnd
 from workpulse.operators.combine import of, tagged_union
-from workpulse.plans.sizing import DEFAULT_MAX_ROWS, broadcast_if_small
 
 EMP = "client_employee_id"
 
 
-def _dim(emp: DataFrame, cols, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return broadcast_if_small(emp.select(EMP, *cols), max_rows)
+def _dim(emp: DataFrame, cols) -> DataFrame:
+    return emp.select(EMP, *cols)
 
 
 def q01_headcount_on_punch_dates(emp: DataFrame, ts: DataFrame) -> DataFrame:

@@ -111,14 +111,15 @@ CRITICAL_TABLES = ("bronze_employee", "bronze_timesheet", "silver_employee", "si
 
 def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
         punch_as_of: dt.date | None = None, grace_minutes: float = 5, batch_id: str | None = None,
-        strict: bool = False, timesheet_partition_by: tuple[str, ...] = ()) -> dict:
+        strict: bool = False, timesheet_partition_by: tuple[str, ...] = (),
+        null_key_policy: str | None = None) -> dict:
     """Extract files -> bronze -> silver -> gold -> data-quality report and gate.
 
     Every layer is written under ``root`` (a shared folder) and read back, so
     each stage starts from files: an executor lost late in the run recomputes
     from the last written table, never from the raw extracts.  Returns the
     table paths and the gate verdict (``strict`` raises on FAIL)."""
-    from workpulse.operators import dq, hours, quarantine
+    from workpulse.operators import codes, dq, hours, quarantine
     from workpulse.plans import dq_suite
     from workpulse.sources import io
     # surrogate ids hash the JSON text of timestamps, rendered in the session zone
@@ -134,10 +135,13 @@ def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
     b_ts = put("bronze", "timesheet", io.with_lineage(io.read_extract(spark, timesheet_paths),
                                                       batch_id))
     emp = put("silver", "employee", silver_employee(b_emp, as_of))
-    silver, bad = silver_timesheet(b_ts, emp.select("client_employee_id"), grace_minutes)
+    policy = {} if null_key_policy is None else {"null_key_policy": null_key_policy}
+    silver, bad = silver_timesheet(b_ts, emp.select("client_employee_id"), grace_minutes, **policy)
     ts = put("silver", "timesheet", silver, partition_by=list(timesheet_partition_by) or None)
     quarantined = put("silver", "timesheet_quarantine", bad)
     good, _ = quarantine.split_quarantine(b_ts, timesheet_reasons())
+    bridge = put("silver", "timesheet_pay_code", codes.explode_codes(ts))
+    put("silver", "pay_code_dimension", codes.code_dimension(bridge))
 
     headcount = put("gold", "daily_headcount", workforce.daily_headcount(emp))
     gold = {
@@ -162,7 +166,7 @@ def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
     # every published table is registered as a view: availability is checked in the catalog
     views = {f"{k.replace('.', '_')}": io.load(spark, root, *k.split(".")) for k in paths}
     io.register_views(views)
-    checks = dq_suite.standard_checks(frames, as_of, punch_as_of or as_of)
+    checks = dq_suite.standard_checks(frames, as_of, punch_as_of or as_of, grace_minutes)
     checks += dq.check_available("DQ_TBL", spark, sorted(views), critical=CRITICAL_TABLES)
     checks += dq.check_counts("DQ_CNT", ["bronze_timesheet", "timesheet", "employee"])
     report = put("gold", "data_quality_report", dq.dq_report(spark, frames, checks))
