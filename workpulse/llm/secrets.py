@@ -4,7 +4,8 @@ Three patterns give base spans.  Long tokens that no base span touches are judge
 by two first-order character models, of random strings and of ordinary
 identifiers, by their log-likelihood ratio.  The models are trained on labelled
 samples from the whole table: the values inside base spans are random strings,
-the long tokens outside are ordinary identifiers.
+the long tokens outside of which at most a quarter are digits are ordinary
+identifiers (the others may be secrets that no base pattern knows).
 
 All of it is DataFrame functions: match places come from the lengths of the
 pieces between matches, training is one grouped count of character pairs (an
@@ -19,6 +20,8 @@ columns are read.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,12 +86,14 @@ def _symbols(token: Column) -> Column:
         F.filter(chars, lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c)))
 
 
-def train(found: DataFrame, smoothing: float = 0.5) -> list[float] | None:
+def train(found: DataFrame, smoothing: float = 0.5, backoff: float = 5.0) -> list[float] | None:
     """The log ratio of both models' transition probabilities, at place
     previous * SYMBOLS + next; None where either kind has no sample."""
     value = F.regexp_replace(F.col("s.value"), "[^A-Za-z0-9+/_=-]", "")
     samples = found.select(F.explode(F.concat("base", "tokens")).alias("s")).select(
         (F.col("s.kind") < 3).cast("int").alias("random"), value.alias("token"))
+    digits = F.length("token") - F.length(F.translate("token", "0123456789", ""))
+    samples = samples.where((F.col("random") == 1) | (digits * 4 <= F.length("token")))
     # Equal samples of a task are put together before their characters are counted.
     seen = samples.where("token <> ''").groupBy("random", "token").count()
     signs = _symbols(F.col("token"))
@@ -101,13 +106,15 @@ def train(found: DataFrame, smoothing: float = 0.5) -> list[float] | None:
         n[r["random"]][r["a"] * SYMBOLS + r["b"]] = float(r["n"])
     if not all(map(sum, n)):
         return None
-    from math import log
+    # What follows a symbol backs off to how often each symbol occurs at all.
+    often = [[sum(x[b::SYMBOLS]) + smoothing for b in range(SYMBOLS)] for x in n]
     out = []
     for a in range(SYMBOLS):
-        row = [x[a * SYMBOLS:(a + 1) * SYMBOLS] for x in n]
-        whole = [sum(x) + smoothing * (SYMBOLS - 1) for x in row]
-        out += [log((row[1][b] + smoothing) / whole[1]) - log((row[0][b] + smoothing) / whole[0])
-                for b in range(SYMBOLS)]
+        logs = []
+        for x, o in zip(n, often):
+            row, whole = x[a * SYMBOLS:(a + 1) * SYMBOLS], sum(o)
+            logs.append([log((row[b] + backoff * o[b] / whole) / (sum(row) + backoff)) for b in range(SYMBOLS)])
+        out += [r - i for i, r in zip(*logs)]
     return out
 
 
