@@ -355,6 +355,14 @@ def dq_gate(report: DataFrame) -> DataFrame:
                         .when(F.col("warnings") > 0, "PASS_WITH_WARNINGS").otherwise("PASS"))
 
 
+def require(report: DataFrame) -> None:
+    """Raise unless every check of ``report`` passed (one small action)."""
+    failed = [r["check_id"] for r in report.filter(F.col("status") != "PASS")
+              .select("check_id").collect()]
+    if failed:
+        raise RuntimeError(f"data-quality gate FAIL: {sorted(failed)}")
+
+
 def enforce_gate(report: DataFrame, strict: bool = True) -> str:
     """Evaluate the gate (one small action); raise when ``strict`` and it is FAIL."""
     row = dq_gate(report).first()

@@ -52,8 +52,8 @@ def gold_frames(employee: DataFrame, timesheet: DataFrame) -> dict[str, DataFram
 
 def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: dt.date,
                     grace_minutes: float = 5, max_hours: float = 24) -> list[dq.Check]:
-    """Checks over ``employee``, ``timesheet`` (silver), ``bronze_timesheet``,
-    ``quarantine``, ``timesheet_typed`` and the gold frames."""
+    """Checks over ``bronze_employee``, ``employee``, ``timesheet`` (silver),
+    ``bronze_timesheet``, ``quarantine``, ``timesheet_typed`` and the gold frames."""
     a, p = f"DATE '{as_of}'", f"DATE '{punch_as_of}'"
     checks = [
         check_complete("DQ005_1", "employee", "client_employee_id"),
@@ -90,6 +90,8 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
             "flagged_but_missing": "is_schedulable AND (scheduled_start_datetime IS NULL OR "
                                    "scheduled_end_datetime IS NULL)"}),
         check_reference("DQ007", "timesheet", "client_employee_id", "employee", "client_employee_id"),
+        check_unique("DQ008_1", "employee", ["client_employee_id"]),
+        check_unique("DQ008_2", "timesheet", ["timesheet_id"], nulls_fail=True),
         check_unique("DQ008_3", "timesheet",
                      ["client_employee_id", "punch_apply_date", "punch_in_datetime",
                       "punch_out_datetime"], severity="WARNING", fail_status="WARNING",
@@ -110,11 +112,13 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
                         grace_minutes, guard="is_schedulable"),
         check_count_equals("DQ010_4", "timesheet", "Excessive duration flag count",
                            "is_excessive_duration", f"actual_duration_hours > {max_hours}"),
-        check_reconcile("DQ011_1", "Bronze = typed + quarantined", "bronze_timesheet",
-                        "timesheet_typed", ["quarantine"], max_gap=0),
+        check_reconcile("DQ011_1", "Bronze employee = silver employee", "bronze_employee",
+                        "employee", max_gap=0),
         check_reconcile("DQ011_2", "Typed = silver + duplicate copies removed", "timesheet_typed",
                         "timesheet", [("duplicates_removed", "timesheet",
                                        "source_duplicate_count - 1")], max_gap=0),
+        check_reconcile("DQ011_3", "Bronze = typed + quarantined", "bronze_timesheet",
+                        "timesheet_typed", ["quarantine"], max_gap=0),
         check_non_empty("DQ012_1", "daily_headcount"),
         check_complete("DQ012_2", "working_hours", "client_employee_id", layer="gold"),
         check_range("DQ012_3", "working_hours", "total_hours_worked", low=0, layer="gold"),
@@ -193,6 +197,9 @@ def status_sql(as_of: dt.date, punch_as_of: dt.date) -> str:
         _none("DQ007", "(SELECT DISTINCT client_employee_id FROM s_silver WHERE client_employee_id "
               "IS NOT NULL)", "client_employee_id NOT IN (SELECT client_employee_id FROM b_employee)",
               "WARNING"),
+        _unique("DQ008_1", "b_employee", ["client_employee_id"]),
+        _st("DQ008_2", "count(*) FILTER (WHERE n > 1) = 0 AND coalesce(sum(n) FILTER (WHERE k IS NULL), 0) = 0",
+            "(SELECT timesheet_id AS k, count(*) AS n FROM s_silver GROUP BY 1)"),
         _unique("DQ008_3", "s_silver", ["client_employee_id", "punch_apply_date",
                                         "punch_in_datetime", "punch_out_datetime"], "WARNING", True),
         _none("DQ009_1", "s_silver", f"punch_apply_date > {p}"),
@@ -208,10 +215,12 @@ def status_sql(as_of: dt.date, punch_as_of: dt.date) -> str:
               "coalesce(schedule_variance_minutes > 5, FALSE))"),
         _st("DQ010_4", "count(*) FILTER (WHERE is_excessive_duration) = "
             "count(*) FILTER (WHERE actual_duration_hours > 24)", "s_silver"),
-        "SELECT 'DQ011_1' AS check_id, CASE WHEN (SELECT count(*) FROM b_raw) - (SELECT count(*) "
-        "FROM s_good) - (SELECT count(*) FROM q_bad) >= 0 THEN 'PASS' ELSE 'WARNING' END AS status",
+        "SELECT 'DQ011_1' AS check_id, CASE WHEN (SELECT count(*) FROM e_raw) = (SELECT count(*) "
+        "FROM b_employee) THEN 'PASS' ELSE 'WARNING' END AS status",
+        "SELECT 'DQ011_3' AS check_id, CASE WHEN (SELECT count(*) FROM b_raw) - (SELECT count(*) "
+        "FROM s_good) - (SELECT count(*) FROM q_bad) = 0 THEN 'PASS' ELSE 'WARNING' END AS status",
         "SELECT 'DQ011_2' AS check_id, CASE WHEN (SELECT count(*) FROM s_good) - (SELECT count(*) "
-        "FROM s_silver) - (SELECT coalesce(sum(source_duplicate_count - 1), 0) FROM s_silver) >= 0 "
+        "FROM s_silver) - (SELECT coalesce(sum(source_duplicate_count - 1), 0) FROM s_silver) = 0 "
         "THEN 'PASS' ELSE 'WARNING' END AS status",
         _st("DQ012_1", "count(*) > 0", "dq_hc"),
         _complete("DQ012_2", "dq_wh", "client_employee_id"),

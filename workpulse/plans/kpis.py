@@ -24,19 +24,26 @@ def _dim(emp: DataFrame, cols) -> DataFrame:
 
 
 def q01_headcount_on_punch_dates(emp: DataFrame, ts: DataFrame) -> DataFrame:
-    """Active employees on each distinct punch date (hire <= d <= term).
-
-    Sweep instead of the spine x employee range join: employee start (+1) and
-    end (-1, the day after the inclusive term) events and the punch dates are
-    unioned, summed per date, and a running sum over the distinct dates gives
-    the count at every punch date.  Dates with nobody active are dropped like
-    the inner join does.  Assumes employee ids are unique in the master."""
-    valid = emp.filter(F.col("hire_date").isNotNull() &
+    """Distinct employees active on each distinct punch date (hire <= d <= term).
+
+    Sweep instead of the spine x employee range join: start (+1) and end (-1, the
+    day after the inclusive term) events and the punch dates are unioned, summed
+    per date, and a running sum over the distinct dates gives the count at every
+    punch date.  Intervals of an id that the master holds more than once are
+    merged first, so it counts once a day; a null id is not counted.  Dates with
+    nobody active are dropped like the inner join does."""
+    valid = emp.filter(F.col(EMP).isNotNull() & F.col("hire_date").isNotNull() &
                        (F.col("term_date").isNull() | (F.col("term_date") >= F.col("hire_date"))))
-    events = valid.select(F.col("hire_date").alias("d"), F.lit(1).alias("delta"),
-                          F.lit(False).alias("spine")).unionByName(
-        valid.filter(F.col("term_date").isNotNull()).select(
-            F.date_add("term_date", 1).alias("d"), F.lit(-1).alias("delta"), F.lit(False).alias("spine")))
+    steps = valid.select(EMP, F.explode(F.array(
+        F.struct(F.col("hire_date").alias("d"), F.lit(1).alias("delta")),
+        F.struct(F.date_add("term_date", 1).alias("d"), F.lit(-1).alias("delta")))).alias("s")) \
+        .select(EMP, "s.*").filter(F.col("d").isNotNull()).groupBy(EMP, "d").agg(F.sum("delta").alias("delta"))
+    # after the aggregate an id has at most one row a day: its window is bounded by the calendar
+    one = Window.partitionBy(EMP).orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    on = F.sum("delta").over(one)
+    events = steps.select("d", (on > 0).cast("int").alias("now"),
+                          (on - F.col("delta") > 0).cast("int").alias("before")).select(
+        "d", (F.col("now") - F.col("before")).alias("delta"), F.lit(False).alias("spine"))
     spine = ts.select(F.col("punch_apply_date").alias("d")).filter(F.col("d").isNotNull()) \
         .distinct().select("d", F.lit(0).alias("delta"), F.lit(True).alias("spine"))
     per_day = events.unionByName(spine).groupBy("d").agg(

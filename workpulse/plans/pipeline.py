@@ -112,15 +112,16 @@ CRITICAL_TABLES = ("bronze_employee", "bronze_timesheet", "silver_employee", "si
 def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
         punch_as_of: dt.date | None = None, grace_minutes: float = 5, batch_id: str | None = None,
         strict: bool = False, timesheet_partition_by: tuple[str, ...] = (),
-        null_key_policy: str | None = None) -> dict:
+        null_key_policy: str | None = None, expected_employees: int | None = None) -> dict:
     """Extract files -> bronze -> silver -> gold -> data-quality report and gate.
 
     Every layer is written under ``root`` (a shared folder) and read back, so
     each stage starts from files: an executor lost late in the run recomputes
-    from the last written table, never from the raw extracts.  Returns the
-    table paths and the gate verdict (``strict`` raises on FAIL)."""
+    from the last written table, never from the raw extracts.  The hard gates
+    (``plans.gates``) are published before gold is built.  Returns the table paths,
+    the ids of failing gates and the verdict; ``strict`` raises on either."""
     from workpulse.operators import codes, dq, hours, quarantine
-    from workpulse.plans import dq_suite
+    from workpulse.plans import dq_suite, gates
     from workpulse.sources import io
     # surrogate ids hash the JSON text of timestamps, rendered in the session zone
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -134,6 +135,9 @@ def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
     b_emp = put("bronze", "employee", io.with_lineage(io.read_extract(spark, employee_paths), batch_id))
     b_ts = put("bronze", "timesheet", io.with_lineage(io.read_extract(spark, timesheet_paths),
                                                       batch_id))
+    columns = dq.dq_report(spark, {}, gates.column_checks(
+        {"bronze_employee": b_emp, "bronze_timesheet": b_ts}))
+    dq.require(columns)      # without them the silver steps cannot be planned
     emp = put("silver", "employee", silver_employee(b_emp, as_of))
     policy = {} if null_key_policy is None else {"null_key_policy": null_key_policy}
     silver, bad = silver_timesheet(b_ts, emp.select("client_employee_id"), grace_minutes, **policy)
@@ -142,6 +146,15 @@ def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
     good, _ = quarantine.split_quarantine(b_ts, timesheet_reasons())
     bridge = put("silver", "timesheet_pay_code", codes.explode_codes(ts))
     put("silver", "pay_code_dimension", codes.code_dimension(bridge))
+    good = type_timesheet(good)
+    gated = {"bronze_employee": b_emp, "employee": emp, "bronze_timesheet": b_ts, "bridge": bridge,
+             "timesheet_typed": good, "quarantine": quarantined, "timesheet": ts}
+    gate_rows = put("silver", "pipeline_gates", dq.dq_report(
+        spark, gated, gates.gate_checks(gated, expected_employees)))
+    if strict:
+        dq.require(gate_rows)
+    failing = sorted(r["check_id"] for r in gate_rows.where("status <> 'PASS'")
+                     .select("check_id").collect())
 
     headcount = put("gold", "daily_headcount", workforce.daily_headcount(emp))
     gold = {
@@ -159,7 +172,8 @@ def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
     put("gold", "employee_attendance_summary", hours.attendance_summary(daily))
     put("gold", "attendance_rolling_trend", hours.attendance_trend(daily))
 
-    frames = {"employee": emp, "timesheet": ts, "bronze_timesheet": b_ts, "quarantine": quarantined,
+    frames = {"employee": emp, "bronze_employee": b_emp, "timesheet": ts, "bronze_timesheet": b_ts,
+              "quarantine": quarantined,
               "timesheet_typed": good, "daily_headcount": headcount,
               "working_hours": loaded["employee_working_hours"],
               "attendance_metrics": loaded["attendance_metrics"]}
@@ -171,4 +185,4 @@ def run(spark, employee_paths, timesheet_paths, root: str, as_of: dt.date,
     checks += dq.check_counts("DQ_CNT", ["bronze_timesheet", "timesheet", "employee"])
     report = put("gold", "data_quality_report", dq.dq_report(spark, frames, checks))
     gate = dq.enforce_gate(report, strict=strict)
-    return {"paths": paths, "gate": gate, "batch_id": batch_id}
+    return {"paths": paths, "gate": gate, "gates_failed": failing, "batch_id": batch_id}

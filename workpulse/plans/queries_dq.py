@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from workpulse.operators import dq, quarantine
+from workpulse.operators import codes, dq, quarantine
 from workpulse.plans import bindings as B
-from workpulse.plans import dq_suite, pipeline
+from workpulse.plans import dq_suite, gates, pipeline
 from workpulse.plans.oracles import PCT, R, silver_chain
 from workpulse.plans.queries_model import HEADCOUNT_SQL
+from workpulse.plans.queries_core import KEY
 from workpulse.plans.queries_silver import KEY_SQL, ORDER_SQL, REASON_SQL
 from workpulse.plans.registry import register
 from workpulse.sources import io
@@ -67,8 +68,8 @@ def dq_frames(spark, sf):
     silver = io.materialize(silver)
     good, _ = quarantine.split_quarantine(raw, pipeline.timesheet_reasons())
     emp = B.employee(spark, sf)
-    frames = {"employee": emp, "timesheet": silver, "bronze_timesheet": raw, "quarantine": bad,
-              "timesheet_typed": good}
+    frames = {"employee": emp, "bronze_employee": B.employee_raw(spark, sf), "timesheet": silver,
+              "bronze_timesheet": raw, "quarantine": bad, "timesheet_typed": good}
     frames.update(dq_suite.gold_frames(emp, silver))
     return frames
 
@@ -100,7 +101,7 @@ def dq_status(spark, sf):
 
 SEVERITY = {"DQ006_3m": "INFO", "DQ005_3": "WARNING", "DQ006_4b": "WARNING", "DQ006_5a": "WARNING", "DQ006_6a": "WARNING",
             "DQ007": "WARNING", "DQ008_3": "WARNING", "DQ010_4": "WARNING", "DQ011_1": "WARNING",
-            "DQ011_2": "WARNING"}
+            "DQ011_2": "WARNING", "DQ011_3": "WARNING"}
 _SEV_SQL = "CASE " + " ".join(f"WHEN check_id LIKE '{k}%' THEN '{v}'" for k, v in SEVERITY.items()) + \
     " ELSE 'CRITICAL' END"
 
@@ -124,3 +125,63 @@ FROM (""" + STATUS_SQL + ")")
 def dq_gate(spark, sf):
     """DQ-GATE: verdict over the report."""
     return dq.dq_gate(report(spark, sf))
+
+
+def _gate(cid: str, holds: str) -> str:
+    return f"SELECT 'GATE_{cid}' AS check_id, CASE WHEN {holds} THEN 'PASS' ELSE 'FAIL' END AS status"
+
+
+def _no_row(rel: str, bad: str) -> str:
+    return f"NOT EXISTS (SELECT 1 FROM {rel} WHERE {bad})"
+
+
+def _rows(rel: str, value: str = "count(*)") -> str:
+    return f"(SELECT coalesce({value}, 0) FROM {rel})"
+
+
+def _blank(col: str) -> str:
+    return f"{col} IS NULL OR trim(CAST({col} AS VARCHAR)) = ''"
+
+
+_BRIDGE = ("(SELECT trim(unnest(string_split(pay_code, '|'))) AS pay_code FROM s_silver)")
+_FULL_KEY = " AND ".join(f"{k} IS NOT NULL" for k in KEY)
+
+GATES_SQL = SILVER_CTES + "\nUNION ALL\n".join([
+    _gate("bronze_employee_rows", _rows("e_raw") + " > 0"),
+    _gate("bronze_timesheet_rows", _rows("b_raw") + " > 0"),
+    _gate("employee_id", _no_row("b_employee", _blank("client_employee_id"))),
+    _gate("employee_unique", _rows("b_employee", "count(*) - count(DISTINCT client_employee_id)") + " = 0"),
+    _gate("employee_rows", _rows("e_raw") + " = " + _rows("b_employee")),
+    _gate("timesheet_employee_id", _no_row("s_silver", _blank("client_employee_id"))),
+    _gate("timesheet_pay_code", _no_row("s_silver", _blank("pay_code"))),
+    _gate("timesheet_duration", _no_row("s_silver", "actual_duration_minutes < 0")),
+    _gate("timesheet_chronology", _no_row("s_silver", "punch_out_datetime < punch_in_datetime OR "
+                                          "scheduled_end_datetime < scheduled_start_datetime")),
+    _gate("timesheet_id_unique", _rows("s_silver", "count(*) - count(DISTINCT timesheet_id)") + " = 0"),
+    _gate("residual_duplicates", f"NOT EXISTS (SELECT {KEY_SQL} FROM s_silver WHERE {_FULL_KEY} "
+                                 f"GROUP BY {KEY_SQL} HAVING count(*) > 1)"),
+    _gate("conflicting_copies", f"NOT EXISTS (SELECT {KEY_SQL} FROM s_good WHERE {_FULL_KEY} GROUP BY "
+          f"{KEY_SQL} HAVING " + " OR ".join(f"count(DISTINCT {c}) > 1" for c in gates.CONFLICT_COLUMNS) + ")"),
+    _gate("quarantine_rows", _rows("b_raw") + " = " + _rows("s_good") + " + " + _rows("q_bad")),
+    _gate("timesheet_rows", _rows("s_good") + " = " + _rows("s_silver", "sum(source_duplicate_count)")),
+    _gate("bridge_pay_code", _no_row(_BRIDGE, _blank("pay_code"))),
+    _gate("bridge_rows", _rows("s_silver", "sum(pay_code_count)") + " = " + _rows(_BRIDGE)),
+    _gate("employee_dates", _no_row("e_raw", " OR ".join(
+        f"({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS DATE) IS NULL)"
+        for c in ("hire_date", "term_date")))),
+    _gate("punch_times", _no_row("b_raw", " OR ".join(
+        f"(trim({c}) <> '' AND TRY_CAST({c} AS TIMESTAMP) IS NULL)"
+        for c in pipeline.TIMESHEET_TIMESTAMPS))),
+])
+
+
+@register("pipeline_gates", GATES_SQL)
+def pipeline_gates(spark, sf):
+    """Hard gates between bronze, silver and gold: status of each."""
+    raw, silver, bad = silver_pair(spark, sf)
+    silver = io.materialize(silver)
+    good, _ = quarantine.split_quarantine(raw, pipeline.timesheet_reasons())
+    frames = {"bronze_employee": B.employee_raw(spark, sf), "employee": B.employee(spark, sf),
+              "bronze_timesheet": raw, "timesheet_typed": pipeline.type_timesheet(good),
+              "quarantine": bad, "timesheet": silver, "bridge": codes.explode_codes(silver)}
+    return dq.dq_report(spark, frames, gates.gate_checks(frames), CHECKED_AT).select("check_id", "status")
