@@ -200,6 +200,17 @@ def test_top_k(spark):
     assert knn.top_k(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 6, 12])
+def test_top_k_of_a_repeated_query(spark, copies):
+    rng = np.random.default_rng(11)
+    vectors = [(i, rng.normal(size=6).round(2).tolist()) for i in range(20)]
+    frame = spark.createDataFrame(vectors + [vectors[0]] * (copies - 1), "vec_id long, embedding array<double>")
+    x = [[math.floor(256 * e) for e in v] for _, v in vectors]
+    best = sorted((-sum(a * b for a, b in zip(x[0], v)), j) for j, v in enumerate(x) if j)[:5]
+    made = knn.top_k(frame, F.col("vec_id") == 0).collect()
+    assert sorted(map(tuple, made)) == [(0, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+
+
 def test_passages(spark, empty):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(500)]

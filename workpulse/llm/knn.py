@@ -2,7 +2,7 @@
 
 Pivots, a bounded sample of the vectors, cut the space into cells; every vector
 belongs to its nearest pivot.  From the summary of the cells (radius of queries
-and data, and for each cell the ``top`` + 1 data vectors nearest to the pivot)
+and data, and for each cell the ``top`` + 1 ids nearest to the pivot)
 follow, for each cell of queries, a lower bound on the k-th best score of any of
 its queries, and, for each data vector, an upper bound on its score with any of
 them.  A vector goes to a group of query cells only where its upper bound reaches
@@ -74,19 +74,23 @@ class Cells:
         exact = np.linalg.norm(x - self.pivots[cell], axis=1)
         return cell, exact
 
-    def floors(self, query_radius: np.ndarray, near: dict[int, list[float]], top: int) -> np.ndarray:
+    def floors(self, query_radius: np.ndarray, near: dict[int, list[tuple[float, int]]], top: int) -> np.ndarray:
         """For each cell of queries, a score that its queries' k-th best reaches:
         a vector at distance r from pivot p scores at least
-        c.p - |c| r - R |p| - R r with any query within R of pivot c.  Of the
-        ``top`` + 1 best such bounds one may be the query itself."""
+        c.p - |c| r - R |p| - R r with any query within R of pivot c.  ``near``
+        has (r, id) by pivot; each id counts with its best bound only, so of the
+        ``top`` + 1 best one at most is the query's own id."""
         out = np.full(len(self.pivots), -np.inf)
         dots = self.pivots @ self.pivots.T
         for c in np.flatnonzero(query_radius >= 0):
             R = query_radius[c]
-            low = [dots[c, p] - self.norm[c] * r - R * self.norm[p] - R * r
-                   for p, radii in near.items() for r in radii]
+            low: dict[int, float] = {}
+            for p, rows in near.items():
+                for r, vec_id in rows:
+                    bound = dots[c, p] - self.norm[c] * r - R * self.norm[p] - R * r
+                    low[vec_id] = max(bound, low.get(vec_id, -np.inf))
             if len(low) > top:
-                out[c] = sorted(low, reverse=True)[top]
+                out[c] = sorted(low.values(), reverse=True)[top]
         return out
 
     def reach(self, x: np.ndarray, query_radius: np.ndarray) -> np.ndarray:
@@ -135,10 +139,11 @@ def top_k(vectors: DataFrame, is_query: Column, top: int = 5, pivots: int = 64,
     queries = placed.where(is_query).dropDuplicates(["vec_id", "v"])
     per_query = queries.groupBy("cell").agg(F.max("far").alias("R"), F.count(F.lit(1)).alias("n")).collect()
     order = W.partitionBy("cell").orderBy("far", "vec_id")
-    near: dict[int, list[float]] = {}
-    for r in placed.select("cell", "far", "vec_id").withColumn("n", F.row_number().over(order)).where(
-            F.col("n") <= top + 1).collect():  # at most (top + 1) rows a pivot
-        near.setdefault(r["cell"], []).append(r["far"])
+    near: dict[int, list[tuple[float, int]]] = {}
+    nearest = placed.groupBy("cell", "vec_id").agg(F.min("far").alias("far"))
+    for r in nearest.withColumn("n", F.row_number().over(order)).where(
+            F.col("n") <= top + 1).collect():  # at most (top + 1) ids a pivot
+        near.setdefault(r["cell"], []).append((r["far"], r["vec_id"]))
     radius, counts = np.full(len(cells.pivots), -1.0), np.zeros(len(cells.pivots), np.int64)
     for r in per_query:
         radius[r["cell"]], counts[r["cell"]] = r["R"], r["n"]
