@@ -28,8 +28,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays."""
-    return simhash.keep_one(docs, words_in=3, radius=3)
+    """One document of each SimHash group stays, with or without an id."""
+    return simhash.one_per_component(docs, words_in=3, radius=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -133,6 +133,20 @@ def test_simhash(spark, docs, empty, rows):
     assert kept.columns == docs.columns and simhash.near_duplicates(empty).count() == 0
 
 
+def test_each_component_keeps_one_row(spark):
+    import corpus_pipeline
+    rng = random.Random(12)
+    a, b, c, d, e = [" ".join(f"w{rng.randrange(900)}" for _ in range(60)) for _ in range(5)]
+    data = [(None, a, "en", "x"), (None, a, "en", "y"), (None, b, None, "x"),  # no ids
+            (4, c, "en", "x"), (4, d, "en", "x"), (9, c, "en", "x"),  # one id, unlike texts
+            (2, e, "en", "x"), (2, e, "en", "x"), (4, e, "en", "x")]  # that id again, under a smaller one
+    rows = [(*r, 1, 1, "h", 1, 1) for r in data]
+    made = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, DOCS).repartition(3), "")
+    assert made.columns == DOCS.replace(",", "").split()[::2]
+    got = sorted(((r.doc_id, r.text) for r in made.collect()), key=str)
+    assert got == sorted([(None, a), (None, b), (4, c), (4, d), (2, e)], key=str)
+
+
 @pytest.mark.parametrize("blocks,shard", [(4, 1024), (4, 8), (5, 64)])
 def test_near_links_lose_nothing(spark, blocks, shard):
     rng = random.Random(1)

@@ -128,9 +128,10 @@ def fingerprints_of(texts: list[str | None], words_in: int = 3, seed: int = 42)
     return out
 
 
-def fingerprints(docs: DataFrame, words_in: int = 3) -> DataFrame:
-    """(doc_id, fp): ``fp`` is the fingerprint as a signed long."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, words_in: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, ``carried`` columns, fp): ``fp`` is the fingerprint as a signed long."""
+    names = ["doc_id", *carried]
+    fields = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,9 +139,9 @@ def fingerprints(docs: DataFrame, words_in: int = 3) -> DataFrame:
                 part = batch.slice(at, 256)
                 fp = fingerprints_of(part.column("text").to_pylist(), words_in)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                    [*map(part.column, names), pa.array(fp.view(np.int64))], names=[*names, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, fp long")
+    return docs.select(*names, "text").mapInArrow(rows, f"{fields}, fp long")
 
 
 class BKTree:
@@ -267,9 +268,8 @@ def near_links(prints: DataFrame, radius: int = 3, shard_size: int = 1024,
     return ordered.mapInArrow(search, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, words_in: int = 3, radius: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
-    prints = stored(fingerprints(docs, words_in), "fingerprints")
+def _labels(prints: DataFrame, radius: int) -> DataFrame:
+    """(l_fp, component, component_id) of every fingerprint in ``prints`` (doc_id, fp)."""
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     nodes = stored(nodes, "nodes")
     parts = connected_components(near_links(nodes.select("fp"), radius))
@@ -277,21 +277,41 @@ def near_duplicates(docs: DataFrame, words_in: int = 3, radius: int = 3) -> Data
         "fp", "low", F.coalesce("component", "fp").alias("component"))
     low = named.groupBy("component").agg(F.min("low").alias("component_id")).withColumnRenamed(
         "component", "c")
-    labels = stored(named.join(low, F.col("component") == F.col("c")).select(
-        F.col("fp").alias("l_fp"), "component_id"), "labels")
-    return prints.join(labels, F.col("fp") == F.col("l_fp")).select("doc_id", "fp", "component_id")
+    return stored(named.join(low, F.col("component") == F.col("c")).select(
+        F.col("fp").alias("l_fp"), "component", "component_id"), "labels")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group: the one that gave the
-    component its id (of repeated rows with that id, the least).  Rows without an
-    id cannot be named and do not stay."""
-    found = near_duplicates(docs, **options)
-    keep = stored(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("k_id"))
-                  .agg(F.count(F.lit(1)).alias("copies")), "kept")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
-    kept = rows.join(keep, F.col("d.doc_id") == F.col("k_id"))
+def near_duplicates(docs: DataFrame, words_in: int = 3, radius: int = 3) -> DataFrame:
+    """(doc_id, fp, component_id) for every row of ``docs``."""
+    prints = stored(fingerprints(docs, words_in), "fingerprints")
+    return prints.join(_labels(prints, radius), F.col("fp") == F.col("l_fp")).select(
+        "doc_id", "fp", "component_id")
+
+
+def one_per_component(docs: DataFrame, words_in: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` with exactly one row of each component: the one of least id
+    (nulls last), then fingerprint, then hash of all its columns."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # Hashes skip nulls, so where they are is hashed as well.
+    row = [F.xxhash64(F.lit(seed), *columns, *[c.isNull() for c in columns]) for seed in (1, 2)]
+    keyed = docs.select(F.struct(*columns).alias("d"), "doc_id", "text", F.struct(
+        row[0].alias("a"), row[1].alias("b")).alias("row"))
+    prints = stored(fingerprints(keyed, words_in, carried=("row",)), "fingerprints")
+    found = prints.groupBy("doc_id", "fp", "row").agg(F.count(F.lit(1)).alias("copies"))
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp", "row", "copies")
+    keep = found.join(_labels(prints, radius), F.col("fp") == F.col("l_fp")).groupBy("component").agg(
+        F.min(first).alias("k"))
+    keep = stored(keep.select(F.col("component").alias("k_component"), F.col("k.row").alias("k_row"),
+                              F.col("k.doc_id").alias("k_id"), F.col("k.copies").alias("copies")), "kept")
+    kept = keyed.join(keep, (F.col("row.a") == F.col("k_row.a")) & (F.col("row.b") == F.col("k_row.b"))
+                      & F.col("doc_id").eqNullSafe(F.col("k_id")))
     if keep.where("copies > 1").limit(1).count():
-        least = kept.where("copies > 1").groupBy("k_id").agg(F.min("d").alias("d"))
+        least = kept.where("copies > 1").groupBy("k_component").agg(F.min("d").alias("d"))
         return kept.where("copies = 1").select("d.*").union(least.select("d.*"))
     return kept.select("d.*")
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The named documents of ``one_per_component``: a component of rows without
+    an id has none."""
+    return one_per_component(docs, **options).where("doc_id IS NOT NULL")
