@@ -282,6 +282,22 @@ def test_outliers(spark, docs, empty, rows):
     assert outliers.chi2_cdf(4.351, 5) == pytest.approx(0.5, abs=1e-3)
 
 
+@pytest.mark.parametrize("part", [0.1, 0.3, 0.45])
+def test_outliers_of_a_bad_source(spark, part):
+    rng = np.random.default_rng(13)
+    n = 1500
+    x = np.c_[rng.normal(5.5, 0.6, n), rng.normal(4.8, 0.4, n), np.abs(rng.normal(0.1, 0.1, n)),
+              np.abs(rng.normal(0, 0.05, n)), np.abs(rng.normal(0.03, 0.02, n))]
+    bad = np.arange(n) < part * n
+    x[bad, 2] = rng.normal(4.0, 0.5, bad.sum())  # symbols
+    frame = spark.createDataFrame([("en", "a", v.tolist()) for v in x], "lang string, source string, x array<double>")
+    fits = outliers.fit_mcd(frame).where("level = 0").collect()
+    assert len(fits) == 1 and fits[0]["rows"] == n
+    off = x - np.array(fits[0]["mean"])
+    d2 = np.einsum("ni,ij,nj->n", off, np.array(fits[0]["inverse"]).reshape(5, 5), off)
+    assert (d2[bad] > 40).all() and (d2[~bad] < 40).all()
+
+
 def test_language_model(spark, docs, empty, rows):
     train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
     tokens = lambda t: [x.encode() for x in WORD.findall(lower(t))] + [b""]

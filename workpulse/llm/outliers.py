@@ -2,15 +2,19 @@
 
 Five counts of each text give base rules and a vector of transformed statistics.
 For every language and source a minimum covariance determinant estimate is
-fitted to the vectors of all documents that pass the base rules: from medians and
-quartiles, concentration steps take the mean and covariance of the nearer
-``share`` of the group's rows until the given number of steps is done.  A
-document is rejected when its squared Mahalanobis distance, with the estimate
-scaled for consistency at the normal model, exceeds the limit.
+fitted to the vectors of all documents that pass the base rules.  From three
+starts (medians and quartiles; the shortest interval with half the rows on each
+axis; spatial signs about the medians) concentration steps take the mean and
+covariance of the nearer half of the group's rows until no determinant falls any
+more; the fit of least determinant stays, so up to nearly half of a group may be
+junk.  A document is rejected when its squared Mahalanobis distance, with the
+estimate scaled for consistency at the normal model, exceeds the limit: the
+chi-square quantile that one normal row in ``1 / tail`` passes.
 
 Every step is two aggregates over all rows (an approximate quantile of the
-distances by group, then sums and products of the nearer rows), partially done
-before the shuffle, so a group with a third of all rows is never gathered.  A
+distances by group and start, then sums and products of the nearer rows),
+partially done before the shuffle, so a group with a third of all rows is never
+gathered.  A
 group under ``min_rows`` rows is judged by its language, a language under that
 by all rows, and nothing is rejected when there are fewer rows in all.
 
@@ -120,7 +124,7 @@ def _grouped(vectors: DataFrame) -> DataFrame:
 
 
 def _near(rows: DataFrame, fits: DataFrame) -> DataFrame:
-    """``rows`` with d2, the squared distance under the group's fit."""
+    """``rows`` with d2, the squared distance under each of the group's fits."""
     f = fits.select(*[F.col(c).alias(f"f_{c}") for c in fits.columns])
     on = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in _GROUP]
     delta = [F.col("x")[i] - F.col("f_mean")[i] for i in range(DIMS)]
@@ -133,47 +137,104 @@ def _fit_rows(scale: float):
 
     def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
-            mean, inverse = [], []
+            mean, inverse, size = [], [], []
             for n, s, ss in zip(df["n"], df["s"], df["ss"]):
                 m = np.asarray(s, float) / n
-                cov = np.asarray(ss, float).reshape(DIMS, DIMS) / n - np.outer(m, m)
+                cov = (np.asarray(ss, float).reshape(DIMS, DIMS) / n - np.outer(m, m)) * scale + floors
                 mean.append(m)
-                inverse.append(np.linalg.inv(cov * scale + floors).ravel())
-            yield df[[*_GROUP, "rows"]].assign(mean=mean, inverse=inverse)
+                inverse.append(np.linalg.inv(cov).ravel())
+                size.append(np.linalg.slogdet(cov)[1])
+            yield df[[*_GROUP, "start", "rows"]].assign(mean=mean, inverse=inverse, logdet=size)
     return fit
 
 
-def fit_mcd(vectors: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
+#: The quantiles of each axis from which the starts are made.
+_GRID = [i / 40 for i in range(41)]
+
+
+def _box_starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Starts 0 (median and quartiles) and 1 (shortest half) of groups with quantiles ``q``."""
+    half = len(_GRID) // 2
+    for df in frames:
+        for start in (0, 1):
+            mean, inverse = [], []
+            for q in df["q"]:
+                q = np.array([np.asarray(axis, float) for axis in q])
+                at = np.arange(DIMS)
+                first = (q[:, half:] - q[:, :half + 1]).argmin(axis=1)
+                low, high = (q[:, half // 2], q[:, half + half // 2]) if not start else (
+                    q[at, first], q[at, first + half])
+                mean.append((low + high) / 2 if start else q[:, half])
+                inverse.append(np.diag(np.maximum((high - low) / 1.349, FLOORS) ** -2.0).ravel())
+            yield df[[*_GROUP, "rows"]].assign(start=start, mean=mean, inverse=inverse, logdet=float("inf"))
+
+
+def _sign_starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Start 2 from the sums of products of the signs of the scaled vectors."""
+    for df in frames:
+        inverse = []
+        for n, ss, old in zip(df["n"], df["ss"], df["inverse"]):
+            unit = np.sqrt(np.diag(np.asarray(old, float).reshape(DIMS, DIMS)))
+            shape = DIMS * np.asarray(ss, float).reshape(DIMS, DIMS) / n + 0.01 * np.eye(DIMS)
+            inverse.append((np.linalg.inv(shape) * np.outer(unit, unit)).ravel())
+        yield df[[*_GROUP, "rows"]].assign(start=2, mean=df["mean"], inverse=inverse, logdet=float("inf"))
+
+
+def fit_mcd(vectors: DataFrame, share: float = 0.5, max_steps: int = 50) -> DataFrame:
     """(level, g_lang, g_source, rows, mean, inverse) of every group of
-    ``vectors`` (lang, source, x)."""
+    ``vectors`` (lang, source, x).  Steps end when no start of any group has its
+    determinant fall by a thousandth, at the latest after ``max_steps``."""
     rows = stored(_grouped(vectors), "vectors")
     scale = share / chi2_cdf(chi2_quantile(share, DIMS), DIMS + 2)
     cols = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in _GROUP)
-    fields = f"{cols}, rows long, mean array<double>, inverse array<double>"
-    quartiles = rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("rows"), *[
-        F.percentile_approx(F.col("x")[i], [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(DIMS)])
-    spread = [F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOORS[i])) for i in range(DIMS)]
-    zero = F.lit(0.0)
-    fits = stored(quartiles.select(
-        *_GROUP, "rows", F.array(*[F.col(f"q{i}")[1] for i in range(DIMS)]).alias("mean"),
-        F.array(*[(1 / spread[i] / spread[i]) if i == j else zero for i in range(DIMS) for j in range(DIMS)])
-        .alias("inverse")), "start")
-    for _ in range(steps):
-        cut = stored(_near(rows, fits).groupBy(*_GROUP).agg(
-            F.percentile_approx("d2", share, 1000).alias("cut")), "cut")
-        withcut = fits.join(cut.select(*[F.col(c).alias(f"c_{c}") for c in _GROUP], "cut"),
-                            [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in _GROUP]).select(*fits.columns, "cut")
+    fields = f"{cols}, start int, rows long, mean array<double>, inverse array<double>, logdet double"
+    order = [*_GROUP, "start", "rows", "mean", "inverse", "logdet"]
+
+    def made(frame: DataFrame, run) -> DataFrame:
+        ordered = lambda frames: (df[order] for df in run(frames))
+        return frame.mapInPandas(ordered, fields)
+
+    quantiles = rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("rows"), F.array(*[
+        F.percentile_approx(F.col("x")[i], _GRID, 1000) for i in range(DIMS)]).alias("q"))
+    boxes = stored(made(quantiles, _box_starts), "boxes")
+    z = [(F.col("x")[i] - F.col("f_mean")[i]) * F.sqrt(F.col("f_inverse")[i * DIMS + i]) for i in range(DIMS)]
+    signs = _near(rows, boxes.where("start = 0")).groupBy(*_GROUP).agg(
+        F.first("f_rows").alias("rows"), F.first("f_mean").alias("mean"), F.first("f_inverse").alias("inverse"),
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.sum(F.when(F.col("d2") > 0, a * b / F.col("d2")).otherwise(0.0)) for a in z for b in z])
+        .alias("ss"))
+    fits = stored(boxes.union(made(signs, _sign_starts)), "start")
+    best = fits
+    keys = [*_GROUP, "start"]
+    for _ in range(max_steps):
+        near = _near(rows, fits)
+        cut = near.groupBy(*_GROUP, F.col("f_start").alias("start")).agg(
+            F.percentile_approx("d2", share, 1000).alias("cut"))
+        withcut = stored(fits.join(cut.select(*[F.col(c).alias(f"c_{c}") for c in keys], "cut"),
+                                   [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in keys])
+                         .select(*fits.columns, "cut"), "cut")
         x = [F.col("x")[i] for i in range(DIMS)]
-        sums = _near(rows, withcut).where("d2 <= f_cut").groupBy(*_GROUP).agg(
+        sums = _near(rows, withcut).where("d2 <= f_cut").groupBy(*_GROUP, F.col("f_start").alias("start")).agg(
             F.first("f_rows").alias("rows"), F.count(F.lit(1)).alias("n"),
             F.array(*[F.sum(a) for a in x]).alias("s"),
             F.array(*[F.sum(a * b) for a in x for b in x]).alias("ss"))
-        fits = stored(sums.mapInPandas(_fit_rows(scale), fields), "fits")
-    return fits
-
-
-def judged(docs: DataFrame, limit: float = 40.0, min_rows: int = 100) -> DataFrame:
+        fits = stored(made(sums, _fit_rows(scale)), "fits")
+        # The quantile is approximate, so the least determinant of each start is carried.
+        old = best.select(*[F.col(c).alias(f"o_{c}") for c in keys], F.struct("logdet", "mean", "inverse").alias("old"))
+        now = F.struct("logdet", "mean", "inverse")
+        best = stored(fits.join(old, [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in keys]).select(
+            *keys, "rows", F.least("old", now).alias("b"),
+            (F.col("logdet") < F.col("old.logdet") - 1e-3).alias("fell")).select(
+            *keys, "rows", "b.mean", "b.inverse", "b.logdet", "fell"), "best")
+        if not best.where("fell").limit(1).count():
+            break
+    least = F.min(F.struct("logdet", "start", "rows", "mean", "inverse")).alias("b")
+    return stored(best.groupBy(*_GROUP).agg(least).select(*_GROUP, "b.rows", "b.mean", "b.inverse"), "mcd")
+
+
+def judged(docs: DataFrame, tail: float = 1e-7, min_rows: int = 100) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, source, STATS, base_failed, d2, kept."""
+    limit = chi2_quantile(1 - tail, DIMS)
     stats = stored(with_stats(docs).withColumn("base_failed", base_failed()), "stats")
     fits = fit_mcd(stats.where("NOT base_failed").select("lang", "source", transformed().alias("x")))
     fits = fits.where(f"rows >= {min_rows}")
