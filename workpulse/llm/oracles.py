@@ -69,3 +69,45 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+#: Every order of the filters met by every mask, by comparing the order's letters.
+FILTER_AUDIT = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM docs GROUP BY t),
+said AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+failed AS (
+  SELECT part, CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(d.t, '[A-Z]')) > 5 * len(d.t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(d.t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN d.doc_id > f.first_id THEN 'E' ELSE '' END AS fails,
+    coalesce(s.good, false) AS good, coalesce(s.toxic, false) AS toxic
+  FROM docs d JOIN firsts f ON d.t = f.t LEFT JOIN said s ON d.doc_id = s.doc_id),
+counted AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM failed GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order
+  FROM letters a JOIN letters b ON b.c <> a.c JOIN letters c ON c.c NOT IN (a.c, b.c)
+  JOIN letters d ON d.c NOT IN (a.c, b.c, c.c) JOIN letters e ON e.c NOT IN (a.c, b.c, c.c, d.c)),
+steps AS (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM orders),
+found AS (
+  SELECT part, filter_order, step, filter_order[step] AS f, n, good, toxic, fails,
+    contains(fails, filter_order[step]) AS hit,
+    len(regexp_extract_all(filter_order[1:step - 1], '[' || fails || '_]')) > 0 AS before
+  FROM steps, counted),
+summed AS (
+  SELECT part, filter_order, step, any_value(f) AS f,
+    coalesce(sum(n) FILTER (NOT before AND NOT hit), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (NOT before AND hit), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (before AND hit), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT before AND hit), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT before AND hit), 0)::BIGINT AS toxic_lost
+  FROM found GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM summed
+"""

@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import bpe, knn, langid, lbl, line_dedup, mixing, oracles, outliers, secrets, simhash, substring, texts
+from workpulse.llm import (bpe, filter_audit, knn, langid, lbl, line_dedup, mixing, oracles, outliers, secrets,
+                           simhash, substring, texts)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +104,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.transform("passages", lambda p: F.concat_ws(":", p["first"], p["last"], p["words"]))
     return made.select("doc_id", F.size("passages").cast("long").alias("n_passages"), "n_words", "n_removed",
                        F.array_join(spans, ",").alias("passages"), "first_doc_ids")
+
+
+@query("op13_filter_audit", oracles.FILTER_AUDIT)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
