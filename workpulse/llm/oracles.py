@@ -111,3 +111,27 @@ summed AS (
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM summed
 """
+
+#: Exact similarity of all sets that share a shingle, and closure of the links.
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+  FROM documents),
+sets AS (
+  SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[]
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END)) AS s FROM docs),
+classes AS (SELECT min(r) AS c, s, min(doc_id) AS low FROM sets WHERE len(s) > 0 GROUP BY s),
+posted AS (SELECT c, len(s) AS n, unnest(s) AS x FROM classes),
+links AS (
+  SELECT a.c AS u, b.c AS v FROM posted a JOIN posted b ON a.x = b.x AND a.c <> b.c
+  GROUP BY a.c, b.c HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT c AS u, c AS v FROM classes UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+lowest AS (SELECT u, min(low) AS component_id FROM reach JOIN classes ON v = c GROUP BY u),
+found AS (
+  SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles,
+    CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE l.component_id END AS component_id
+  FROM sets s LEFT JOIN classes c ON s.s = c.s LEFT JOIN lowest l ON l.u = c.c)
+SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM found
+"""

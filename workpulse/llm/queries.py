@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import (bpe, filter_audit, knn, langid, lbl, line_dedup, mixing, oracles, outliers, secrets,
-                           simhash, substring, texts)
+from workpulse.llm import (alignment, bpe, filter_audit, knn, langid, lbl, line_dedup, minhash, mixing, oracles, outliers,
+                           secrets, simhash, substring, texts)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_filter_audit", oracles.FILTER_AUDIT)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_minhash", oracles.NEAR_DUPLICATES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = minhash.near_duplicates(table(spark, sf_dir, "documents"), words_in=4, limit=80)
+    return made.select("doc_id", "n_shingles", "component_id",
+                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op12_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
