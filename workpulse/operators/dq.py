@@ -206,7 +206,6 @@ def check_reconcile(cid, name, source, target, removed: Sequence = (), max_gap=N
         return (x, x, None) if isinstance(x, str) else x
     sides = [norm(x) for x in (source, target, *removed)]
     labels = [s[0] for s in sides]
-    src, tgt, rem = labels[0], labels[1], labels[2:]
 
     def frame(frames: Frames) -> DataFrame:
         from workpulse.operators.combine import tagged_union
@@ -215,18 +214,72 @@ def check_reconcile(cid, name, source, target, removed: Sequence = (), max_gap=N
                 (F.lit(1) if value is None else F.expr(value)).cast("long").alias("_v"))
             for label, fname, value in sides})
 
+    return _balance(cid, name, labels, {lab: f"coalesce(sum(CASE WHEN _src = {q(lab)} THEN _v END), 0)"
+                                        for lab in labels},
+                    max_gap, severity, fail_status, layer, f"reconcile|{'|'.join(labels)}", frame)
+
+
+def check_reconcile_counted(cid, name, source: str, target: str, removed: Sequence[str] = (), max_gap=None,
+                            severity="WARNING", fail_status="WARNING", layer="silver",
+                            counts="layer_counts") -> Check:
+    """``check_reconcile`` over what the writes counted: each side is a ``metric``
+    of the frame ``counts`` (metric, value), and no table is read."""
+    labels = [source, target, *removed]
+    names = {lab: re.sub(r"\W", "_", lab) for lab in labels}
+    return _balance(cid, name, list(names.values()),
+                    {n: f"coalesce(sum(CASE WHEN metric = {q(lab)} THEN value END), 0)" for lab, n in names.items()},
+                    max_gap, severity, fail_status, layer, counts, lambda frames: frames[counts])
+
+
+def _balance(cid, name, labels, metrics, max_gap, severity, fail_status, layer, frame_key, frame) -> Check:
+    src, tgt, rem = labels[0], labels[1], labels[2:]
     gap = "({" + src + "} - {" + tgt + "}" + "".join(f" - {{{r}}}" for r in rem) + ")"
     rule = f"{gap} >= 0" + (f" AND {gap} <= {max_gap}" if max_gap is not None else "")
     pieces = [f"{src}=", txt(src), f", {tgt}=", txt(tgt)]
     for r in rem:
         pieces += [f", {r}=", txt(r)]
     pieces += [", unexplained_gap=", f"cast({gap} as string)"]
-    return Check(cid, name, tgt, "reconciliation", severity,
-                 {lab: f"coalesce(sum(CASE WHEN _src = {q(lab)} THEN _v END), 0)" for lab in labels},
-                 rule, concat(*pieces),
+    return Check(cid, name, tgt, "reconciliation", severity, metrics, rule, concat(*pieces),
                  "unexplained_gap>=0" if max_gap is None else f"0<=unexplained_gap<={max_gap}",
                  concat("unexplained gap of ", f"cast({gap} as string)", " rows."),
-                 fail_status, layer, frame_key=f"reconcile|{'|'.join(labels)}", frame=frame)
+                 fail_status, layer, frame_key=frame_key, frame=frame)
+
+
+def check_counted(cid, name, metric: str, low=1, severity="CRITICAL", fail_status=None, layer="silver",
+                  counts="layer_counts") -> Check:
+    """A count that a write made is at least ``low`` (None: only reported)."""
+    return Check(cid, name, metric, "volume", severity if low is not None else "INFO",
+                 {"n": f"coalesce(sum(CASE WHEN metric = {q(metric)} THEN value END), 0)"},
+                 "TRUE" if low is None else f"{{n}} >= {low}", txt("n"),
+                 "informational" if low is None else f">={low}", concat(txt("n"), f" {metric}."),
+                 "PASS" if low is None else fail_status or _status_default(severity), layer,
+                 frame_key=counts, frame=lambda frames: frames[counts])
+
+
+def check_grain(cid, table, name, keys: Sequence[str] = (), not_null: Sequence[str] = (),
+                not_negative: Sequence[str] = (), layer="gold", severity="CRITICAL", fail_status="FAIL") -> Check:
+    """A table has rows, one per key, none with a null in ``not_null`` or a value
+    below zero in ``not_negative``: one grouped pass."""
+    def frame(frames: Frames) -> DataFrame:
+        df = frames[table]
+        null, low = F.lit(False), F.lit(False)
+        for c in not_null:
+            null = null | F.col(c).isNull()
+        for c in not_negative:
+            low = low | F.coalesce(F.col(c) < 0, F.lit(False))
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(null, 1)).alias("_null"),
+                                     F.count(F.when(low, 1)).alias("_low"))
+
+    metrics = {"rows": "coalesce(sum(_n), 0)", "nulls": "coalesce(sum(_null), 0)",
+               "negative": "coalesce(sum(_low), 0)", "duplicates": cnt("_n > 1") if keys else "max(0)"}
+    shown = ", ".join(["rows>0", "nulls=0", "negative=0", "duplicates=0"])
+    return Check(cid, name, table, "completeness+validity+uniqueness", severity, metrics,
+                 "{rows} > 0 AND {nulls} + {negative} + {duplicates} = 0",
+                 concat("rows=", txt("rows"), ", nulls=", txt("nulls"), ", negative=", txt("negative"),
+                        ", duplicates=", txt("duplicates")), shown,
+                 concat(txt("rows"), " rows, ", txt("nulls"), " with nulls, ", txt("negative"), " negative, ",
+                        txt("duplicates"), " keys repeated."),
+                 fail_status, layer, frame_key=f"{table}|grain|{','.join(keys)}", frame=frame)
 
 
 def check_non_empty(cid, table, layer="gold") -> Check:
@@ -276,11 +329,12 @@ def check_types(cid_prefix, table, df: DataFrame, expected: Mapping[str, str], l
 
 
 def check_available(cid_prefix, spark: SparkSession, names: Sequence[str],
-                    critical: Sequence[str] = ()) -> list[Check]:
-    """Catalog existence; a missing critical table fails, others warn."""
+                    critical: Sequence[str] = (), exists: Callable[[str], bool] | None = None) -> list[Check]:
+    """Existence of each table (in the catalog, or by ``exists``); a missing
+    critical table fails, others warn."""
     out = []
     for n in names:
-        ok = spark.catalog.tableExists(n)
+        ok = (exists or spark.catalog.tableExists)(n)
         crit = n in critical
         out.append(_meta_check(f"{cid_prefix}_{n.replace('.', '_')}", f"{n} available", n,
                                "availability", "CRITICAL" if crit else "WARNING", ok,

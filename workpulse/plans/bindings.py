@@ -38,7 +38,7 @@ def _memo(fn):
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        key = (id(spark), id(spark._jsparkSession), sf_dir.rstrip("/"), args,
+        key = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"), args,
                tuple(sorted(kwargs.items())))
         if key not in cache:
             cache[key] = fn(spark, sf_dir, *args, **kwargs)
@@ -118,7 +118,7 @@ def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_memo
-def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_extract_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string bronze rows of the overlapping extracts (lineage kept) with
     injected defects: ids 'Meal ...' (every 97th event), '' (101st), NULL
     (103rd), '...ADJ FOR' (109th); pay code NULL (83rd) or blank (107th);
@@ -128,6 +128,7 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts_fmt = "yyyy-MM-dd HH:mm:ss.SSS"
     emp = F.col("client_employee_id")
     return p.select(
+        eid,
         (F.when(eid % 97 == 0, F.concat(F.lit("Meal "), emp))
          .when(eid % 101 == 0, F.lit(""))
          .when(eid % 103 == 0, F.lit(None).cast("string"))
@@ -151,6 +152,49 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
+def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_extract_e(spark, sf_dir).drop("event_id")
+
+
+RAW_COLUMNS = ("client_employee_id", "department_id", "department_name", "pay_code", "hours_worked",
+               "punch_apply_date", "punch_in_datetime", "punch_out_datetime", "scheduled_start_datetime",
+               "scheduled_end_datetime")
+
+
+@_memo
+def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line, origin) of the bronze rows as extract text, with malformed lines:
+    every 61st event lacks its last field, every 67th has one too many, every 71st
+    opens a quote that never closes."""
+    raw, eid = raw_extract_e(spark, sf_dir), F.col("event_id")
+
+    def field(name: str) -> Column:
+        text = F.col(name)
+        return (F.when(text.isNull(), "[NULL]").when(text == "", '""')
+                .when(F.contains(text, F.lit("|")), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(text))
+
+    first, last = [field(c) for c in RAW_COLUMNS[:-1]], field(RAW_COLUMNS[-1])
+    line = F.concat_ws("|", *first)
+    return raw.select(
+        F.when(eid % 61 == 0, line).when(eid % 67 == 0, F.concat_ws("|", line, last, F.lit("surplus")))
+        .when(eid % 71 == 0, F.concat_ws("|", F.concat(F.lit('"'), line), last))
+        .otherwise(F.concat_ws("|", line, last)).alias("line"), F.col("_source_file").alias("origin"))
+
+
+@_memo
+def employee_raw_odd_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze master with dates nobody can read: every 59th hire date in another
+    order, every 61st term date a word, and every 83rd id blank."""
+    raw = employee_raw(spark, sf_dir)
+    k = F.col("client_employee_id").cast("long")
+    return raw.withColumns({
+        "hire_date": F.when(k % 59 == 0, F.date_format(F.to_date("hire_date"), "dd/MM/yyyy"))
+        .otherwise(F.col("hire_date")),
+        "term_date": F.when(k % 61 == 0, "unknown").otherwise(F.col("term_date")),
+        "client_employee_id": F.when(k % 83 == 0, " ").otherwise(F.col("client_employee_id"))})
+
+
 @_memo
 def employee_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string employee master: every customer; hire =

@@ -9,45 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from workpulse.operators import dq, hours, workforce
-from workpulse.operators.dq import (check_columns, check_complete, check_count_equals,
-                                    check_flag_rule, check_non_empty, check_predicate,
-                                    check_range, check_reconcile, check_reference, check_types,
-                                    check_unique)
-
-TIMESHEET_REQUIRED = ("client_employee_id", "department_id", "department_name", "pay_code",
-                      "hours_worked", "punch_apply_date", "punch_in_datetime",
-                      "punch_out_datetime", "scheduled_start_datetime", "scheduled_end_datetime")
-EMPLOYEE_REQUIRED = ("client_employee_id", "hire_date", "term_date", "active_status",
-                     "department_id", "department_name")
-TIMESHEET_TYPES = {
-    "client_employee_id": "string", "timesheet_id": "string", "hours_worked": "decimal(10,2)",
-    "punch_apply_date": "date", "punch_in_datetime": "timestamp", "punch_out_datetime": "timestamp",
-    "scheduled_start_datetime": "timestamp", "scheduled_end_datetime": "timestamp",
-    "actual_duration_minutes": "double", "actual_duration_hours": "double",
-    "scheduled_duration_minutes": "double", "late_arrival_minutes": "double",
-    "early_departure_minutes": "double", "overtime_minutes": "double", "overtime_hours": "double",
-    "hours_worked_vs_punch_variance": "double", "is_schedulable": "boolean",
-    "is_late_arrival": "boolean", "is_early_departure": "boolean", "is_overtime": "boolean",
-    "is_excessive_duration": "boolean", "pay_code_count": "int", "has_multiple_pay_codes": "boolean",
-    "has_overtime_pay_code": "boolean", "has_leave_pay_code": "boolean",
-    "employee_master_match": "boolean", "source_duplicate_count": "bigint"}
-EMPLOYEE_TYPES = {
-    "client_employee_id": "string", "hire_date": "date", "term_date": "date",
-    "tenure_end_date": "date", "active_status": "boolean", "manager_exists": "boolean",
-    "is_early_attrition": "boolean", "tenure_days": "int", "days_to_termination": "int",
-    "tenure_years": "double", "scheduled_weekly_hour": "decimal(10,2)"}
-GOLD_TYPES = {
-    "daily_headcount": {"calendar_date": "date", "active_headcount": "bigint"},
-    "working_hours": {"total_working_days": "bigint", "total_hours_worked": "double",
-                      "first_work_date": "date"},
-    "attendance_metrics": {"late_arrival_count": "bigint", "late_arrival_rate_pct": "double"},
-}
-
+from workpulse.operators.dq import (check_complete, check_count_equals, check_flag_rule, check_grain,
+                                    check_predicate, check_range, check_reconcile,
+                                    check_reconcile_counted, check_reference, check_unique)
+from workpulse.plans import contract
 
 def gold_frames(employee: DataFrame, timesheet: DataFrame) -> dict[str, DataFrame]:
-    return {"daily_headcount": workforce.daily_headcount(employee),
+    headcount = workforce.daily_headcount(employee)
+    return {"daily_headcount": headcount,
+            "monthly_turnover": workforce.monthly_turnover(employee, headcount),
+            "department_tenure": workforce.group_tenure(employee),
             "working_hours": hours.working_hours(timesheet),
-            "attendance_metrics": hours.attendance_metrics(timesheet)}
+            "attendance_metrics": hours.attendance_metrics(timesheet),
+            "rolling_avg_hours": hours.rolling_hours(timesheet),
+            "early_attrition_overall": workforce.attrition(employee)}
+
+
+def contract_tables(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The suite's frames by the names that the contract gives the tables."""
+    names = {"silver.employee": "employee", "silver.timesheet": "timesheet",
+             "gold.employee_working_hours": "working_hours"}
+    return {t: frames[names.get(t, t.split(".")[1])] for t in contract.TYPES}
 
 
 def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: dt.date,
@@ -112,34 +94,60 @@ def standard_checks(frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: d
                         grace_minutes, guard="is_schedulable"),
         check_count_equals("DQ010_4", "timesheet", "Excessive duration flag count",
                            "is_excessive_duration", f"actual_duration_hours > {max_hours}"),
+        *(counted_reconciliations() if "layer_counts" in frames else scanned_reconciliations()),
+        check_grain("DQ012_1", "daily_headcount", "Gold: active headcount", ["calendar_date"],
+                    ["calendar_date", "active_headcount"], ["active_headcount"]),
+        check_grain("DQ012_2", "monthly_turnover", "Gold: turnover trend", ["month"]),
+        check_grain("DQ012_3", "department_tenure", "Gold: tenure by department", (),
+                    ["department_id", "avg_tenure_years"], ["avg_tenure_years"]),
+        check_grain("DQ012_4", "working_hours", "Gold: working hours per employee", ["client_employee_id"],
+                    ["client_employee_id", "total_hours_worked"], ["total_hours_worked"]),
+        check_grain("DQ012_5", "attendance_metrics", "Gold: attendance metrics", ["client_employee_id"],
+                    ["client_employee_id"]),
+        check_grain("DQ012_6", "rolling_avg_hours", "Gold: rolling average hours",
+                    ["client_employee_id", "punch_apply_date"], ["client_employee_id", "punch_apply_date"]),
+        dq.Check("DQ012_7", "Gold: early attrition rate", "early_attrition_overall", "validity", "CRITICAL",
+                 {"rows": "count(1)", "valid": dq.cnt("early_attrition_rate_pct BETWEEN 0 AND 100")},
+                 "{rows} > 0 AND {valid} = {rows}", dq.concat("rows=", dq.txt("rows"), ", valid=", dq.txt("valid")),
+                 "0<=rate<=100", dq.concat(dq.txt("valid"), " of ", dq.txt("rows"), " rates are percentages."),
+                 layer="gold"),
+        # Rules of our own, so with ids of their own.
+        check_range("DQ013_1", "attendance_metrics", "late_arrival_rate_pct", 0, 100, layer="gold"),
+        check_range("DQ013_2", "attendance_metrics", "overtime_rate_pct", 0, 100, layer="gold"),
+    ]
+    return checks
+
+
+def scanned_reconciliations() -> list[dq.Check]:
+    return [
         check_reconcile("DQ011_1", "Bronze employee = silver employee", "bronze_employee",
                         "employee", max_gap=0),
         check_reconcile("DQ011_2", "Typed = silver + duplicate copies removed", "timesheet_typed",
                         "timesheet", [("duplicates_removed", "timesheet",
                                        "source_duplicate_count - 1")], max_gap=0),
         check_reconcile("DQ011_3", "Bronze = typed + quarantined", "bronze_timesheet",
-                        "timesheet_typed", ["quarantine"], max_gap=0),
-        check_non_empty("DQ012_1", "daily_headcount"),
-        check_complete("DQ012_2", "working_hours", "client_employee_id", layer="gold"),
-        check_range("DQ012_3", "working_hours", "total_hours_worked", low=0, layer="gold"),
-        check_unique("DQ012_4", "daily_headcount", ["calendar_date"], layer="gold"),
-        check_unique("DQ012_5", "attendance_metrics", ["client_employee_id"], layer="gold"),
-        check_range("DQ012_6", "attendance_metrics", "late_arrival_rate_pct", 0, 100, layer="gold"),
-        check_range("DQ012_7", "attendance_metrics", "overtime_rate_pct", 0, 100, layer="gold"),
-        check_columns("DQ_SCHEMA_EXIST_timesheet", "timesheet", frames["timesheet"],
-                      TIMESHEET_REQUIRED),
-        check_columns("DQ_SCHEMA_EXIST_employee", "employee", frames["employee"], EMPLOYEE_REQUIRED),
-        *check_types("DQ_SCHEMA_TYPE_timesheet", "timesheet", frames["timesheet"], TIMESHEET_TYPES),
-        *check_types("DQ_SCHEMA_TYPE_employee", "employee", frames["employee"], EMPLOYEE_TYPES),
-        *[c for t, types in GOLD_TYPES.items()
-          for c in check_types(f"DQ_SCHEMA_TYPE_{t}", t, frames[t], types, layer="gold")],
-    ]
-    return checks
+                        "timesheet_typed", ["quarantine"], max_gap=0)]
 
 
-def run_suite(spark: SparkSession, frames: dict[str, DataFrame], as_of: dt.date,
-              punch_as_of: dt.date, checked_at: dt.datetime | None = None) -> DataFrame:
-    return dq.dq_report(spark, frames, standard_checks(frames, as_of, punch_as_of), checked_at)
+def counted_reconciliations() -> list[dq.Check]:
+    """The same from what the writes counted: no layer is scanned to be counted."""
+    return [
+        check_reconcile_counted("DQ011_1", "Bronze employee = silver employee + quarantined",
+                                "bronze.employee.rows", "silver.employee.rows",
+                                ["silver.employee_quarantine.rows"], max_gap=0),
+        check_reconcile_counted("DQ011_2", "Good = silver + duplicate copies removed", "bronze.timesheet.good",
+                                "silver.timesheet.rows", ["silver.timesheet.copies_removed"], max_gap=0),
+        check_reconcile_counted("DQ011_3", "Bronze = good + quarantined", "bronze.timesheet.rows",
+                                "bronze.timesheet.good", ["silver.timesheet_quarantine.rows"], max_gap=0)]
+
+
+def run_suite(spark: SparkSession, frames: dict[str, DataFrame], as_of: dt.date, punch_as_of: dt.date,
+              checked_at: dt.datetime | None = None, grace_minutes: float = 5, extra: tuple = ()) -> DataFrame:
+    """The report of the standard checks, the contract's columns and types, and ``extra`` checks."""
+    checks = standard_checks(frames, as_of, punch_as_of, grace_minutes)
+    columns = contract.catalog_columns(spark, contract_tables(frames))
+    return dq.dq_report(spark, frames, [*checks, *extra], checked_at).union(
+        contract.contract_report(spark, columns, checked_at))
 
 
 # --------------------------------------------------------------------------- DuckDB status oracle
@@ -167,6 +175,38 @@ def _none(cid, rel, pred, fail="FAIL"):
     return _st(cid, f"count(*) FILTER (WHERE {pred}) = 0", rel, fail)
 
 
+def _grain(cid, rel, keys, not_null=(), not_negative=()):
+    bad = " OR ".join([f"{c} IS NULL" for c in not_null] + [f"{c} < 0" for c in not_negative]) or "FALSE"
+    twice = (f" AND (SELECT count(*) FROM (SELECT 1 FROM {rel} GROUP BY {', '.join(keys)} HAVING count(*) > 1)) = 0"
+             if keys else "")
+    return (f"SELECT '{cid}' AS check_id, CASE WHEN (SELECT count(*) FROM {rel}) > 0 AND "
+            f"(SELECT count(*) FROM {rel} WHERE {bad}) = 0{twice} THEN 'PASS' ELSE 'FAIL' END AS status")
+
+
+#: The relation of each contracted table and the contracted columns it does not have.
+CONTRACT_RELATIONS = {
+    "silver.employee": ("b_employee", ("recent_hire_date", "anniversary_date")),
+    "silver.timesheet": ("s_silver", ()), "gold.daily_headcount": ("dq_hc", ()), "gold.monthly_turnover": ("dq_mt", ()),
+    "gold.department_tenure": ("dq_dt", ()), "gold.employee_working_hours": ("dq_wh", ()),
+    "gold.attendance_metrics": ("dq_am", ()), "gold.rolling_avg_hours": ("dq_ra", ()),
+    "gold.early_attrition_overall": ("dq_ea", ())}
+SPARK_TYPE = ("replace(replace(replace(lower(t), 'varchar', 'string'), 'integer', 'int'), 'int64', 'bigint')")
+
+
+def contract_sql() -> str:
+    """Status of every rule of the contract, from the types DuckDB gives the columns."""
+    parts = []
+    for table, (rel, absent) in CONTRACT_RELATIONS.items():
+        rules = [("EXIST", c, "") for c in contract.REQUIRED.get(table, ())]
+        rules += [("TYPE", c, kind) for c, kind in contract.TYPES[table].items()]
+        rows = ", ".join(f"('DQ_SCHEMA_{rule}_{table.split('.')[1]}_{c}', '{kind}', "
+                         + ("NULL" if c in absent else f"(SELECT typeof({c}) FROM {rel} LIMIT 1)") + ")"
+                         for rule, c, kind in rules)
+        parts.append(f"SELECT i AS check_id, CASE WHEN t IS NOT NULL AND contains({SPARK_TYPE}, k) THEN 'PASS' "
+                     f"ELSE 'FAIL' END AS status FROM (VALUES {rows}) AS r(i, k, t)")
+    return " UNION ALL ".join(parts)
+
+
 def status_sql(as_of: dt.date, punch_as_of: dt.date) -> str:
     a, p = f"DATE '{as_of}'", f"DATE '{punch_as_of}'"
     parts = [
@@ -222,20 +262,18 @@ def status_sql(as_of: dt.date, punch_as_of: dt.date) -> str:
         "SELECT 'DQ011_2' AS check_id, CASE WHEN (SELECT count(*) FROM s_good) - (SELECT count(*) "
         "FROM s_silver) - (SELECT coalesce(sum(source_duplicate_count - 1), 0) FROM s_silver) = 0 "
         "THEN 'PASS' ELSE 'WARNING' END AS status",
-        _st("DQ012_1", "count(*) > 0", "dq_hc"),
-        _complete("DQ012_2", "dq_wh", "client_employee_id"),
-        _none("DQ012_3", "dq_wh", "total_hours_worked < 0"),
-        _unique("DQ012_4", "dq_hc", ["calendar_date"]),
-        _unique("DQ012_5", "dq_am", ["client_employee_id"]),
-        _none("DQ012_6", "dq_am", "late_arrival_rate_pct < 0 OR late_arrival_rate_pct > 100"),
-        _none("DQ012_7", "dq_am", "overtime_rate_pct < 0 OR overtime_rate_pct > 100"),
-        "SELECT 'DQ_SCHEMA_EXIST_timesheet' AS check_id, 'PASS' AS status",
-        "SELECT 'DQ_SCHEMA_EXIST_employee' AS check_id, 'PASS' AS status",
-        *[f"SELECT 'DQ_SCHEMA_TYPE_timesheet_{k}' AS check_id, 'PASS' AS status"
-          for k in TIMESHEET_TYPES],
-        *[f"SELECT 'DQ_SCHEMA_TYPE_employee_{k}' AS check_id, 'PASS' AS status"
-          for k in EMPLOYEE_TYPES],
-        *[f"SELECT 'DQ_SCHEMA_TYPE_{t}_{k}' AS check_id, 'PASS' AS status"
-          for t, types in GOLD_TYPES.items() for k in types],
+        _grain("DQ012_1", "dq_hc", ["calendar_date"], ["calendar_date", "active_headcount"], ["active_headcount"]),
+        _grain("DQ012_2", "dq_mt", ["month"]),
+        _grain("DQ012_3", "dq_dt", [], ["department_id", "avg_tenure_years"], ["avg_tenure_years"]),
+        _grain("DQ012_4", "dq_wh", ["client_employee_id"], ["client_employee_id", "total_hours_worked"],
+               ["total_hours_worked"]),
+        _grain("DQ012_5", "dq_am", ["client_employee_id"], ["client_employee_id"]),
+        _grain("DQ012_6", "dq_ra", ["client_employee_id", "punch_apply_date"],
+               ["client_employee_id", "punch_apply_date"]),
+        _st("DQ012_7", "count(*) > 0 AND bool_and(early_attrition_rate_pct >= 0 AND early_attrition_rate_pct <= 100)",
+            "dq_ea"),
+        _none("DQ013_1", "dq_am", "late_arrival_rate_pct < 0 OR late_arrival_rate_pct > 100"),
+        _none("DQ013_2", "dq_am", "overtime_rate_pct < 0 OR overtime_rate_pct > 100"),
+        contract_sql(),
     ]
     return "\nUNION ALL\n".join(f"({x})" for x in parts)

@@ -143,8 +143,8 @@ b_extract_e AS (
   FROM b_punch_e WHERE event_id % 15 = 0
 ),
 b_extract AS (SELECT * EXCLUDE (event_id) FROM b_extract_e),
-b_raw AS (
-  SELECT
+b_raw_e AS (
+  SELECT event_id,
     CASE WHEN event_id % 97 = 0 THEN 'Meal ' || client_employee_id
       WHEN event_id % 101 = 0 THEN '' WHEN event_id % 103 = 0 THEN NULL
       WHEN event_id % 109 = 0 THEN client_employee_id || 'ADJ FOR'
@@ -164,6 +164,7 @@ b_raw AS (
     _source_file, _ingested_at, _batch_id
   FROM b_extract_e
 ),
+b_raw AS (SELECT * EXCLUDE (event_id) FROM b_raw_e),
 e_first AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS hire FROM orders GROUP BY o_custkey),
 e_base AS (
   SELECT c.c_custkey AS k, c.c_nationkey, c.c_acctbal, c.c_mktsegment, f.hire,

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from workpulse.operators import codes, dq, quarantine
+from workpulse.operators import dq, quarantine
 from workpulse.plans import bindings as B
 from workpulse.plans import dq_suite, gates, pipeline
 from workpulse.plans.oracles import PCT, R, silver_chain
@@ -41,12 +41,27 @@ s_dedup AS (
 ),
 {silver_chain("s_dedup", "s").strip()},
 dq_hc AS ({HEADCOUNT_SQL}),
-dq_wh AS (SELECT client_employee_id, {R("sum(actual_duration_hours)")} AS total_hours_worked
+dq_mt AS (SELECT CAST(p AS TIMESTAMP) AS month, {PCT("coalesce(n, 0)", "a")} AS turnover_rate_pct,
+    CAST(coalesce(n, 0) AS BIGINT) AS terminations
+  FROM (SELECT date_trunc('month', calendar_date) AS p, avg(active_headcount) AS a FROM dq_hc GROUP BY 1)
+  LEFT JOIN (SELECT date_trunc('month', term_date) AS q, count(*) AS n FROM b_employee
+             WHERE term_date IS NOT NULL GROUP BY 1) ON p = q),
+dq_dt AS (SELECT department_id, {R("avg(tenure_years)")} AS avg_tenure_years FROM b_employee
+          GROUP BY department_id, department_code, department_name),
+dq_wh AS (SELECT client_employee_id, {R("sum(actual_duration_hours)")} AS total_hours_worked,
+            {R("avg(actual_duration_hours) * 5")} AS avg_hours_per_week
           FROM s_silver GROUP BY client_employee_id),
-dq_am AS (SELECT client_employee_id,
+dq_am AS (SELECT client_employee_id, count(*) FILTER (WHERE is_late_arrival) AS late_arrival_count,
+   count(*) FILTER (WHERE is_early_departure) AS early_departure_count,
+   count(*) FILTER (WHERE is_overtime) AS overtime_count,
    {PCT("count(*) FILTER (WHERE is_late_arrival)", "count(timesheet_id)")} AS late_arrival_rate_pct,
    {PCT("count(*) FILTER (WHERE is_overtime)", "count(timesheet_id)")} AS overtime_rate_pct
-   FROM s_silver GROUP BY client_employee_id)
+   FROM s_silver GROUP BY client_employee_id),
+dq_ra AS (SELECT client_employee_id, punch_apply_date, h AS rolling_7day_avg_hours, h AS rolling_30day_avg_hours
+  FROM (SELECT client_employee_id, punch_apply_date, {R("sum(actual_duration_hours)")} AS h FROM s_silver
+        WHERE actual_duration_hours IS NOT NULL GROUP BY client_employee_id, punch_apply_date)),
+dq_ea AS (SELECT {PCT("count(*) FILTER (WHERE is_early_attrition)", "count(*)")} AS early_attrition_rate_pct
+          FROM b_employee)
 """
 
 
@@ -57,20 +72,23 @@ def silver_pair(spark, sf, raw=None):
     return raw, silver, bad
 
 
+def dq_layers(spark, sf):
+    """The layers that the suite and the gates read, each written once as Parquet
+    (``spark.checkpoint.dir``) and counted by its write: bronze tagged with the
+    verdict of each row, so that good and quarantined rows are its partitions."""
+    root = io.scratch_path(spark, "dq")
+    checked_at = F.lit(CHECKED_AT).cast("timestamp")
+    layers = pipeline.Layers(spark, root)
+    employee = layers.put("bronze", "employee", quarantine.tag(
+        B.employee_raw(spark, sf), pipeline.employee_reasons(B.employee_raw(spark, sf).columns), checked_at))
+    timesheet = layers.put("bronze", "timesheet", quarantine.tag(
+        B.raw_extract(spark, sf), pipeline.timesheet_reasons(), checked_at))
+    return pipeline.build_silver(layers, employee, timesheet, B.AS_OF)
+
+
 def dq_frames(spark, sf):
-    """Frames of the suite, shaped like the pipeline's written layers: the
-    bronze extract and the silver timesheet are checkpointed once (reliable
-    checkpoint in spark.checkpoint.dir), so the report's branches read them
-    instead of re-deriving bronze and re-running dedup and the rules; the small
-    employee dimension is cheaper to recompute than to write."""
-    raw = io.materialize(B.raw_extract(spark, sf))
-    raw, silver, bad = silver_pair(spark, sf, raw)
-    silver = io.materialize(silver)
-    good, _ = quarantine.split_quarantine(raw, pipeline.timesheet_reasons())
-    emp = B.employee(spark, sf)
-    frames = {"employee": emp, "bronze_employee": B.employee_raw(spark, sf), "timesheet": silver,
-              "bronze_timesheet": raw, "quarantine": bad, "timesheet_typed": good}
-    frames.update(dq_suite.gold_frames(emp, silver))
+    frames = dq_layers(spark, sf)
+    frames.update(dq_suite.gold_frames(frames["employee"], frames["timesheet"]))
     return frames
 
 
@@ -178,10 +196,5 @@ GATES_SQL = SILVER_CTES + "\nUNION ALL\n".join([
 @register("pipeline_gates", GATES_SQL)
 def pipeline_gates(spark, sf):
     """Hard gates between bronze, silver and gold: status of each."""
-    raw, silver, bad = silver_pair(spark, sf)
-    silver = io.materialize(silver)
-    good, _ = quarantine.split_quarantine(raw, pipeline.timesheet_reasons())
-    frames = {"bronze_employee": B.employee_raw(spark, sf), "employee": B.employee(spark, sf),
-              "bronze_timesheet": raw, "timesheet_typed": pipeline.type_timesheet(good),
-              "quarantine": bad, "timesheet": silver, "bridge": codes.explode_codes(silver)}
+    frames = dq_layers(spark, sf)
     return dq.dq_report(spark, frames, gates.gate_checks(frames), CHECKED_AT).select("check_id", "status")

@@ -53,4 +53,4 @@ def register(name: str, oracle: str | None = None, doubles: tuple[str, ...] = ()
 
 # Import the query modules for their registrations.
 from workpulse.plans import (  # noqa: E402,F401
-    queries_core, queries_dq, queries_io, queries_kpi, queries_model, queries_silver)
+    queries_core, queries_dq, queries_io, queries_kpi, queries_layers, queries_model, queries_silver)

@@ -60,10 +60,13 @@ def table_path(root: str, layer: str, name: str) -> str:
 
 def load(spark: SparkSession, root: str | None, layer: str, name: str,
          fmt: str = "parquet") -> DataFrame:
-    """Read a published table: from ``root/layer/name`` or, with ``root=None``,
-    from the catalog as ``layer.name``."""
+    """Read a published table: from ``root/layer/name`` (its current version, where
+    it has versions) or, with ``root=None``, from the catalog as ``layer.name``."""
     if root is None:
         return spark.table(f"{layer}.{name}")
+    from workpulse.sources import versions
+    if versions.manifests(spark, root, layer, name):
+        return versions.load_version(spark, root, layer, name)
     return spark.read.format(fmt).load(table_path(root, layer, name))
 
 
