@@ -30,7 +30,7 @@ _registered: set = set()
 def _ensure_round_function() -> None:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    key = (id(spark), id(spark._jsparkSession))
+    key = spark._jsparkSession.sessionUUID()
     if key not in _registered:
         spark.sql(_ROUND_SQL)
         _registered.add(key)

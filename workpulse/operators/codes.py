@@ -77,10 +77,14 @@ def with_code_flags(df: DataFrame, code_col: str = "pay_code",
 
 
 def rollup_code_flags(bridge: DataFrame, dimension: DataFrame, id_col: str = "timesheet_id",
-                      code_col: str = "pay_code", flags: Sequence[str] = ("overtime", "leave")
-                      ) -> DataFrame:
-    """Star-model roll-up: bridge joined to the dimension, ``bool_or`` per punch
-    (the dimension is small and bounded by distinct codes)."""
-    joined = bridge.join(dimension, code_col, "left")
+                      code_col: str = "pay_code", flags: Sequence[str] = ("overtime", "leave"),
+                      salts: int = 32) -> DataFrame:
+    """Star-model roll-up: bridge joined to the dimension, ``bool_or`` per punch.
+    The join is salted: the dimension (distinct codes) has ``salts`` copies and a
+    bridge row meets the one its punch hashes to, so that a code on most punches
+    is spread over as many tasks where the join is a shuffle."""
+    spread = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = bridge.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
+    joined = salted.join(spread, [code_col, "_salt"], "left")
     return joined.groupBy(id_col).agg(*[
         F.bool_or(F.col(f"is_{n}_pay_code")).alias(f"has_{n}_pay_code") for n in flags])

@@ -5,9 +5,9 @@ Columns) and SQL templates over those metrics for the pass rule, the actual
 value text and the message (``{name}`` stands for metric ``name``).
 ``dq_report`` groups checks by the frame they read and compiles each group
 into **one** aggregate: a table with twenty row-level checks is scanned once,
-not twenty times.  Uniqueness, reference and reconciliation checks read a
-derived frame (grouped keys, joined key sets, one-row counts) and form their
-own group.  The report is a lazy DataFrame with the 11-field record schema;
+not twenty times.  All uniqueness checks of a table are one pass by grouping sets;
+reference and reconciliation checks read a derived frame (joined key sets, one-row
+counts) and form their own group.  The report is a lazy DataFrame with the 11-field record schema;
 ``dq_gate`` reduces it to one verdict row and ``enforce_gate`` raises on FAIL.
 
 Schema and availability checks inspect metadata only (``df.schema``,
@@ -66,6 +66,7 @@ class Check:
     layer: str = "silver"
     frame_key: str | None = None          # defaults to table_name
     frame: Callable[[Frames], DataFrame] | None = field(default=None, repr=False)
+    unique: tuple[str, ...] | None = None  # the keys, of a uniqueness check
 
 
 def _status_default(severity: str) -> str:
@@ -92,30 +93,36 @@ def check_complete(cid, table, col, severity="CRITICAL", fail_status=None, layer
 
 def check_unique(cid, table, keys: Sequence[str], severity="CRITICAL", fail_status="FAIL",
                  layer="silver", require_non_null=False, nulls_fail=False, name=None) -> Check:
-    """Keys appearing more than once (one grouped pass per key list).  With
-    ``nulls_fail`` rows whose key has a null part fail the check too."""
-    keys = list(keys)
-
-    def frame(frames: Frames) -> DataFrame:
-        df = frames[table]
-        if require_non_null:
-            for k in keys:
-                df = df.filter(F.col(k).isNotNull())
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-
+    """Keys appearing more than once.  All uniqueness checks of a table are one
+    grouped pass (``_unique_frame``).  With ``nulls_fail`` rows whose key has a null
+    part fail the check too; with ``require_non_null`` they are left out."""
+    keys = tuple(keys)
     any_null = " OR ".join(f"{_ident(k)} IS NULL" for k in keys)
+    # _set is bound to the number of the check's grouping set when the report is compiled
+    mine = "_gid = {_set}" + (f" AND NOT ({any_null})" if require_non_null else "")
     rule = "{dup_groups} = 0" + (" AND {null_rows} = 0" if nulls_fail else "")
     return Check(cid, name or f"{', '.join(keys)} uniqueness", table, "uniqueness", severity,
-                 {"dup_groups": cnt("_n > 1"),
-                  "extra_rows": "coalesce(sum(CASE WHEN _n > 1 THEN _n - 1 END), 0)",
-                  "null_rows": f"coalesce(sum(CASE WHEN {any_null} THEN _n END), 0)"},
+                 {"dup_groups": cnt(f"{mine} AND _n > 1"),
+                  "extra_rows": f"coalesce(sum(CASE WHEN {mine} AND _n > 1 THEN _n - 1 END), 0)",
+                  "null_rows": f"coalesce(sum(CASE WHEN {mine} AND ({any_null}) THEN _n END), 0)"},
                  rule, concat("duplicate_groups=", txt("dup_groups"), ", null_keys=", txt("null_rows")),
                  "duplicate_groups=0" + (", null_keys=0" if nulls_fail else ""),
                  concat(txt("dup_groups"), " duplicate key groups (", txt("extra_rows"),
                         f" extra rows) on {', '.join(keys)}; ", txt("null_rows"),
                         " rows with a null key."),
-                 fail_status, layer,
-                 frame_key=f"{table}|unique|{','.join(keys)}|{require_non_null}", frame=frame)
+                 fail_status, layer, frame_key=f"{table}|unique", unique=keys)
+
+
+def _unique_frame(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> tuple[DataFrame, dict[tuple[str, ...], int]]:
+    """Rows per key of every key list of ``sets`` in one shuffle, by grouping sets,
+    and the grouping id of each list."""
+    sets = list(dict.fromkeys(sets))
+    cols = list(dict.fromkeys(k for keys in sets for k in keys))
+    ids = {keys: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys) for keys in sets}
+    if len(sets) == 1:
+        return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"), F.lit(0).alias("_gid")), ids
+    made = df.groupingSets([[F.col(c) for c in keys] for keys in sets], *[F.col(c) for c in cols])
+    return made.agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")), ids
 
 
 def check_predicate(cid, table, name, violations: Mapping[str, str], severity="CRITICAL",
@@ -368,12 +375,17 @@ def dq_report(spark: SparkSession, frames: Frames, checks: Sequence[Check],
         groups.setdefault(chk.frame_key or chk.table_name, []).append((i, chk))
     parts = []
     for members in groups.values():
-        first = members[0][1]
-        base = first.frame(frames) if first.frame is not None else frames[first.table_name]
+        first, sets = members[0][1], {}
+        if first.unique is not None:
+            base, sets = _unique_frame(frames[first.table_name], [chk.unique for _, chk in members])
+        else:
+            base = first.frame(frames) if first.frame is not None else frames[first.table_name]
         aggs, records = [], []
         for i, chk in members:
             names = {k: f"m{i}_{k}" for k in chk.metrics}
             for k, m in chk.metrics.items():
+                if chk.unique is not None:
+                    m = m.replace("{_set}", str(sets[chk.unique]))
                 aggs.append((F.expr(m) if isinstance(m, str) else m).alias(names[k]))
             status = (f"CASE WHEN coalesce({_bind(chk.passed, names)}, FALSE) THEN 'PASS' "
                       f"ELSE {q(chk.fail_status)} END")

@@ -76,20 +76,25 @@ def attendance_daily(ts: DataFrame, emp: DataFrame) -> DataFrame:
     punches.  ``max(coalesce(master, punch))`` per day equals
     ``coalesce(master, max(punch))`` because the master value is constant per id."""
     one = F.lit(1)
-    daily = (ts.filter(F.col("actual_duration_hours").isNotNull())
-             .groupBy(F.col(EMP), F.col("punch_apply_date").alias("work_date")).agg(
-        F.max("department_name").alias("_t_dept_name"),
-        F.max("department_id").alias("_t_dept_id"),
+    sums = {"total_working_hours": F.col("actual_duration_hours"), "total_scheduled_hours": F.col("scheduled_duration_hours"),
+            "late_arrival_count": F.when(F.col("is_late_arrival"), one).otherwise(0),
+            "total_late_minutes": F.col("late_arrival_minutes"),
+            "early_departure_count": F.when(F.col("is_early_departure"), one).otherwise(0),
+            "total_early_departure_minutes": F.col("early_departure_minutes"),
+            "overtime_count": F.when(F.col("is_overtime"), one).otherwise(0),
+            "total_overtime_hours": F.col("overtime_hours")}
+    # The punches are added up with the department among the keys, where the
+    # aggregate is a hash table of numbers; the greatest department is then taken
+    # of an employee's few rows a day.
+    parts = (ts.filter(F.col("actual_duration_hours").isNotNull())
+             .groupBy(F.col(EMP), F.col("punch_apply_date").alias("work_date"),
+                      F.col("department_name").alias("_dept_name"), F.col("department_id").alias("_dept_id")).agg(
         F.max("employee_master_match").alias("has_employee_master"),
-        F.sum("actual_duration_hours").alias("total_working_hours"),
-        F.sum("scheduled_duration_hours").alias("total_scheduled_hours"),
-        F.sum(F.when(F.col("is_late_arrival"), one).otherwise(0)).alias("late_arrival_count"),
-        F.sum("late_arrival_minutes").alias("total_late_minutes"),
-        F.sum(F.when(F.col("is_early_departure"), one).otherwise(0)).alias("early_departure_count"),
-        F.sum("early_departure_minutes").alias("total_early_departure_minutes"),
-        F.sum(F.when(F.col("is_overtime"), one).otherwise(0)).alias("overtime_count"),
-        F.sum("overtime_hours").alias("total_overtime_hours"),
-        F.count(F.lit(1)).alias("timesheet_record_count")))
+        *[F.sum(v).alias(k) for k, v in sums.items()], F.count(one).alias("timesheet_record_count")))
+    daily = parts.groupBy(EMP, "work_date").agg(
+        F.max("_dept_name").alias("_t_dept_name"), F.max("_dept_id").alias("_t_dept_id"),
+        F.max("has_employee_master").alias("has_employee_master"),
+        *[F.sum(k).alias(k) for k in sums], F.sum("timesheet_record_count").alias("timesheet_record_count"))
     dim = emp.groupBy(F.col(EMP).alias("_e_id")).agg(
         F.max("full_name").alias("employee_name"), F.max("job_title").alias("job_title"),
         F.max("employment_status").alias("employment_status"),

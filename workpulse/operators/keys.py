@@ -75,13 +75,19 @@ def duplicate_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def duplicate_conflicts(df: DataFrame, keys: Sequence[str], payload: Sequence[str],
                         require_complete_key: bool = True) -> DataFrame:
-    """Keys whose copies disagree on a payload column (``<col>_variants`` > 1)."""
+    """Keys whose copies disagree on a payload column (``<col>_variants`` > 1).
+
+    Minima and maxima find those keys in one aggregate of the whole table; only
+    their rows, by a semi join, are counted by distinct values (a count of several
+    distinct columns multiplies the rows it reads)."""
     src = df
     if require_complete_key:
         for k in keys:
             src = src.filter(F.col(k).isNotNull())
-    g = src.groupBy(*keys).agg(*[F.countDistinct(p).alias(f"{p}_variants") for p in payload])
-    cond = F.lit(False)
+    differ = F.lit(False)
     for p in payload:
-        cond = cond | (F.col(f"{p}_variants") > 1)
-    return g.filter(cond)
+        differ = differ | F.coalesce(F.min(p) != F.max(p), F.lit(False))
+    odd = src.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(differ.alias("_differ")).where("_differ")
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return src.select(*keys, *payload).join(odd, on, "left_semi").groupBy(*keys).agg(
+        *[F.countDistinct(p).alias(f"{p}_variants") for p in payload])

@@ -72,25 +72,27 @@ def date_spine(bounds: DataFrame, start: str = "start_date", end: str = "end_dat
                                               F.expr("INTERVAL 1 DAY"))).alias(out))
 
 
-def _spine_for(emp: DataFrame, hire: str, end_col) -> DataFrame:
-    bounds = emp.agg(F.min(hire).alias("start_date"), F.max(end_col).alias("end_date"))
+def _spine_for(emp: DataFrame, hire: str, end_col, until=None) -> DataFrame:
+    last = F.max(end_col) if until is None else F.least(F.max(end_col), _date(until))
+    bounds = emp.agg(F.min(hire).alias("start_date"), last.alias("end_date")).where("start_date <= end_date")
     return date_spine(bounds.filter(F.col("start_date").isNotNull()))
 
 
 def daily_headcount(emp: DataFrame, as_of=None, hire: str = "hire_date", term: str = "term_date",
-                    fill_zero: bool = False) -> DataFrame:
+                    fill_zero: bool = False, until=None) -> DataFrame:
     """Active employees per day between the first hire and the last tenure end
     (``tenure_end_date`` if present, else ``coalesce(term, as_of)``).
 
     Active on d: ``hire <= d`` and (``term`` is null or ``d <= term``).  Days
-    with nobody active are dropped unless ``fill_zero``."""
+    with nobody active are dropped unless ``fill_zero``.  ``until`` is the last day
+    at the latest, for masters that write "never" as a date of the year 9999."""
     if "tenure_end_date" in emp.columns:
         end_col = F.col("tenure_end_date")
     elif as_of is not None:
         end_col = F.coalesce(F.col(term), _date(as_of))
     else:
         raise ValueError("need tenure_end_date or as_of")
-    spine = _spine_for(emp, hire, end_col)
+    spine = _spine_for(emp, hire, end_col, until)
 
     valid = emp.filter(F.col(hire).isNotNull() &
                        (F.col(term).isNull() | (F.col(term) >= F.col(hire))))

@@ -1,9 +1,8 @@
 """KPI report queries, written with the DataFrame API.
 
 Inputs are the silver ``employee`` and ``timesheet`` frames and the gold
-``working_hours`` / ``rolling_hours`` frames.  Employee attributes are joined
-to the punch fact through ``broadcast_if_small`` (a row-count-checked
-broadcast, shuffle join above the bound).  Top-k lists use ``orderBy().limit()``
+``working_hours`` / ``rolling_hours`` frames.  The punch fact is aggregated before
+employee attributes are joined to it; no join carries a hint.  Top-k lists use ``orderBy().limit()``
 (per-partition top-k then a merge, no global sort) and always end the sort key
 with the employee id so ties resolve the same way every run.
 """

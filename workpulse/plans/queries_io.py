@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from workpulse.operators import changes, hours
@@ -9,7 +11,7 @@ from workpulse.plans import bindings as B
 from workpulse.plans.queries_kpi import WH_SQL
 from workpulse.plans.queries_silver import REASON_SQL
 from workpulse.plans.registry import register
-from workpulse.sources import io
+from workpulse.sources import io, versions
 
 RAW_DATA_COLS = ["client_employee_id", "department_id", "department_name", "pay_code",
                  "hours_worked", "punch_apply_date", "punch_in_datetime", "punch_out_datetime",
@@ -94,6 +96,37 @@ def lookup_page(spark, sf):
                                    "punch_apply_date", "2024-01-08", "2024-01-21"))
 
 
+_PAGE = ["punch_apply_date", "timesheet_id"]
+
+
+@register("lookup_page_after", """
+SELECT client_employee_id, punch_apply_date, timesheet_id, hours_worked FROM t_silver
+WHERE punch_apply_date <= DATE '2024-01-21'
+  AND (punch_apply_date, timesheet_id) > (DATE '2024-01-10', '8000')
+ORDER BY punch_apply_date, timesheet_id LIMIT 500""", doubles=("hours_worked",))
+def lookup_page_after(spark, sf):
+    """RD2: the page after a key, of a table written in ranges of (date, id): a filter
+    that skips files and row groups, no offset."""
+    root = io.scratch_path(spark, "clustered")
+    ts = B.timesheet(spark, sf).select("client_employee_id", *_PAGE, "hours_worked")
+    versions.publish_version(ts, root, "serving", "timesheet", cluster_by=_PAGE)
+    return changes.lookup_after(io.load(spark, root, "serving", "timesheet"), _PAGE, ["2024-01-10", "8000"],
+                                limit=500, filters=changes.date_window_filters("punch_apply_date", end="2024-01-21"))
+
+
+@register("lookup_many_bucketed", """
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey IN
+  (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
+def lookup_many_bucketed(spark, sf):
+    """RD1: batch lookup in a table bucketed by the key: only the asked keys are shuffled."""
+    schema = f"wp_{uuid.uuid4().hex[:8]}_serving"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{io.scratch_path(spark, 'bucketed')}'")
+    io.publish(B.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), None, schema, "customer",
+               bucket_by=(8, ["c_custkey"]))
+    asked = B.table(spark, sf, "orders").where("o_orderstatus = 'F'")
+    return changes.lookup_many(io.load(spark, None, schema, "customer"), "c_custkey", asked, "o_custkey")
+
+
 # ----------------------------------------------------------------------------- change sets
 
 CHANGES_SQL = """
@@ -193,6 +226,26 @@ def changes_rejected(spark, sf):
     return rej.withColumn("set_fields", F.array_join("set_fields", ","))
 
 
+@register("merge_written_once", "WITH " + CHANGES_SQL.strip() + """,
+verdicts AS (
+  SELECT c_custkey, op, CASE WHEN count(*) OVER (PARTITION BY c_custkey) > 1 THEN 'duplicate_change'
+    WHEN op = 'I' AND c_custkey IN (SELECT c_custkey FROM base) THEN 'key_exists'
+    WHEN op <> 'I' AND c_custkey NOT IN (SELECT c_custkey FROM base) THEN 'key_not_found' END AS why FROM ch)
+SELECT 'row' AS merge_side, c_custkey, '' AS reject_reason FROM base
+  WHERE c_custkey NOT IN (SELECT c_custkey FROM verdicts WHERE op = 'D' AND why IS NULL)
+UNION ALL SELECT 'row', c_custkey, '' FROM verdicts WHERE op = 'I' AND why IS NULL
+UNION ALL SELECT 'reject', c_custkey, why FROM verdicts WHERE why IS NOT NULL""")
+def merge_written_once(spark, sf):
+    """WR1-3: the merged frame written once, its sides read back as partitions."""
+    base, ch = _changes(spark, sf)
+    root = io.scratch_path(spark, "merged")
+    versions.publish_version(changes.merge_changes(base, ch, "c_custkey"), root, "silver", "customer",
+                             partition_by=["merge_side"])
+    both = io.load(spark, root, "silver", "customer")
+    return both.where("merge_side = 'row'").union(both.where("merge_side = 'reject'")).select(
+        "merge_side", "c_custkey", F.coalesce("reject_reason", F.lit("")).alias("reject_reason"))
+
+
 @register("stream_bronze_ingest", f"""
 SELECT {', '.join(RAW_DATA_COLS)} FROM b_raw
 WHERE ({REASON_SQL}) IS NULL""")

@@ -87,11 +87,16 @@ def frame_from_records(spark: SparkSession, records: Iterable, schema) -> DataFr
 
 def publish(df: DataFrame, root: str | None, layer: str, name: str, fmt: str = "parquet",
             mode: str = "overwrite", partition_by: Sequence[str] | None = None,
-            max_records_per_file: int | None = None) -> str:
+            max_records_per_file: int | None = None, bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
     """Overwrite a layer table.  With ``root`` the table is a directory
     ``root/layer/name``; with ``root=None`` it is a managed table ``layer.name``
-    (schema created if missing, schema replaced on overwrite)."""
+    (schema created if missing, schema replaced on overwrite).  ``bucket_by`` (number,
+    keys) clusters a managed table: lookups and joins by the keys do not shuffle it."""
     w = df.write.mode(mode).format(fmt)
+    if bucket_by:
+        if root is not None:
+            raise ValueError("bucketing needs a managed table (root=None)")
+        w = w.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_records_per_file:

@@ -59,8 +59,13 @@ def observed(df: DataFrame, metrics: Mapping[str, Column] | None = None) -> tupl
 
 def publish_version(df: DataFrame, root: str, layer: str, name: str, fmt: str = "parquet",
                     partition_by: Sequence[str] | None = None,
-                    metrics: Mapping[str, Column] | None = None) -> dict:
-    """Write ``df`` as the next version of ``root/layer/name``; returns its manifest."""
+                    metrics: Mapping[str, Column] | None = None,
+                    cluster_by: Sequence[str] | None = None) -> dict:
+    """Write ``df`` as the next version of ``root/layer/name``; returns its manifest.
+    ``cluster_by`` writes ranges of these columns, sorted, so that a reader's filter
+    on them skips files and row groups by their statistics."""
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     spark, base = df.sparkSession, table_path(root, layer, name)
     number = 1 + max((int(m.split("-")[0]) for m in manifests(spark, root, layer, name)), default=0)
     folder = f"v{number:06d}-{uuid.uuid4().hex[:12]}"
