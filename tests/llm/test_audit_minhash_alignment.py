@@ -193,7 +193,8 @@ def align_by_hand(pairs, a, b):
     out = []
     for _, text, _ in pairs:
         true = b" " + (text or "").encode()
-        ia, ib = (x.encode([text])[0] if text else [] for x in (a, b))
+        ia = a.made.encode(" " + text, add_special_tokens=False).ids if text else []
+        ib = b.made.encode(text) if text else []
         if not text or b"".join(ta[i] for i in ia) != true or b"".join(tb[i] for i in ib) != true:
             out.append((0, 0, 0, Counter(), ""))
             continue
@@ -248,5 +249,28 @@ def test_alignment_long_text_and_empty_table(docs, empty):
 
 def test_special_tokens_are_text():
     a = alignment.tokenizer(PATHS[0])
-    assert 50256 not in a.encode(["<|endoftext|>"])[0]
-    assert alignment.spelled(alignment.id_lists(a, ["<|endoftext|> é\n"]), a.tokens) == [" <|endoftext|> é\n".encode()]
+    ids = alignment.Encoder(a).encode(["<|endoftext|> é\n"])[0]
+    assert 50256 not in ids.to_pylist()[0]
+    assert alignment.spelled(ids, a.tokens).to_pylist() == [" <|endoftext|> é\n".encode()]
+
+
+def test_parts_encode_like_whole_texts():
+    """Cutting texts into parts changes no id: whole documents, and random strings of
+    spaces, other white space, marks, digits, letters of several scripts and signs."""
+    rng = random.Random(12)
+    signs = [" ", " ", " ", "  ", "\n", "\t", "\r", "\u00a0", "\u2003", "\u3000", "\u200b", "\u0085", "\x1c", "a", "the", "X",
+             "é", "e\u0301", "\u0301", "ß", "漢", "字", "ا", "ी", "1", "42", "_", "-", "'s", "'", ".", "<0x41>", "▁", "ﬁ", "①",
+             "🙂", "👩\u200d💻", "\ufeff", "\0", "<|endoftext|>", "<s>"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 30))) for _ in range(4000)]
+    texts += [t for _, t, _ in PAIRS if t]
+    a, b = map(alignment.tokenizer, PATHS)
+    both = alignment.Encoder(a, b)
+    for kept in (1 << 19, 500):  # parts known from before, and a table that overflows
+        alignment.PARTS_KEPT = kept
+        for at in range(0, len(texts), 700):
+            some = texts[at:at + 700]
+            got_a, got_b = (x.to_pylist() for x in both.encode(some))
+            for text, x, y in zip(some, got_a, got_b):
+                assert x == a.made.encode(" " + text, add_special_tokens=False).ids, repr(text)
+                assert y == b.made.encode(text), repr(text)
+    alignment.PARTS_KEPT = 1 << 19

@@ -25,9 +25,13 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -37,6 +41,8 @@ from pyspark.sql import functions as F
 from workpulse.llm.scratch import stored
 
 BYTES_AT_ONCE = 1 << 20
+#: Distinct parts of texts whose ids a worker keeps, and up to which length.
+PARTS_KEPT, LONG_PART = 1 << 19, 1 << 16
 #: Most pairs that are broadcast, with their counts.
 HOT = 1 << 19
 ROWS_AT_ONCE = 1 << 21
@@ -51,7 +57,7 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level BPE file of the tokenizers library; texts get a space before."""
+    """A byte-level BPE file of the tokenizers library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has its core
@@ -65,12 +71,13 @@ class ByteLevel:
             tokens[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
         self.tokens = pa.array(tokens, pa.binary())
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.made.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+    def ids(self, spaced: list[str]) -> list[list[int]]:
+        """The ids of texts that begin with a space."""
+        return [x.ids for x in self.made.encode_batch_fast(spaced, add_special_tokens=False)]
 
 
 class Pieces:
-    """A sentencepiece model, which puts the space itself."""
+    """A sentencepiece model, which puts the space by itself."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -79,8 +86,8 @@ class Pieces:
         self.tokens = pa.array([bytes([int(p[3:5], 16)]) if self.made.is_byte(i) else
                                 p.replace("▁", " ").encode() for i, p in enumerate(pieces)], pa.binary())
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.made.encode(texts, num_threads=1)
+    def ids(self, spaced: list[str]) -> list[list[int]]:
+        return self.made.encode([p[1:] for p in spaced], num_threads=1)
 
 
 @lru_cache(maxsize=4)
@@ -88,8 +95,74 @@ def tokenizer(path: str) -> ByteLevel | Pieces:
     return Pieces(path) if path.endswith(".model") else ByteLevel(path)
 
 
-def id_lists(made: ByteLevel | Pieces, texts: list[str]) -> pa.ListArray:
-    return pa.array(made.encode(texts), pa.list_(pa.int32()))
+class Encoder:
+    """Encodes texts with several tokenizers by parts that cannot share a token,
+    each distinct part once.
+
+    A text with a space before it is cut before every single space that a word
+    character follows and neither a space nor U+2581 precedes.  Byte-level
+    pre-tokenizing always begins a piece at such a space, and no piece of the
+    sentencepiece model goes on over one (tests compare with whole texts)."""
+
+    cut = re.compile(r"(?<=[^ ▁])(?= \w)").split
+
+    def __init__(self, *tokenizers: ByteLevel | Pieces):
+        self.tokenizers = tokenizers
+        self.size = [pc.binary_length(t.tokens).to_numpy() for t in tokenizers]
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.table = [pa.array([], pa.list_(pa.int32())) for _ in self.tokenizers]
+
+    def learn(self, parts: list[str]) -> None:
+        """Add parts to the tables.  They are encoded as one text, which has the same
+        cuts; where its tokens do not end at them, one by one."""
+        joined = "".join(parts)
+        stops = np.cumsum([len(p.encode()) for p in parts])
+        safe = joined.isascii() or "▁" not in joined
+        safe = safe and all(p[-1] != " " and p[:1] == " " and (p[1:2].isalnum() or p[1:2] == "_") for p in parts)
+        for k, (made, size) in enumerate(zip(self.tokenizers, self.size)):
+            ids = np.array(made.ids([joined])[0], np.int32) if safe else np.zeros(0, np.int32)
+            end = np.cumsum(size[ids])
+            at = np.searchsorted(end, stops)
+            if len(end) and end[-1] == stops[-1] and (end[at] == stops).all():
+                offsets = np.r_[0, at + 1]
+            else:
+                lists = made.ids(parts)
+                offsets = np.cumsum([0, *map(len, lists)])
+                ids = np.fromiter(chain.from_iterable(lists), np.int32, offsets[-1])
+            new = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+            self.table[k] = pa.concat_arrays([self.table[k], new])
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts))))
+
+    def encode(self, texts: list[str]) -> list[pa.ListArray]:
+        """The ids of a space and each text, by tokenizer."""
+        cut = [self.cut(f" {t}") for t in texts]
+        every = set().union(*cut)
+        fresh = every - self.known.keys()
+        if len(self.known) + len(fresh) > PARTS_KEPT:
+            self.clear()
+            fresh = every
+        # Parts that end with a space are the last of their texts.
+        odd = [p for p in fresh if p[-1] == " " or not p[1:2].isalnum()]
+        for some in (list(fresh.difference(odd)), odd):
+            if some:
+                self.learn(some)
+        rows = pa.array(np.fromiter(chain.from_iterable(map(self.known.__getitem__, c) for c in cut), np.int32))
+        stops = pa.array(np.cumsum([0, *map(len, cut)]), pa.int32())
+        out = []
+        for table in self.table:
+            parts = pc.take(table, rows)
+            out.append(pa.ListArray.from_arrays(pc.take(parts.offsets, stops), pc.list_flatten(parts)))
+        if any(len(p) > LONG_PART for p in fresh):
+            self.clear()
+        return out
+
+
+@lru_cache(maxsize=4)
+def encoder(*paths: str) -> Encoder:
+    return Encoder(*map(tokenizer, paths))
 
 
 def ends(ids: pa.ListArray, tokens: pa.BinaryArray) -> pa.Table:
@@ -102,10 +175,9 @@ def ends(ids: pa.ListArray, tokens: pa.BinaryArray) -> pa.Table:
     return pa.table({"doc": doc, "id": flat, "end": pc.subtract(running, pc.take(first, doc))})
 
 
-def spelled(ids: pa.ListArray, tokens: pa.BinaryArray) -> list[bytes]:
+def spelled(ids: pa.ListArray, tokens: pa.BinaryArray) -> pa.BinaryArray:
     """The joined token bytes of each list."""
-    joined = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, pc.take(tokens, pc.list_flatten(ids))), b"")
-    return joined.to_pylist()
+    return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, pc.take(tokens, pc.list_flatten(ids))), b"")
 
 
 def _lists(parents: pa.Array, values: pa.Array, n: int) -> pa.ListArray:
@@ -115,7 +187,7 @@ def _lists(parents: pa.Array, values: pa.Array, n: int) -> pa.ListArray:
 
 def _offsets(parents: pa.Array, n: int) -> pa.Array:
     sized = pa.table({"p": parents}).group_by("p").aggregate([([], "count_all")])
-    at = pc.index_in(pa.array(range(n), parents.type), value_set=sized["p"].combine_chunks())
+    at = pc.index_in(pa.array(np.arange(n), parents.type), value_set=sized["p"].combine_chunks())
     sizes = pc.fill_null(pc.take(sized["count_all"].combine_chunks(), at), 0)
     return pc.cast(pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(sizes)]), pa.int32())
 
@@ -124,20 +196,20 @@ def _one(column: pa.ChunkedArray | pa.Array) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def aligned_texts(a: ByteLevel | Pieces, b: ByteLevel | Pieces, texts: list[str | None]) -> pa.Table:
+def aligned_texts(both: Encoder, texts: list[str | None]) -> pa.Table:
     """For each text: n_a, n_b, n_groups, n_links, groups_sha256, and its id pairs
     (a * |B| + b) with how often each is linked."""
+    a, b = both.tokenizers
     some = [i for i, t in enumerate(texts) if t]
-    ids_a, ids_b = (id_lists(x, [texts[i] for i in some]) for x in (a, b))
-    true = [b" " + texts[i].encode() for i in some]
-    good = pa.array([x == y == t for x, y, t in zip(spelled(ids_a, a.tokens), spelled(ids_b, b.tokens), true)],
-                    pa.bool_())
+    ids_a, ids_b = both.encode([texts[i] for i in some])
+    true = pa.array([b" " + texts[i].encode() for i in some], pa.binary())
+    good = pc.and_(pc.equal(spelled(ids_a, a.tokens), true), pc.equal(spelled(ids_b, b.tokens), true))
     ids_a, ids_b = ids_a.filter(good), ids_b.filter(good)
     rows = [i for i, ok in zip(some, good.to_pylist()) if ok]
     m = len(rows)
     left, right = ends(ids_a, a.tokens), ends(ids_b, b.tokens)
-    left = left.append_column("at", pa.array(range(len(left)), pa.int32()))
-    right = right.append_column("bt", pa.array(range(len(right)), pa.int32())).rename_columns(
+    left = left.append_column("at", pa.array(np.arange(len(left), dtype=np.int32)))
+    right = right.append_column("bt", pa.array(np.arange(len(right), dtype=np.int32))).rename_columns(
         {"id": "id_b"})
     met = left.join(right, ["doc", "end"], join_type="full outer", use_threads=False)
     met = met.sort_by([("doc", "ascending"), ("end", "ascending")])
@@ -173,7 +245,7 @@ def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = tokenizer(path_a), tokenizer(path_b)
+        both = encoder(path_a, path_b)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts, at = batch.column("text").to_pylist(), 0
@@ -182,9 +254,9 @@ def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 while end < len(texts) and (end == at or held + len(texts[end] or "") < BYTES_AT_ONCE):
                     held += len(texts[end] or "")
                     end += 1
-                made = aligned_texts(a, b, texts[at:end])
+                made = aligned_texts(both, texts[at:end])
                 made = made.add_column(0, "doc_id", batch.column("doc_id").slice(at, end - at)).add_column(
-                    0, "row", pa.array(range(row, row + end - at), pa.int64()))
+                    0, "row", pa.array(np.arange(row, row + end - at, dtype=np.int64)))
                 yield from made.combine_chunks().to_batches()
                 row, at = row + end - at, end
 
@@ -246,7 +318,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, hot: int = HOT) -> DataFr
             much = pc.fill_null(pc.take(_one(known.value["docs"]), at), 0)
             sums = pa.table({"p": parent, "n_best": pc.multiply(times, best), "count_sum": pc.multiply(times, much)}
                             ).group_by("p").aggregate([("n_best", "sum"), ("count_sum", "sum")])
-            of = pc.index_in(pa.array(range(batch.num_rows), parent.type), value_set=_one(sums["p"]))
+            of = pc.index_in(pa.array(np.arange(batch.num_rows), parent.type), value_set=_one(sums["p"]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("row", "doc_id", *kept)]
                 + [pc.fill_null(pc.take(_one(sums[c]), of), 0) for c in ("n_best_sum", "count_sum_sum")],
