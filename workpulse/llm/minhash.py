@@ -50,7 +50,9 @@ COORDS = 64
 MATCHES = 36
 BYTES_AT_ONCE = 1 << 20
 #: A block of a posting list: so many classes, and shingles in all, on average.
-BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 20
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
+#: Most classes whose place in the documents is broadcast (about 50 bytes each).
+SENT_ROWS = 1 << 20
 #: A key with over 1/4096 of all rows is joined by broadcast: at most 4096 keys
 #: for each time a row is posted.
 HOT_SHARE = 4096
@@ -147,48 +149,44 @@ def looked_up(rows: DataFrame, facts: DataFrame, key: str, often: Column, how: s
 
 
 def postings(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """(token, coord, cls, n, mask, js, vs): each class under its prefix; ``mask``
-    has the prefix's coordinates as bits, ``js`` and ``vs`` are all coordinates and
-    values that another class holds too."""
-    tokens = classes.select("cls", "n", F.posexplode("sig").alias("j", "v")).withColumn(
-        "token", F.shiftleft(F.col("j").cast("long"), 32).bitwiseOR(
-            F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+    """(token, id, n, mask, toks): each class under its prefix.  A token has the
+    coordinate in its upper half and the value in its lower; ``mask`` has the prefix's
+    coordinates as bits, ``toks`` are all tokens that another class holds too."""
+    tokens = classes.select("id", F.posexplode("sig").alias("j", "v")).select(
+        "id", F.shiftleft(F.col("j").cast("long"), 32).bitwiseOR(
+            F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token"))
     held = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "held")
     many = classes.count() / HOT_SHARE
-    shared = looked_up(tokens, held, "token", F.col("held") > many).groupBy("cls", "n").agg(
-        F.sort_array(F.collect_list(F.struct("held", "j", "v"))).alias("t")).where(F.size("t") >= matches)
-    prefix = shared.withColumn("prefix", F.slice("t", F.lit(1), F.size("t") - (matches - 1)))
+    shared = looked_up(tokens, held, "token", F.col("held") > many).groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("held", "token"))).alias("t")).where(F.size("t") >= matches)
+    sized = shared.join(classes.select(F.col("id").alias("c_id"), "n"), F.col("id") == F.col("c_id"))
+    prefix = sized.select("id", "n", F.col("t.token").alias("toks")).withColumn(
+        "prefix", F.slice("toks", F.lit(1), F.size("toks") - (matches - 1)))
     bits = F.aggregate("prefix", F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), x["j"])))
-    prefix = prefix.select("cls", "n", bits.alias("mask"), F.col("t.j").alias("js"), F.col("t.v").alias("vs"),
-                           F.explode("prefix").alias("x"))
-    return prefix.select(
-        F.shiftleft(F.col("x.j").cast("long"), 32).bitwiseOR(
-            F.col("x.v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token"),
-        F.col("x.j").alias("coord"), "cls", "n", "mask", "js", "vs")
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 32).cast("int"))))
+    return prefix.select(F.explode("prefix").alias("token"), "id", "n", bits.alias("mask"), "toks")
 
 
 GROUP = ["token", "g1", "g2"]
-MEMBER = ["coord", "side", "comp", "cls", "n", "mask", "js", "vs"]
-MEMBERS = ("token long, g1 string, g2 string, coord int, side boolean, comp binary, cls binary, n long, "
-           "mask long, js array<int>, vs array<int>")
+MEMBER = ["side", "comp", "id", "n", "mask", "toks"]
+MEMBERS = ("token long, g1 string, g2 string, side boolean, comp long, id long, n long, mask long, "
+           "toks array<long>")
 
 
-def matched_pairs(rows: dict, limit: int, matches: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def matched_pairs(coord: int, rows: dict, limit: int, matches: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (i, j) of a group that it owns and whose counts reach ``matches``,
     most matches first.  Members of one side of a group of two blocks do not meet."""
-    m = len(rows["cls"])
-    lens = np.array([len(x) for x in rows["js"]])
-    who, js = np.repeat(np.arange(m), lens), np.concatenate(rows["js"])
+    m = len(rows["id"])
+    who = np.repeat(np.arange(m), [len(x) for x in rows["toks"]])
+    toks = np.concatenate(rows["toks"])
     value = np.zeros((m, COORDS), np.uint32)
     there = np.zeros((m, COORDS), bool)
-    value[who, js] = np.concatenate(rows["vs"]).view(np.uint32)
-    there[who, js] = True
+    value[who, toks >> 32] = toks.astype(np.uint32)
+    there[who, toks >> 32] = True
     mask = np.array(rows["mask"], np.int64).view(np.uint64)
     first = mask[:, None] >> np.arange(COORDS, dtype=np.uint64) & np.uint64(1) > 0
     n, side = np.array(rows["n"]), np.array(rows["side"])
-    comp = np.unique(np.array(rows["comp"], object), return_inverse=True)[1]
-    coord, two = rows["coord"][0], side.any()
+    comp, two = np.array(rows["comp"]), side.any()
     found = []
     for a in range(0, m, 64):
         i = np.arange(a, min(a + 64, m))
@@ -220,7 +218,7 @@ def in_groups(work: Callable[[tuple, dict], pa.RecordBatch | None], columns: lis
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, {}
         for batch in batches:
-            cols = {c: (list(_arrays(batch.column(c))) if c in ("js", "vs") else batch.column(c).to_pylist())
+            cols = {c: (list(_arrays(batch.column(c))) if c == "toks" else batch.column(c).to_pylist())
                     for c in columns}
             keys = list(zip(*(batch.column(c).to_pylist() for c in GROUP)))
             at = 0
@@ -229,13 +227,13 @@ def in_groups(work: Callable[[tuple, dict], pa.RecordBatch | None], columns: lis
                 while end < len(keys) and keys[end] == keys[at]:
                     end += 1
                 if keys[at] != now:
-                    if now and len(rows["cls"]) > 1 and (out := work(now, rows)) is not None:
+                    if now and len(rows["id"]) > 1 and (out := work(now, rows)) is not None:
                         yield out
                     now, rows = keys[at], {c: [] for c in columns}
                 for c in columns:
                     rows[c] += cols[c][at:end]
                 at = end
-        if now and len(rows["cls"]) > 1 and (out := work(now, rows)) is not None:
+        if now and len(rows["id"]) > 1 and (out := work(now, rows)) is not None:
             yield out
     return run
 
@@ -255,13 +253,12 @@ def candidates(dealt: DataFrame, limit: int, matches: int) -> DataFrame:
     names = [*GROUP, *MEMBER]
 
     def work(group: tuple, rows: dict) -> pa.RecordBatch | None:
-        p, q, _ = matched_pairs(rows, limit, matches)
+        p, q, _ = matched_pairs(group[0] >> 32, rows, limit, matches)
         if not len(p):
             return None
         keep = np.unique(np.r_[p, q])
         cols = [[x] * len(keep) for x in group] + [[rows[c][i] for i in keep] for c in MEMBER]
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.int64(),
-                 pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), *[pa.int64()] * 4, pa.list_(pa.int64())]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     return _by_group(dealt.select(*names)).mapInArrow(in_groups(work, MEMBER), MEMBERS)
@@ -271,8 +268,8 @@ def verified(chosen: DataFrame, sets: DataFrame, limit: int, matches: int) -> Da
     """Links (u, v) that connect what exact similarity connects in each group."""
     columns = [*MEMBER, "shingles"]
 
-    def work(_: tuple, rows: dict) -> pa.RecordBatch | None:
-        p, q, _ = matched_pairs(rows, limit, matches)
+    def work(group: tuple, rows: dict) -> pa.RecordBatch | None:
+        p, q, _ = matched_pairs(group[0] >> 32, rows, limit, matches)
         full = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
         boss: dict = {}
 
@@ -293,31 +290,34 @@ def verified(chosen: DataFrame, sets: DataFrame, limit: int, matches: int) -> Da
             both = int((a[where] == b).sum())
             if 100 * both >= limit * (len(a) + len(b) - both):
                 boss[x] = y
-                links.append((rows["cls"][i], rows["cls"][j]))
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)],
+                links.append((rows["id"][i], rows["id"][j]))
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)],
                                           names=["u", "v"]) if links else None
 
-    named = chosen.join(sets, F.col("cls") == F.col("s_cls")).select(*GROUP, *columns)
-    return _by_group(named).mapInArrow(in_groups(work, columns), "u binary, v binary")
+    named = chosen.join(sets, F.col("id") == F.col("s_id")).select(*GROUP, *columns)
+    return _by_group(named).mapInArrow(in_groups(work, columns), "u long, v long")
 
 
 def full_sets(docs: DataFrame, needed: DataFrame, words_in: int) -> DataFrame:
-    """(s_cls, shingles) of the classes in ``needed`` (cls, rep), from the text of
-    one document of each."""
-    named = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    held = needed.select("cls", F.col("rep.doc_id").alias("r_id"), F.col("rep.text_hash").alias("r_hash"))
-    one = named.join(held, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash"))
-                     ).groupBy("cls").agg(F.first("text").alias("text"))
+    """(s_id, shingles) of the classes in ``needed`` (id, cls, rep), from the text of
+    one document of each.  Up to ``SENT_ROWS`` of them go to the documents, so that
+    no text is shuffled that nobody needs; more are joined as Spark sees fit."""
+    held = needed.select("id", "cls", F.col("rep.doc_id").alias("r_id"), F.col("rep.text_hash").alias("r_hash"))
+    if held.count() <= SENT_ROWS:
+        held = F.broadcast(held)
+    one = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(
+        held, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash"))).groupBy("id").agg(
+        F.first("cls").alias("cls"), F.first("text").alias("text"))
 
     def run(batches):
         for part, texts in _chunks(batches, "text"):
             sets = shingle_sets(texts, words_in)
             keep = [i for i, c in enumerate(part.column("cls").to_pylist()) if digest(sets[i]) == c]
             yield pa.RecordBatch.from_arrays(
-                [part.column("cls").take(pa.array(keep, pa.int64())),
-                 pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["s_cls", "shingles"])
+                [part.column("id").take(pa.array(keep, pa.int64())),
+                 pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["s_id", "shingles"])
 
-    return one.mapInArrow(run, "s_cls binary, shingles binary")
+    return one.mapInArrow(run, "s_id long, shingles binary")
 
 
 def _blocks(rows: str, shingles: str) -> Column:
@@ -325,26 +325,28 @@ def _blocks(rows: str, shingles: str) -> Column:
 
 
 def _piece(of: str, blocks: str) -> Column:
-    return F.pmod(F.xxhash64(of), F.col(blocks)).cast("string")
+    """A block by the hash of ``of`` and the token: another deal in every list, so
+    that what one list's blocks keep apart meets in the next."""
+    return F.pmod(F.xxhash64(of, "token"), F.col(blocks)).cast("string")
 
 
 def second_deal(rows: DataFrame, parts: DataFrame) -> DataFrame:
     """Members of lists of several blocks dealt anew by ``parts`` (node, component):
     a component that fills a block has blocks of its own, the others share some;
     any two blocks meet unless they hold the same single component."""
-    rows = rows.join(parts, F.col("cls") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "cls"))
+    rows = rows.join(parts, F.col("id") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "id"))
     in_comp = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c_rows"), F.sum("n").alias("c_shingles"))
     in_comp = in_comp.withColumn("c_blocks", _blocks("c_rows", "c_shingles"))
     pooled = in_comp.where("c_blocks = 1").groupBy(F.col("token").alias("p_token")).agg(
         F.sum("c_rows").alias("p_rows"), F.sum("c_shingles").alias("p_shingles"))
     plan = in_comp.join(pooled.select("p_token", _blocks("p_rows", "p_shingles").alias("p_blocks")),
-                        F.col("token") == F.col("p_token"), "left")
-    plan = stored(plan.select(F.col("token").alias("t"), F.col("comp").alias("c"), "c_blocks", "p_blocks"), "plan")
+                        F.col("token") == F.col("p_token"), "left").withColumn("pooled", _piece("comp", "p_blocks"))
+    plan = stored(plan.select(F.col("token").alias("t"), F.col("comp").alias("c"), "c_blocks", "pooled"), "plan")
     spread = plan.where("c_blocks > 1").select(
-        "t", F.hex("c").alias("pure"), F.explode(F.sequence(F.lit(0), F.col("c_blocks") - 1)).alias("i")).select(
+        "t", F.col("c").alias("pure"), F.explode(F.sequence(F.lit(0), F.col("c_blocks") - 1)).alias("i")).select(
         "t", "pure", F.concat_ws(":", "pure", "i").alias("b"))
-    shared = plan.where("c_blocks = 1").select("t", _piece("c", "p_blocks").alias("b")).distinct().select(
-        "t", F.lit(None).cast("string").alias("pure"), "b")
+    shared = plan.where("c_blocks = 1").select("t", F.col("pooled").alias("b")).distinct().select(
+        "t", F.lit(None).cast("long").alias("pure"), "b")
     blocks = stored(spread.union(shared), "blocks")
     other = blocks.select(F.col("t").alias("o_t"), F.col("pure").alias("o_pure"), F.col("b").alias("o_b"))
     meet = blocks.join(other, (F.col("t") == F.col("o_t")) & (F.col("b") <= F.col("o_b"))).where(
@@ -353,36 +355,38 @@ def second_deal(rows: DataFrame, parts: DataFrame) -> DataFrame:
                       F.lit(False).alias("side"))
     two = meet.where("b <> o_b").select(F.col("t").alias("m_t"), F.col("o_b").alias("m_b"), F.col("b").alias("g1"),
                                         F.col("o_b").alias("g2"), F.lit(True).alias("side"))
-    own = F.when(F.col("c_blocks") > 1, F.concat_ws(":", F.hex("comp"), _piece("cls", "c_blocks"))).otherwise(
-        _piece("comp", "p_blocks"))
+    own = F.when(F.col("c_blocks") > 1, F.concat_ws(":", "comp", _piece("id", "c_blocks"))).otherwise(F.col("pooled"))
     placed = rows.join(plan, (F.col("token") == F.col("t")) & (F.col("comp") == F.col("c"))).withColumn("own", own)
     return placed.join(one.union(two), (F.col("token") == F.col("m_t")) & (F.col("own") == F.col("m_b")))
 
 
-def near_links(docs: DataFrame, classes: DataFrame, words_in: int = 4, limit: int = 80,
+def near_components(docs: DataFrame, classes: DataFrame, words_in: int = 4, limit: int = 80,
                matches: int = MATCHES) -> DataFrame:
-    """Links (u, v) that connect all classes whose similarity is at least
-    ``limit`` percent; ``classes`` is (cls, n, sig, rep)."""
+    """(node, component) of all classes (id, cls, n, sig, rep) that have a link:
+    those of similarity of at least ``limit`` percent."""
     posted = stored(postings(classes, matches), "postings")
     lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("l_rows"), F.sum("n").alias("l_shingles")).where(
         "l_rows > 1").withColumn("l_blocks", _blocks("l_rows", "l_shingles"))
     lists = stored(lists, "lists")
     met = looked_up(posted, lists, "token", F.col("l_rows") > posted.count() / HOT_SHARE)
-    block = _piece("cls", "l_blocks")
-    first = met.withColumns({"g1": block, "g2": block, "side": F.lit(False), "comp": F.col("cls")})
-    chosen = stored(candidates(first, limit, matches), "candidates")
+    block = _piece("id", "l_blocks")
+    first = met.withColumns({"g1": block, "g2": block, "side": F.lit(False), "comp": F.col("id")})
 
-    def links_of(chosen: DataFrame, name: str) -> DataFrame:
-        needed = chosen.select(F.col("cls").alias("need")).distinct().join(classes, F.col("need") == F.col("cls"))
-        return stored(verified(chosen, full_sets(docs, needed.select("cls", "rep"), words_in), limit, matches), name)
+    def links_of(dealt: DataFrame, name: str) -> DataFrame:
+        chosen = stored(candidates(dealt, limit, matches), f"{name}_candidates")
+        needed = chosen.select(F.col("id").alias("need")).distinct().join(classes, F.col("need") == F.col("id"))
+        sets = full_sets(docs, stored(needed.select("id", "cls", "rep"), f"{name}_needed"), words_in)
+        return stored(verified(chosen, sets, limit, matches), name)
 
-    links = links_of(chosen, "links")
-    again = met.where("l_blocks > 1").select(*posted.columns)
+    parts = connected_components(links_of(first, "links"))
     if lists.where("l_blocks > 1").isEmpty():
-        return links
-    parts = connected_components(links)
-    later = stored(candidates(second_deal(again, parts), limit, matches), "candidates2")
-    return links.union(links_of(later, "links2"))
+        return parts
+    parts = stored(parts, "parts")
+    again = looked_up(posted, lists.where("l_blocks > 1"), "token", F.col("l_rows") > posted.count() / HOT_SHARE)
+    later = links_of(second_deal(again.select(*posted.columns), parts), "later")
+    if later.isEmpty():
+        return parts
+    return connected_components(later.union(parts.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
 def near_duplicates(docs: DataFrame, words_in: int = 4, limit: int = 80, matches: int = MATCHES) -> DataFrame:
@@ -392,10 +396,10 @@ def near_duplicates(docs: DataFrame, words_in: int = 4, limit: int = 80, matches
     rep = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     classes = stored(found.where("n > 0").groupBy("cls").agg(
         F.max("n").alias("n"), F.first("sig").alias("sig"), F.min(rep).alias("rep"), F.min("doc_id").alias("low"),
-        F.count(F.lit(1)).alias("copies")), "classes")
-    parts = connected_components(near_links(docs, classes, words_in, limit, matches))
-    named = classes.join(parts, F.col("cls") == F.col("node"), "left").where(
-        "copies > 1 OR node IS NOT NULL").select("cls", "low", "copies", F.coalesce("component", "cls").alias("comp"))
+        F.count(F.lit(1)).alias("copies")).withColumn("id", F.monotonically_increasing_id()), "classes")
+    parts = near_components(docs, classes, words_in, limit, matches)
+    named = classes.join(parts, F.col("id") == F.col("node"), "left").where(
+        "copies > 1 OR node IS NOT NULL").select("cls", "low", "copies", F.coalesce("component", "id").alias("comp"))
     lowest = named.groupBy(F.col("comp").alias("c")).agg(F.min("low").alias("component_id"))
     labels = stored(named.join(lowest, F.col("comp") == F.col("c")).select(
         F.col("cls").alias("l_cls"), "copies", "component_id"), "labels")
