@@ -1,0 +1,137 @@
+"""Secret scans on long texts and planted secrets, robust fits against plain numpy."""
+
+import random
+import re
+import string
+import time
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from workpulse.llm import outliers, secrets
+
+
+def test_running_sums(spark):
+    rng = random.Random(1)
+    rows = [([],), ([5],)] + [([rng.randint(0, 9) for _ in range(n)],) for n in (2, 3, 9, 10, 17, 1000)]
+    df = spark.createDataFrame(rows, "a array<int>")
+    for r in df.select("a", secrets.running(F.col("a")).alias("s")).collect():
+        assert r.s == list(np.cumsum(r.a)) if r.a else r.s == []
+
+
+def by_hand(text):
+    """Base spans of a text, by Python's regular expressions."""
+    assign = re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    out = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[1]) >= 12]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    return sorted(out + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]{16,}", text)])
+
+
+def test_a_text_of_two_megabytes(spark):
+    """30,000 matches in one text: the work grows with the text, not its square."""
+    rng = random.Random(2)
+    parts = []
+    for i in range(30_000):
+        kind = i % 3
+        parts.append("".join(rng.choice("0123456789abcdef") for _ in range(20)) if kind == 0 else
+                     "AKIA" + "".join(rng.choice(string.ascii_uppercase) for _ in range(16)) if kind == 1 else
+                     f"password = {''.join(rng.choice(string.ascii_letters) for _ in range(14))}")
+        parts.append("some plain words beside_the_secret_values_here 漢字 \n")
+    text = " ".join(parts)
+    assert len(text.encode()) > 2_000_000
+    df = spark.createDataFrame([(1, text), (2, None), (2, text[:50_000]), (2, text[:50_000])], "doc_id long, text string")
+    began = time.time()
+    rows = secrets.secrets(df).collect()
+    assert time.time() - began < 120
+    for r in rows:
+        want = by_hand({1: text, 2: text[:50_000]}[r.doc_id]) if len(r.base) else []
+        assert [(s.start, s.kind, s.end) for s in r.base] == want
+    assert sorted(len(r.base) for r in rows)[0] == 0 and max(len(r.base) for r in rows) == 30_000
+
+
+def test_planted_secrets_are_added_and_identifiers_are_not(spark):
+    """Random strings that no base pattern knows, beside identifiers and words."""
+    rng = random.Random(3)
+    words = ["request", "handler", "user", "profile", "session", "manager", "column", "value", "index", "buffer",
+             "stream", "parser", "config", "loader", "cache", "writer", "table", "filter", "window", "server"]
+    letters = string.ascii_letters + string.digits
+    rows, planted, plain = [], 0, 0
+    for i in range(300):
+        text = [" ".join(rng.choice(words) for _ in range(30))]
+        name = "_".join(rng.choice(words) for _ in range(3))
+        text.append(f"call {name} with {'-'.join(rng.choice(words) for _ in range(3))}")
+        plain += 2
+        if i % 2:
+            text.append(f"api_key = {''.join(rng.choice(letters) for _ in range(32))}")  # trains the model
+        if i % 3 == 0:
+            text.append(f"see {''.join(rng.choice(letters) for _ in range(32))} there")
+            planted += 1
+        rows.append((i, " ".join(text)))
+    made = {r.doc_id: r for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = wrong = 0
+    for i, text in rows:
+        for s in made[i].added:
+            found = text[s.start:s.end]
+            random_one = any(c.isdigit() for c in found) or not re.fullmatch("[a-z_-]+", found)
+            hit, wrong = hit + random_one, wrong + (not random_one)
+    assert hit >= 0.95 * planted and wrong <= 0.02 * plain
+
+
+def mcd_by_hand(x, share=0.5, starts=60):
+    """A plain minimum covariance determinant fit, with the operator's floors and scale."""
+    n, p = x.shape
+    h = int(np.ceil(share * n))
+    scale = share / outliers.chi2_cdf(outliers.chi2_quantile(share, p), p + 2)
+    rng, best = np.random.default_rng(5), None
+    for _ in range(starts):
+        some = x[rng.choice(n, p + 1, replace=False)]
+        mean, cov = some.mean(0), np.cov(some.T) + 1e-3 * np.eye(p)
+        for _ in range(40):
+            d = x - mean
+            near = np.argsort(np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d))[:h]
+            mean = x[near].mean(0)
+            cov = np.cov(x[near].T, bias=True) * scale + np.diag(np.square(outliers.FLOORS))
+        size = np.linalg.slogdet(cov)[1]
+        if best is None or size < best[0]:
+            best = (size, mean, cov)
+    return best
+
+
+def vectors(rng, n, junk):
+    x = rng.normal([5, 4, 1, 1, 0.2], [0.8, 0.5, 0.4, 0.5, 0.1], (n, 5))
+    x[: int(junk * n)] += [0, 3, 9, 5, 0.7]
+    return x
+
+
+@pytest.mark.parametrize("junk", [0.0, 0.3, 0.45])
+def test_fit_equals_a_plain_one(spark, junk):
+    rng = np.random.default_rng(9)
+    x = vectors(rng, 1500, junk)
+    df = spark.createDataFrame([("en", "a", list(map(float, r))) for r in x], "lang string, source string, x array<double>")
+    fit = outliers.fit_mcd(df).where("level = 0").first()
+    _, mean, cov = mcd_by_hand(x)
+    assert np.abs(np.array(fit.mean) - mean).max() < 0.1
+    d_mine = np.einsum("ij,jk,ik->i", x - fit.mean, np.array(fit.inverse).reshape(5, 5), x - fit.mean)
+    d_plain = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+    limit = outliers.chi2_quantile(1 - 1e-7, 5)
+    assert ((d_mine > limit) == (d_plain > limit)).mean() > 0.998
+    assert (d_mine[: int(junk * 1500)] > limit).all()
+
+
+def test_only_needed_levels_are_fitted(spark):
+    rng = np.random.default_rng(4)
+    groups = [("en", "a", 300), ("en", "b", 200), ("de", "a", 300), ("de", None, 20), (None, "a", 10)]
+    rows = [(g, s, list(map(float, r))) for g, s, n in groups for r in vectors(rng, n, 0)]
+    df = spark.createDataFrame(rows, "lang string, source string, x array<double>")
+    fits = {(r.level, r.g_lang, r.g_source): r.rows for r in outliers.fit_mcd(df, min_rows=100).collect()}
+    assert fits == {(0, "en", "a"): 300, (0, "en", "b"): 200, (0, "de", "a"): 300, (1, "de", None): 320,
+                    (2, None, None): 830}
+
+
+def test_steps_that_do_not_settle_raise(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([("en", "a", list(map(float, r))) for r in vectors(rng, 500, 0.4)],
+                               "lang string, source string, x array<double>")
+    with pytest.raises(RuntimeError, match="did not settle"):
+        outliers.fit_mcd(df, max_steps=1)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from workpulse.llm.scratch import stored
 
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 19
 #: Distinct parts of texts whose ids a worker keeps, and up to which length.
 PARTS_KEPT, LONG_PART = 1 << 19, 1 << 16
 #: Most pairs that are broadcast, with their counts.

@@ -14,9 +14,9 @@ chi-square quantile that one normal row in ``1 / tail`` passes.
 Every step is two aggregates over all rows (an approximate quantile of the
 distances by group and start, then sums and products of the nearer rows),
 partially done before the shuffle, so a group with a third of all rows is never
-gathered.  A
-group under ``min_rows`` rows is judged by its language, a language under that
-by all rows, and nothing is rejected when there are fewer rows in all.
+gathered.  A group under ``min_rows`` rows is judged by its language, a language under that
+by all rows (fitted only where there is such a one), and nothing is rejected when
+there are fewer rows in all.
 
 Defined cases: a null or empty text has no words and fails the base rules; null
 language or source are groups of their own; a null id is kept as it is; repeated
@@ -41,7 +41,8 @@ from workpulse.llm.texts import SPACES
 
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: Least standard deviation of each transformed statistic.
+#: What every fit adds to the standard deviation of each axis (in squares), so
+#: that an axis on which most rows agree does not reject every other row.
 FLOORS = (0.5, 0.4, 0.3, 0.4, 0.08)
 DIMS = len(FLOORS)
 
@@ -113,14 +114,32 @@ def chi2_quantile(p: float, k: int) -> float:
 _GROUP = ("level", "g_lang", "g_source")
 
 
-def _grouped(vectors: DataFrame) -> DataFrame:
-    """Each vector once for its language and source, its language, and all."""
+def _wanted(vectors: DataFrame, min_rows: int) -> DataFrame:
+    """(w_lang, w_source, levels): at which levels the vectors of a language and
+    source are fitted.  A group of ``min_rows`` rows judges its own; a language is
+    fitted only where a group of it is smaller, all rows only where a language is."""
+    groups = vectors.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    langs = groups.groupBy(F.col("lang").alias("l_lang")).agg(
+        F.sum("n").alias("l_n"), F.max((F.col("n") < min_rows).cast("int")).alias("small"))
+    some = langs.agg(F.max(F.when(F.col("l_n") < min_rows, 1).otherwise(0)).alias("all_small"), F.lit(1).alias("one"))
+    langs = langs.withColumn("one", F.lit(1)).join(some, "one")
+    met = groups.join(langs, F.col("lang").eqNullSafe(F.col("l_lang")))
+    levels = F.array(F.col("n") >= min_rows, (F.col("small") == 1) & (F.col("l_n") >= min_rows), F.col("all_small") == 1)
+    return met.select(F.col("lang").alias("w_lang"), F.col("source").alias("w_source"), levels.alias("levels"))
+
+
+def _grouped(vectors: DataFrame, min_rows: int) -> DataFrame:
+    """Each vector once for each of its groups that is fitted: its language and
+    source, its language, all."""
     kinds = [vectors.schema[c].dataType.simpleString() for c in ("lang", "source")]
     levels = [F.struct(F.lit(i).alias("level"),
                        (F.col("lang") if i < 2 else F.lit(None).cast(kinds[0])).alias("g_lang"),
                        (F.col("source") if i < 1 else F.lit(None).cast(kinds[1])).alias("g_source"))
               for i in range(3)]
-    return vectors.withColumn("g", F.explode(F.array(*levels))).select("g.*", "x")
+    met = vectors.join(_wanted(vectors, min_rows), F.col("lang").eqNullSafe(F.col("w_lang"))
+                       & F.col("source").eqNullSafe(F.col("w_source")))
+    fitted = F.filter(F.array(*levels), lambda g: F.element_at("levels", g["level"] + 1))
+    return met.withColumn("g", F.explode(fitted)).select("g.*", "x")
 
 
 def _near(rows: DataFrame, fits: DataFrame) -> DataFrame:
@@ -180,11 +199,11 @@ def _sign_starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield df[[*_GROUP, "rows"]].assign(start=2, mean=df["mean"], inverse=inverse, logdet=float("inf"))
 
 
-def fit_mcd(vectors: DataFrame, share: float = 0.5, max_steps: int = 50) -> DataFrame:
-    """(level, g_lang, g_source, rows, mean, inverse) of every group of
-    ``vectors`` (lang, source, x).  Steps end when no start of any group has its
-    determinant fall by a thousandth, at the latest after ``max_steps``."""
-    rows = stored(_grouped(vectors), "vectors")
+def fit_mcd(vectors: DataFrame, share: float = 0.5, max_steps: int = 50, min_rows: int = 1) -> DataFrame:
+    """(level, g_lang, g_source, rows, mean, inverse) of every fitted group of
+    ``vectors`` (lang, source, x).  A start takes steps until its determinant falls
+    by less than a thousandth; ``max_steps`` that do not suffice raise."""
+    rows = stored(_grouped(vectors, min_rows), "vectors")
     scale = share / chi2_cdf(chi2_quantile(share, DIMS), DIMS + 2)
     cols = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in _GROUP)
     fields = f"{cols}, start int, rows long, mean array<double>, inverse array<double>, logdet double"
@@ -220,14 +239,19 @@ def fit_mcd(vectors: DataFrame, share: float = 0.5, max_steps: int = 50) -> Data
             F.array(*[F.sum(a * b) for a in x for b in x]).alias("ss"))
         fits = stored(made(sums, _fit_rows(scale)), "fits")
         # The quantile is approximate, so the least determinant of each start is carried.
-        old = best.select(*[F.col(c).alias(f"o_{c}") for c in keys], F.struct("logdet", "mean", "inverse").alias("old"))
         now = F.struct("logdet", "mean", "inverse")
-        best = stored(fits.join(old, [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in keys]).select(
-            *keys, "rows", F.least("old", now).alias("b"),
-            (F.col("logdet") < F.col("old.logdet") - 1e-3).alias("fell")).select(
-            *keys, "rows", "b.mean", "b.inverse", "b.logdet", "fell"), "best")
-        if not best.where("fell").limit(1).count():
+        best = stored(fits.select(*[F.col(c).alias(f"n_{c}") for c in keys], now.alias("now")).join(
+            best, [F.col(c).eqNullSafe(F.col(f"n_{c}")) for c in keys], "right").withColumn(
+            "b", F.coalesce(F.least("now", now), now)).select(
+            *keys, "rows", "b.mean", "b.inverse", "b.logdet",
+            F.coalesce(F.col("now.logdet") < F.col("logdet") - 1e-3, F.lit(False)).alias("fell")), "best")
+        # Only the starts that still fall take another step.
+        fell = best.where("fell").select(*[F.col(c).alias(f"k_{c}") for c in keys])
+        fits = stored(fits.join(fell, [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in keys], "left_semi"), "moving")
+        if fits.isEmpty():
             break
+    else:
+        raise RuntimeError(f"the concentration did not settle in {max_steps} steps")
     least = F.min(F.struct("logdet", "start", "rows", "mean", "inverse")).alias("b")
     return stored(best.groupBy(*_GROUP).agg(least).select(*_GROUP, "b.rows", "b.mean", "b.inverse"), "mcd")
 
@@ -236,7 +260,8 @@ def judged(docs: DataFrame, tail: float = 1e-7, min_rows: int = 100) -> DataFram
     """One row per row of ``docs``: doc_id, lang, source, STATS, base_failed, d2, kept."""
     limit = chi2_quantile(1 - tail, DIMS)
     stats = stored(with_stats(docs).withColumn("base_failed", base_failed()), "stats")
-    fits = fit_mcd(stats.where("NOT base_failed").select("lang", "source", transformed().alias("x")))
+    fits = fit_mcd(stats.where("NOT base_failed").select("lang", "source", transformed().alias("x")),
+                   min_rows=min_rows)
     fits = fits.where(f"rows >= {min_rows}")
     made = stats.withColumn("x", transformed())
     delta = [F.col("x")[i] - F.col("f.mean")[i] for i in range(DIMS)]

@@ -100,10 +100,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_substring")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = substring.repeated_passages(table(spark, sf_dir, "documents"), min_words=50, limit=0.8)
+    made = substring.passages(table(spark, sf_dir, "documents"), min_words=50, limit=0.8)
     spans = F.transform("passages", lambda p: F.concat_ws(":", p["first"], p["last"], p["words"]))
+    runs = F.transform("runs", lambda r: F.concat_ws(":", r["first"], r["last"]))
     return made.select("doc_id", F.size("passages").cast("long").alias("n_passages"), "n_words", "n_removed",
-                       F.array_join(spans, ",").alias("passages"), "first_doc_ids")
+                       F.array_join(spans, ",").alias("passages"), "first_doc_ids",
+                       F.array_join(runs, ",").alias("runs"), "n_run_words", "n_later_words")
 
 
 @query("op13_filter_audit", oracles.FILTER_AUDIT)

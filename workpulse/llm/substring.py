@@ -1,5 +1,9 @@
 """Passages that repeat across documents: paragraph MinHash banding.
 
+``passages`` puts together two kinds of paragraphs: lines, which near copies of
+lines are found by (this module), and content-defined units of words, which passages
+that lie anywhere in longer lines are found by, extended word by word (``runs``).
+
 A paragraph is a line of a text.  Equal paragraphs (words compared without case)
 are one class.  Classes of enough words get a MinHash signature of their sets of
 five-word shingles; the bands are tuned so that two classes at the similarity
@@ -31,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from workpulse.llm.components import connected_components
+from workpulse.llm.runs import repeated_runs
 from workpulse.llm.scratch import stored
 from workpulse.llm.simhash import xxh64_spans
 
@@ -151,6 +156,14 @@ def _class_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "phash long, line string")
 
 
+def _sets_of_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(phash, shingles): the shingle set of each class, in bytes."""
+    for batch in batches:
+        made = [shingle_set(line.encode()).tobytes() for line in batch.column("line").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("phash"), pa.array(made, pa.binary())],
+                                         names=["phash", "shingles"])
+
+
 def forest(ids: list[int], sets: list[np.ndarray], split: int, limit: float) -> list[tuple[int, int]]:
     """A spanning forest of the links of similarity ``limit`` or more: among all
     if ``split`` is 0, else between the first ``split`` sets and the others."""
@@ -169,7 +182,9 @@ def forest(ids: list[int], sets: list[np.ndarray], split: int, limit: float) ->
             n, m = len(sets[i]), len(sets[j])
             if a == b or min(n, m) < limit * max(n, m):
                 continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            where = sets[i].searchsorted(sets[j])
+            where[where == n] = 0
+            both = int((sets[i][where] == sets[j]).sum())
             if both >= limit * (n + m - both):
                 boss[a] = b
                 links.append((ids[i], ids[j]))
@@ -186,8 +201,8 @@ def near_links(banded: DataFrame, lines: DataFrame, limit: float = 0.8, block: i
     met = stored(keyed.join(sizes, (F.col("band") == F.col("s_band")) & (F.col("key") == F.col("s_key")))
                  .select("band", "key", "blocks", "phash"), "met")
     wanted = met.select("phash").distinct()
-    sets = stored(lines.join(wanted, "phash", "left_semi").groupBy("phash").agg(F.min("line").alias("line")),
-                  "lines")
+    sets = lines.join(wanted, "phash", "left_semi").groupBy("phash").agg(F.min("line").alias("line"))
+    sets = stored(sets.mapInArrow(_sets_of_lines, "phash long, shingles binary"), "sets")
     own = F.pmod(F.xxhash64("phash"), F.col("blocks")).cast("int")
     dealt = (met.withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -200,7 +215,6 @@ def near_links(banded: DataFrame, lines: DataFrame, limit: float = 0.8, block: i
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, ids, sets_, split, out = None, [], [], 0, []
-        known: dict[int, np.ndarray] = {}
 
         def packed():
             pairs = np.array(out, np.int64).reshape(-1, 2)
@@ -209,19 +223,15 @@ def near_links(banded: DataFrame, lines: DataFrame, limit: float = 0.8, block: i
                                               names=["u", "v"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in (*group, "later", "phash", "line")]
-            for *name, later, phash, line in zip(*cols):
+            cols = [batch.column(c).to_pylist() for c in (*group, "later", "phash", "shingles")]
+            for *name, later, phash, shingles in zip(*cols):
                 if name != now:
                     out += forest(ids, sets_, split, limit)
                     now, ids, sets_, split = name, [], [], 0
                 if later and not split:
                     split = len(ids)
-                if phash not in known:
-                    if len(known) > 20_000:
-                        known.clear()
-                    known[phash] = shingle_set(line.encode())
                 ids.append(phash)
-                sets_.append(known[phash])
+                sets_.append(np.frombuffer(shingles, np.uint64))
             if len(out) > 10_000:
                 yield packed()
         out += forest(ids, sets_, split, limit)
@@ -256,6 +266,25 @@ def repeated_paragraphs(docs: DataFrame, limit: float = 0.8, rows: int = 4, reca
                        (F.col("cluster").isNotNull() & ~place.eqNullSafe(F.col("low"))).alias("removed"))
 
 
+def passages(docs: DataFrame, min_words: int = 50, reach: int = 4, **options) -> DataFrame:
+    """One row for each document with a passage that another document holds too:
+    what ``repeated_passages`` finds of whole paragraphs, near copies included, and
+    what ``runs.repeated_runs`` finds of exact words wherever they stand."""
+    near = repeated_passages(docs, min_words, **options)
+    exact = repeated_runs(docs, min_words, reach)
+    met = near.join(exact, F.col("dkey") == F.col("r_dkey"), "full")
+    ids = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("i_dkey")).distinct()
+    empty = F.array().cast("array<struct<first:int,last:int>>")
+    zero = F.lit(0).cast("long")
+    return met.drop("doc_id").withColumn("m_dkey", F.coalesce("dkey", "r_dkey")).join(
+        ids, F.col("m_dkey") == F.col("i_dkey")).select(
+        "doc_id", F.coalesce("passages", F.array().cast(near.schema["passages"].dataType)).alias("passages"),
+        F.coalesce("n_words", zero).alias("n_words"), F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("first_doc_ids", F.array().cast(near.schema["first_doc_ids"].dataType)).alias("first_doc_ids"),
+        F.coalesce("runs", empty).alias("runs"), F.coalesce("n_run_words", zero).alias("n_run_words"),
+        F.coalesce("n_later_words", zero).alias("n_later_words"))
+
+
 def repeated_passages(docs: DataFrame, min_words: int = 50, **options) -> DataFrame:
     """One row for each document with a passage that another document holds too:
     doc_id, passages (array of first and last paragraph and words), n_words in
@@ -265,9 +294,10 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, **options) -> DataFr
     with_some = every.where("words > 0").groupBy("doc_id", "dkey").agg(
         F.max("repeated").alias("some"), F.sort_array(F.collect_set(F.struct(
             "pos", "words", "repeated", "removed", "first_doc_id"))).alias("ps")).where("some")
-    empty = F.array().cast("array<struct<first:int,last:int,words:int,removed:int,docs:array<bigint>>>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    empty = F.array().cast(f"array<struct<first:int,last:int,words:int,removed:int,docs:array<{kind}>>>")
     fresh = F.struct(F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("words"),
-                     F.lit(0).alias("removed"), F.array().cast("array<bigint>").alias("docs"))
+                     F.lit(0).alias("removed"), F.array().cast(f"array<{kind}>").alias("docs"))
 
     def closed(acc):
         return F.when(acc["run"]["words"] >= min_words,
@@ -278,15 +308,15 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, **options) -> DataFr
         longer = F.struct(
             F.when(run["words"] > 0, run["first"]).otherwise(p["pos"]).alias("first"), p["pos"].alias("last"),
             (run["words"] + p["words"]).alias("words"), (run["removed"] + p["removed"].cast("int")).alias("removed"),
-            F.array_union(run["docs"], F.array(p["first_doc_id"].cast("long"))).alias("docs"))
+            F.array_union(run["docs"], F.array(p["first_doc_id"])).alias("docs"))
         return F.struct(F.when(p["repeated"], longer).otherwise(fresh).alias("run"),
                         F.when(p["repeated"], acc["out"]).otherwise(closed(acc)).alias("out"))
 
     runs = F.aggregate("ps", F.struct(fresh.alias("run"), empty.alias("out")), step, closed)
-    made = with_some.select("doc_id", runs.alias("runs")).where(F.size("runs") > 0)
+    made = with_some.select("doc_id", "dkey", runs.alias("runs")).where(F.size("runs") > 0)
     total = lambda name: F.aggregate("runs", F.lit(0), lambda a, r: a + r[name]).cast("long")
     return made.select(
-        "doc_id", F.transform("runs", lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last"),
+        "doc_id", "dkey", F.transform("runs", lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last"),
                                                          r["words"].alias("words"))).alias("passages"),
         total("words").alias("n_words"), total("removed").alias("n_removed"),
         F.array_distinct(F.flatten(F.transform("runs", lambda r: r["docs"]))).alias("first_doc_ids"))
