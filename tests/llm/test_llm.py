@@ -73,8 +73,12 @@ def test_mixing_meets_targets(spark, docs, empty, rows):
     assert sorted(map(tuple, again), key=str) == sorted(map(tuple, made), key=str)
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
-    assert mixed.agg(F.sum(mixing.word_count("text"))).first()[0] == pytest.approx(
-        sum(t.target for t in goal.values()), abs=5)
+    by_text = Counter(r[1] for r in rows)
+    for text, n in Counter(r.text for r in mixed.collect()).items():
+        assert text in by_text and 1 <= n <= 2 * by_text[text]      # whole texts, none more than twice
+    words = {r.source: r.w for r in mixed.groupBy("source").agg(F.sum(mixing.word_count("text")).alias("w")).collect()}
+    longest = {s: max([len(WORD.findall(r[1] or "")) for r in rows if r[3] == s] + [0]) for s in goal}
+    assert all(t.target - 3 <= words.get(s, 0) <= t.target + 3 * longest[s] for s, t in goal.items())
     assert mixing.taken_words(*mixing.mix(empty)).count() == 0
 
 

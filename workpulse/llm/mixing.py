@@ -238,11 +238,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     sizes = stored(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
     units = sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies"))
     targets = stored(source_targets(sizes, weights, share, max_epochs, block_words), "targets")
-    draws = stored(draw_blocks(units, _unit_blocks(units, targets, block_words), seed, block_words),
-                   "draws")
-    quotas = draws.groupBy("idx").agg(
+    # One row per source each, stored: their size is known, so no join deals the
+    # blocks by source, the hot key.
+    per = stored(_unit_blocks(units, targets, block_words), "unit_blocks")
+    draws = stored(draw_blocks(units, per, seed, block_words), "draws")
+    quotas = stored(draws.groupBy("idx").agg(
         (F.sum("full") + F.sum((F.col("room") > 0).cast("long"))).alias("quota"),
-        F.count(F.lit(1)).alias("blocks"))
+        F.count(F.lit(1)).alias("blocks")), "quotas")
     words = targets.agg(F.sum("target")).first()[0] or 0.0
     shards = max(1, int(-(-words // shard_words)))
     runs = stored(split_quotas(targets, quotas, shards, seed), "runs")
@@ -276,9 +278,14 @@ def _unit_blocks(units: DataFrame, targets: DataFrame, block_words: int | None)
             .withColumn("blocks", F.col("unit_blocks")).drop("u_source", "unit_blocks"))
 
 
-def shuffled(placements: DataFrame) -> DataFrame:
-    """Placements dealt by shard, each shard in its own random order."""
-    return placements.repartition("shard").sortWithinPartitions("shard", "order")
+def shuffled(placed: DataFrame, pieces: int = 16) -> DataFrame:
+    """Rows with (shard, order) dealt by shard, each shard in its own random order.
+    ``order`` is a hash of ``HASH_BITS`` bits, so ``pieces`` equal ranges of it cut a
+    shard into runs of about equal size, each sorted in a task of its own."""
+    piece = F.shiftright("order", HASH_BITS - (pieces - 1).bit_length())
+    parts = max(1, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return placed.withColumn("piece", piece).repartition(parts, "shard", "piece").sortWithinPartitions(
+        "shard", "piece", "order")
 
 
 def taken_words(sizes: DataFrame, targets: DataFrame, placements: DataFrame) -> DataFrame:
@@ -294,22 +301,15 @@ def taken_words(sizes: DataFrame, targets: DataFrame, placements: DataFrame) ->
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as documents: a document as often as the mix takes it, with the
-    columns of ``docs``; the document at a source's boundary is cut to its first
-    words.  Blocks are whole documents here."""
+    """The mix as documents: a document as often as the mix takes it, whole, with
+    the columns of ``docs``, by shard and in the shard's random order.  Blocks are
+    whole documents here; of a source's broken pass the last document is taken
+    whole as well, so a source may exceed its target by less than one document."""
     _, _, placements = mix(docs, block_words=None, **options)
     keys = ("doc_id", "source", "size")
-    drawn = placements.select(*[F.col(k).alias(f"p_{k}") for k in keys], "words")
+    drawn = placements.where("words > 0").select(*[F.col(k).alias(f"p_{k}") for k in keys], "shard", "order")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"),
                        word_count("text").alias("size"))
-    made = rows.join(drawn.where("words > 0"), F.col("d.doc_id").eqNullSafe(F.col("p_doc_id"))
+    made = rows.join(drawn, F.col("d.doc_id").eqNullSafe(F.col("p_doc_id"))
                      & F.col("d.source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")))
-    whole = F.col("words") == F.col("size")
-    pieces = F.regexp_extract_all("d.text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    text = F.when(whole, F.col("d.text")).otherwise(
-        F.array_join(F.slice(pieces, 1, F.col("words").cast("int")), ""))
-    new = {"text": text}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(whole, F.col("d.n_chars")).otherwise(
-            F.length(text).cast(docs.schema["n_chars"].dataType))
-    return made.select(*[new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
+    return shuffled(made.select("d", "shard", "order")).select("d.*")

@@ -64,7 +64,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = langid.dictionaries(docs, ~held_out)
     made = langid.predicted(docs.select("doc_id", "text"), learned)
     return made.select("d.doc_id", F.col("d.doc_id").alias("i"), "lang_pred", "score", "rejected").select(
-        "doc_id", (texts.crc_class("i", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+        "doc_id", F.coalesce(texts.crc_class("i", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 @query("op8_outliers")
