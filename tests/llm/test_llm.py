@@ -92,10 +92,9 @@ def test_hypergeometric_draw(spark):
 
 def brute_lines(rows, min_docs):
     strip = " \t\n\x0b\x0c\r"
-    texts = {(r[0], r[1]) for r in rows}
     seen = Counter()
-    for _, text in texts:
-        seen.update({lower(x.strip(strip)) for x in (text or "").split("\n")} - {""})
+    for r in rows:  # rows are documents, equal ones too
+        seen.update({lower(x.strip(strip)) for x in (r[1] or "").split("\n")} - {""})
     out = []
     for r in rows:
         lines = (r[1] or "").split("\n")
@@ -120,6 +119,35 @@ def test_line_dedup(spark, docs, empty, rows, parts):
     assert line_dedup.dedup_documents(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("parts", ["1", "3", "40"])
+@pytest.mark.parametrize("n", [8, 9, 12])
+def test_line_dedup_counts_equal_rows(spark, parts, n):
+    """n equal rows and one more document: their line goes from ten documents on,
+    as the query's SQL has it; with the first kept, every equal row keeps it."""
+    import duckdb
+    from workpulse.llm.oracles import LINE_DEDUP
+    rows = [(1, "the line\nown words\nTHE line", "en", "a", 1, 1, "h", 1, 1)] * n
+    rows += [(2, "other\n the line", "en", "a", 1, 1, "h", 1, 1), (None, "x\nown words", "en", "a", 1, 1, "h", 1, 1)]
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        made = line_dedup.with_kept_lines(df, line_dedup.keep_bitmaps(df)).select(
+            "d.doc_id", "n_lines", "n_dropped", F.coalesce("kept", F.lit("")).alias("kept")).collect()
+        assert sorted(map(tuple, made), key=str) == brute_lines(rows, 10)
+        first = line_dedup.with_kept_lines(df, line_dedup.keep_bitmaps(df, keep_first=True)).select("d.doc_id", "kept").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    if n >= 9:
+        assert {(r.doc_id, r.kept) for r in first} == {(1, "the line"), (2, "other"), (None, "x\nown words")}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = sorted(((r.doc_id, r.n_lines, r.n_dropped, sha(r.kept)) for r in made), key=str)
+    assert sorted(con.execute(LINE_DEDUP).fetchall(), key=str) == want
+
+
 def test_simhash(spark, docs, empty, rows):
     def brute(text):
         w = WORD.findall(lower(text))

@@ -9,8 +9,8 @@ partition (fewer documents than the count on each side) and one marker row per
 decided end are put together afterwards.  The result is a compressed keep bitmap
 per document, not text.
 
-Defined cases: a null or empty text is one empty line; rows equal in id and text
-count as one document and all get its bitmap; a null id is an id like any
+Defined cases: a null or empty text is one empty line; rows are documents, so rows
+equal in id and text count each, and all get one bitmap; a null id is an id like any
 other; an empty table gives no bitmaps; only the named columns are read.
 """
 
@@ -73,17 +73,22 @@ class _Runs:
             table, self.held = pa.concat_tables([self.held, table]).combine_chunks(), None
         if not table.num_rows:
             return out
-        h1, h2, dkey = (table.column(c).to_numpy() for c in ("h1", "h2", "dkey"))
+        h1, h2, dkey, at = (table.column(c).to_numpy() for c in ("h1", "h2", "dkey", "at"))
         start = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
         end = np.r_[start[1:], len(h1)]
-        fresh = np.r_[True, dkey[1:] != dkey[:-1]]
-        fresh[start] = True
+        other = np.r_[True, dkey[1:] != dkey[:-1]]
+        other[start] = True
+        # A document counts where its first line of the run is, as often as it has rows.
+        fresh = at == at[np.flatnonzero(other)][np.cumsum(other) - 1]
         docs = np.add.reduceat(fresh.astype(np.int64), start)
         drop = np.zeros(len(h1), bool)
         lead = 0
         if self.decided is not None:
             if (h1[0], h2[0]) == self.decided:
                 drop[:end[0]] = True
+                if self.keep_first:
+                    first = [self.first_row.column(c)[0].as_py() for c in ("dkey", "at")]
+                    drop[:end[0]] &= (dkey[:end[0]] != first[0]) | (at[:end[0]] != first[1])
                 lead = 1
             if lead == 0 or len(start) > 1:
                 out += self._close()
@@ -91,7 +96,10 @@ class _Runs:
             if r < lead:
                 continue
             drop[start[r]:end[r]] = True
-            if self.keep_first or r == len(start) - 1 or (self.at_start and r == 0):
+            if self.keep_first:  # the first line stays in every row of its document
+                run = slice(start[r], end[r])
+                drop[run] &= (dkey[run] != dkey[start[r]]) | (at[run] != at[start[r]])
+            elif r == len(start) - 1 or (self.at_start and r == 0):
                 drop[start[r]] = False
         last = len(start) - 1
         if lead == 0 and self.at_start and last > 0:
@@ -153,9 +161,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                    "marks")
     ends = marks.where("kind > 0")
     place = F.struct("doc_id", "dkey", "at")
-    per_doc = ends.groupBy("h1", "h2", "doc_id", "dkey").agg(F.max("kind").alias("kind"),
-                                                             F.min("at").alias("at"))
-    keys = (per_doc.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("kind").alias("most"),
+    per_doc = ends.groupBy("h1", "h2", "doc_id", "dkey", "at").agg(
+        F.max("kind").alias("kind"), F.count(F.lit(1)).alias("rows")).groupBy("h1", "h2", "doc_id", "dkey").agg(
+        F.max("kind").alias("kind"), F.min(F.struct("at", "rows")).alias("x")).select(
+        "h1", "h2", "doc_id", "dkey", "kind", "x.*")
+    keys = (per_doc.groupBy("h1", "h2").agg(F.sum("rows").alias("n"), F.max("kind").alias("most"),
                                            F.min(place).alias("first"))
             .where((F.col("most") == 2) | (F.col("n") >= min_docs)).drop("n", "most"))
     more = ends.join(keys, ["h1", "h2"])
