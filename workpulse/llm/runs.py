@@ -5,7 +5,7 @@ is the least of the ``reach`` pairs before and after it, so equal runs of words
 cut alike whatever stands around them and wherever lines end.  Units held by two
 different texts are candidates.  Around them the match is extended word by word,
 exactly: every window of ``min_words`` words that contains a candidate unit is
-known by a 128-bit hash, and a window of two texts is a run of both.  Windows that
+known by two 64-bit hashes, and a window of two texts is a run of both.  Windows that
 overlap are one run.  A shared run of ``min_words`` words without one whole unit
 inside is missed: one in 10,000 with ``reach`` 4.
 
@@ -39,21 +39,33 @@ BYTES_AT_ONCE = 1 << 20
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
+    if not words:
+        return np.zeros(0, np.uint64)
     data = b" ".join(words)
     ends = np.r_[np.flatnonzero(np.frombuffer(data, np.uint8) == 32), len(data)]
     return xxh64_spans(data, np.r_[0, ends[:-1] + 1], ends)
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(factor: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of an odd number modulo 2^64."""
+    if len(_powers.get(factor, ())) < n:
+        with np.errstate(over="ignore"):
+            _powers[factor] = np.r_[np.ones(1, np.uint64), np.cumprod(np.full(max(n, 1 << 18), factor, np.uint64))]
+    return _powers[factor][:n]
+
+
 class Sums:
-    """Hashes of any runs of words of one text."""
+    """Hashes of any runs of words, wherever in ``words`` they stand."""
 
     def __init__(self, words: np.ndarray, which: int):
         n = len(words)
         mixed = (words ^ (words >> np.uint64(29 + which))) * np.uint64(_FACTORS[1 - which])
         with np.errstate(over="ignore"):
-            up = np.cumprod(np.full(n, _FACTORS[which], np.uint64)) * np.uint64(_INVERSES[which])
-            self.down = np.cumprod(np.full(n + 1, _INVERSES[which], np.uint64)) * np.uint64(_FACTORS[which])
-            self.upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * up)])
+            self.down = powers(_INVERSES[which], n + 1)
+            self.upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers(_FACTORS[which], n))])
 
     def runs(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """The hashes of the words from ``first`` up to before ``last``."""
@@ -62,8 +74,9 @@ class Sums:
             return h ^ (h >> np.uint64(31))
 
 
-def cuts(words: np.ndarray, reach: int) -> np.ndarray:
-    """Where units begin, as far as the words around decide it."""
+def cuts(words: np.ndarray, reach: int, low: np.ndarray | int = 0, high: np.ndarray | None = None) -> np.ndarray:
+    """Where units begin, as far as the words around decide it; ``low`` and ``high``
+    are for each word where its text begins and ends."""
     if len(words) < 2 * reach + 2:
         return np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
@@ -72,11 +85,25 @@ def cuts(words: np.ndarray, reach: int) -> np.ndarray:
     least = pairs[:len(pairs) - 2 * reach].copy()
     for k in range(1, 2 * reach + 1):
         np.minimum(least, pairs[k:len(pairs) - 2 * reach + k], out=least)
-    return np.flatnonzero(pairs[reach:len(pairs) - reach] == least) + reach
-
-
-def _chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, str | None]]:
-    yield from enumerate(batch.column(column).to_pylist())
+    at = np.flatnonzero(pairs[reach:len(pairs) - reach] == least) + reach
+    if high is not None:
+        at = at[(at - reach >= low[at]) & (at + reach + 1 < high[at])]
+    return at
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[list[bytes]]]]:
+    """Rows of a batch and their words, about ``BYTES_AT_ONCE`` of text at a time."""
+    texts, rows, words, held = batch.column("text"), [], [], 0
+    for i, text in enumerate(texts):
+        text = (text.as_py() or "").encode()
+        rows.append(i)
+        words.append(text.lower().split())
+        held += len(text)
+        if held > BYTES_AT_ONCE:
+            yield rows, words
+            rows, words, held = [], [], 0
+    if rows:
+        yield rows, words
 
 
 def units(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
@@ -85,52 +112,64 @@ def units(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
     (one start more than units)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, n, digests, hashes, starts = [], [], [], [], []
-            for i, text in _chunks(batch, "text"):
-                words = (text or "").encode().lower().split()
-                if len(words) < min_words:
+            for rows, words in _chunks(batch):
+                some = [(i, w) for i, w in zip(rows, words) if len(w) >= min_words]
+                if not some:
                     continue
-                each = word_hashes(words)
-                begin = cuts(each, reach)
-                at.append(i)
-                n.append(len(words))
-                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
-                starts.append(begin.astype(np.int32))
-                hashes.append(Sums(each, 0).runs(begin[:-1], begin[1:]).view(np.int64) if len(begin) > 1
-                              else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("dkey").take(pa.array(at, pa.int64())), pa.array(n, pa.int32()),
-                 pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64())),
-                 pa.array(starts, pa.list_(pa.int32()))], names=["dkey", "n", "digest", "hashes", "starts"])
+                n = np.array([len(w) for _, w in some])
+                stop = np.cumsum(n)
+                each = word_hashes([x for _, w in some for x in w])
+                begin = cuts(each, reach, np.repeat(stop - n, n), np.repeat(stop, n))
+                owner = np.searchsorted(stop, begin, side="right")
+                count = np.bincount(owner, minlength=len(n))
+                # A unit goes from one cut of a text to its next.
+                inner = np.flatnonzero(owner[1:] == owner[:-1])
+                hashes = Sums(each, 0).runs(begin[inner], begin[inner + 1]).view(np.int64)
+                lists = lambda sizes, flat: pa.ListArray.from_arrays(
+                    pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("dkey").take(pa.array([i for i, _ in some], pa.int64())), pa.array(n, pa.int32()),
+                     pa.array([hashlib.blake2b(b" ".join(w), digest_size=16).digest() for _, w in some], pa.binary()),
+                     lists(np.maximum(count - 1, 0), hashes),
+                     lists(count, (begin - (stop - n)[owner]).astype(np.int32))],
+                    names=["dkey", "n", "digest", "hashes", "starts"])
 
     return docs.select(F.xxhash64("doc_id", "text").alias("dkey"), "text").mapInArrow(
         run, "dkey long, n int, digest binary, hashes array<long>, starts array<int>")
 
 
 def windows(texts: DataFrame, min_words: int) -> DataFrame:
-    """(a, b, id, at): the windows of each text (id, text, spots) that contain one of
-    its ``spots`` (first word, word after the last) whole."""
+    """(w, b, id, at): two hashes of each window of the texts (id, text, spots) that
+    contains one of the ``spots`` (first word, word after the last) whole."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, spots = batch.column("id").to_pylist(), batch.column("spots").to_pylist()
-            for i, text in _chunks(batch, "text"):
-                words = text.encode().lower().split()
-                span = np.array([(s["at"], s["stop"]) for s in spots[i]], np.int64)
-                low = np.maximum(span[:, 1] - min_words, 0)
-                high = np.minimum(span[:, 0], len(words) - min_words)
-                marks = np.zeros(len(words) + 2, np.int64)
+            ids, spots = batch.column("id").to_numpy(), batch.column("spots")
+            for rows, words in _chunks(batch):
+                n = np.array([len(w) for w in words])
+                base = np.cumsum(n) - n
+                part = spots.slice(rows[0], len(rows))
+                count = np.diff(part.offsets.to_numpy())
+                flat = part.flatten()
+                first, stop = (flat.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+                owner = np.repeat(np.arange(len(rows)), count)
+                low = np.maximum(stop - min_words, 0)
+                high = np.minimum(first, n[owner] - min_words)
                 ok = low <= high
-                np.add.at(marks, low[ok], 1)
-                np.add.at(marks, high[ok] + 1, -1)
+                marks = np.zeros(int(n.sum()) + 2, np.int64)
+                np.add.at(marks, (base[owner] + low)[ok], 1)
+                np.add.at(marks, (base[owner] + high + 1)[ok], -1)
                 at = np.flatnonzero(np.cumsum(marks) > 0)
-                if len(at):
-                    each = word_hashes(words)
-                    a, b = (Sums(each, k).runs(at, at + min_words).view(np.int64) for k in (0, 1))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(a), pa.array(b), pa.array(np.full(len(at), ids[i])), pa.array(at.astype(np.int32))],
-                        names=["a", "b", "id", "at"])
+                if not len(at):
+                    continue
+                each = word_hashes([x for w in words for x in w])
+                w, b = (Sums(each, k).runs(at, at + min_words).view(np.int64) for k in (0, 1))
+                mine = np.searchsorted(base, at, side="right") - 1
+                # texts without words share their place with the next one, which is meant
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(w), pa.array(b), pa.array(ids[rows[0]:rows[-1] + 1][mine]),
+                     pa.array((at - base[mine]).astype(np.int32))], names=["w", "b", "id", "at"])
 
-    return texts.select("id", "text", "spots").mapInArrow(run, "a long, b long, id long, at int")
+    return texts.select("id", "text", "spots").mapInArrow(run, "w long, b long, id long, at int")
 
 
 def _joined_runs(found: DataFrame, min_words: int) -> DataFrame:
@@ -183,9 +222,12 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, reach: int = 4) -> DataF
         met = F.broadcast(met)
     one = docs.select(F.xxhash64("doc_id", "text").alias("dkey"), "text").join(met, F.col("dkey") == F.col("low"))
     # A document that is there twice gives its windows twice; the aggregates below take them once.
-    found = stored(windows(one, min_words).withColumn("w", F.struct("a", "b")), "windows")
-    twice = stored(found.groupBy("w").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("c"))
-                   .where("x <> y").select("w", "x", "c"), "shared")
+    found = stored(windows(one, min_words), "windows")
+    # The second hash does not travel as a key: where one value of the first has two
+    # of the second, it is no match.
+    twice = stored(found.groupBy("w").agg(
+        F.min("id").alias("x"), F.max("id").alias("y"), F.min("b").alias("b1"), F.max("b").alias("b2"),
+        F.count(F.lit(1)).alias("c")).where("x <> y AND b1 = b2").select("w", "x", "c"), "shared")
     often = F.col("c") * HOT_SHARE * 64 > found.count()
     places = looked_up(found.select("w", "id", "at"), twice, "w", often).groupBy("id").agg(F.collect_set(
         F.struct("at", (F.col("id") != F.col("x")).alias("later"))).alias("ats"))

@@ -240,7 +240,7 @@ def near_links(banded: DataFrame, lines: DataFrame, limit: float = 0.8, block: i
     return ordered.mapInArrow(search, "u long, v long")
 
 
-def repeated_paragraphs(docs: DataFrame, limit: float = 0.8, rows: int = 4, recall: float = 0.999) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, limit: float = 0.8, rows: int = 3, recall: float = 0.999) -> DataFrame:
     """Every paragraph with words: doc_id, dkey, pos, words, cluster, repeated
     (another document holds one of its cluster), first_doc_id, removed (it is not
     the cluster's first occurrence)."""
