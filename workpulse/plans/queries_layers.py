@@ -183,12 +183,13 @@ def _schemas(spark, prefix: str) -> None:
 
 
 @register("managed_tables", """
-SELECT * FROM (VALUES
+SELECT table_name, column_name, data_type, CASE WHEN table_name = 'silver.employee'
+  THEN (SELECT count(*) FROM b_employee) ELSE (SELECT count(*) FROM t_silver) END AS table_rows
+FROM (VALUES
   ('silver.employee', 'client_employee_id', 'string'), ('silver.employee', 'hire_date', 'date'),
   ('silver.employee', 'tenure_years', 'double'), ('silver.employee', 'active_status', 'boolean'),
   ('silver.timesheet', 'timesheet_id', 'string'), ('silver.timesheet', 'punch_apply_date', 'date'),
-  ('silver.timesheet', 'is_overtime', 'boolean')) AS c(table_name, column_name, data_type),
-  (SELECT (SELECT count(*) FROM b_employee) AS employees, (SELECT count(*) FROM t_silver) AS punches)""")
+  ('silver.timesheet', 'is_overtime', 'boolean')) AS c(table_name, column_name, data_type)""")
 def managed_tables(spark, sf):
     """SNK4/CAT1/SRC4: schemas and managed tables made, one replaced by another
     schema, then described and read through the catalog by qualified name."""
@@ -196,15 +197,15 @@ def managed_tables(spark, sf):
     _schemas(spark, prefix)
     layers = pipeline.Layers(spark, None, prefix)
     layers.put("silver", "employee", B.master_ids(spark, sf))
-    emp = layers.put("silver", "employee", B.employee(spark, sf).select(
-        "client_employee_id", "hire_date", "tenure_years", "active_status"))
-    ts = layers.put("silver", "timesheet", B.timesheet(spark, sf).select(
-        "timesheet_id", "punch_apply_date", "is_overtime"))
-    found = contract.managed_columns(spark, [layers.name("silver", t) for t in ("employee", "timesheet", "absent")])
-    sizes = emp.select(F.lit(1).alias("e")).union(ts.select(F.lit(0))).agg(
-        F.sum("e").alias("employees"), F.sum(1 - F.col("e")).alias("punches"), F.lit(1).alias("j"))
-    return found.withColumns({"table_name": F.replace("table_name", F.lit(prefix), F.lit("")), "j": F.lit(1)}).join(
-        sizes, "j").drop("j")
+    tables = {"silver.employee": layers.put("silver", "employee", B.employee(spark, sf).select(
+                  "client_employee_id", "hire_date", "tenure_years", "active_status")),
+              "silver.timesheet": layers.put("silver", "timesheet", B.timesheet(spark, sf).select(
+                  "timesheet_id", "punch_apply_date", "is_overtime"))}
+    found = contract.managed_columns(spark, [prefix + t for t in (*tables, "silver.absent")])
+    found = found.withColumn("table_name", F.replace("table_name", F.lit(prefix), F.lit("")))
+    marks = [df.select(F.lit(t).alias("t")) for t, df in tables.items()]
+    sizes = marks[0].union(marks[1]).groupBy("t").agg(F.count(F.lit(1)).alias("table_rows"))
+    return found.join(sizes, F.col("table_name") == F.col("t")).drop("t")
 
 
 #: The one table that the availability query leaves out.
@@ -256,18 +257,24 @@ def contract_columns(spark, sf):
 
 
 @register("absent_columns", """
-SELECT c AS column_name, c NOT IN ('client_employee_id', 'hire_date', 'term_date', 'first_name') AS absent,
-  (SELECT count(*) FROM e_raw) AS employees
-FROM (VALUES ('client_employee_id'), ('hire_date'), ('term_date'), ('first_name'), ('recent_hire_date'), ('dob')) v(c)""")
+SELECT 'client_employee_id' AS column_name, FALSE AS absent, count(client_employee_id) AS filled FROM e_raw
+UNION ALL SELECT 'hire_date', FALSE, count(hire_date) FROM e_raw
+UNION ALL SELECT 'term_date', FALSE, count(term_date) FROM e_raw
+UNION ALL SELECT 'first_name', FALSE, count(first_name) FROM e_raw
+UNION ALL SELECT 'middle_name', FALSE, 0
+UNION ALL SELECT 'recent_hire_date', TRUE, 0 UNION ALL SELECT 'dob', TRUE, 0""")
 def absent_columns(spark, sf):
     """PRJ2/SRC6: blank-to-null on an explicit list, with a record per listed
-    column that says whether the table has it."""
-    asked = ["client_employee_id", "hire_date", "term_date", "first_name", "recent_hire_date", "dob"]
+    column that says whether the table has it and how many values it holds."""
+    asked = ["client_employee_id", "hire_date", "term_date", "first_name", "middle_name", "recent_hire_date", "dob"]
     raw = clean.blank_to_null(B.employee_raw(spark, sf), asked)
     missing = clean.missing_columns(raw, asked)
-    records = io.frame_from_records(spark, [(c, c in missing, 1) for c in asked],
-                                    "column_name string, absent boolean, j int")
-    return records.join(raw.agg(F.count(F.lit(1)).alias("employees"), F.lit(1).alias("j")), "j").drop("j")
+    records = io.frame_from_records(spark, [(c, c in missing) for c in asked], "column_name string, absent boolean")
+    there = [c for c in asked if c not in missing]
+    filled = clean.all_null_columns(raw, there).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).alias("n")) for c in there])).alias("x")).select("x.*")
+    return records.join(filled, F.col("column_name") == F.col("c"), "left").select(
+        "column_name", "absent", F.coalesce("n", F.lit(0)).cast("long").alias("filled"))
 
 
 # ----------------------------------------------------------------------------- from extracts to verdict
