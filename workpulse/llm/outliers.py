@@ -118,13 +118,12 @@ def _wanted(vectors: DataFrame, min_rows: int) -> DataFrame:
     """(w_lang, w_source, levels): at which levels the vectors of a language and
     source are fitted.  A group of ``min_rows`` rows judges its own; a language is
     fitted only where a group of it is smaller, all rows only where a language is."""
-    groups = vectors.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    groups = stored(vectors.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")), "groups")
     langs = groups.groupBy(F.col("lang").alias("l_lang")).agg(
         F.sum("n").alias("l_n"), F.max((F.col("n") < min_rows).cast("int")).alias("small"))
-    some = langs.agg(F.max(F.when(F.col("l_n") < min_rows, 1).otherwise(0)).alias("all_small"), F.lit(1).alias("one"))
-    langs = langs.withColumn("one", F.lit(1)).join(some, "one")
+    all_small = not langs.where(f"l_n < {min_rows}").isEmpty()
     met = groups.join(langs, F.col("lang").eqNullSafe(F.col("l_lang")))
-    levels = F.array(F.col("n") >= min_rows, (F.col("small") == 1) & (F.col("l_n") >= min_rows), F.col("all_small") == 1)
+    levels = F.array(F.col("n") >= min_rows, (F.col("small") == 1) & (F.col("l_n") >= min_rows), F.lit(all_small))
     return met.select(F.col("lang").alias("w_lang"), F.col("source").alias("w_source"), levels.alias("levels"))
 
 
