@@ -2,7 +2,14 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; all but the last return the columns of documents.  ``run`` writes each
-stage's result as Parquet to the shared folder and reads it for the next.
+stage's result as Parquet to the shared folder, reads it for the next and deletes
+what the stage has left there.
+
+Defined cases: a null text has no language and goes in the first stage, as does an
+empty one or one without a letter; a null id, language or source stays (a null
+source is a source of its own); equal rows are documents each until near dedup
+leaves one of them; very long texts pass whole; an empty table gives no rows; extra
+columns are carried through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -11,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workpulse.llm import bpe, langid, line_dedup, mixing, simhash, texts
+from workpulse.llm import bpe, langid, line_dedup, mixing, scratch, simhash, texts
 from workpulse.llm.scratch import stored
 
 
@@ -33,7 +40,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights; a document appears as often as the mix takes it."""
+    """Sources at their target weights, by shard in random order; a document appears,
+    whole, as often as the mix takes it."""
     return mixing.mixed_documents(docs)
 
 
@@ -56,7 +64,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, start = spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch.mark()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        scratch.release(spark, since=start, keep=1)
     return docs.select(*[F.col(c) for c in docs.columns])

@@ -36,12 +36,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables that ``stored`` has written; results that still read
-    them must have been written first.  Returns how many were deleted."""
+def mark() -> int:
+    """The place in the list of stored tables, for ``release``."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the tables that ``stored`` has written after ``since`` (a ``mark``), but
+    for the last ``keep``; results that still read them must have been written
+    first.  Returns how many were deleted."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    done = 0
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop()).getParent()
-        done += bool(path.getFileSystem(conf).delete(path, True))
+    done, gone = 0, _written[since:len(_written) - keep]
+    del _written[since:len(_written) - keep]
+    for path in gone:
+        folder = jvm.org.apache.hadoop.fs.Path(path).getParent()
+        done += bool(folder.getFileSystem(conf).delete(folder, True))
     return done
