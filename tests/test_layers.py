@@ -152,8 +152,10 @@ def test_hard_gates_stop_by_default(spark, tmp_path):
 def test_run_keeps_every_line_and_pins_the_verdict(spark, tmp_path):
     n_lines, n_emp = write_inputs(spark, tmp_path, odd_dates=True)
     root = str(tmp_path / "lake")
+    zone = spark.conf.get("spark.sql.session.timeZone")
     for _ in range(2):                                  # the second run replaces every table
         out = run(spark, tmp_path, root=root, strict=False)
+    assert spark.conf.get("spark.sql.session.timeZone") == zone
     counts = {r.metric: r.value for r in out["layers"].layer_counts().collect()}
     assert counts["bronze.timesheet.rows"] == n_lines
     bad = io.load(spark, root, "silver", "timesheet_quarantine")

@@ -225,11 +225,23 @@ def run(spark, employee_paths, timesheet_paths, root: str | None, as_of: dt.date
     ``strict=False``.  The verdict of the final report raises only with
     ``strict=True``.  Returns the table paths, the ids of failing gates, the verdict
     and the layers."""
+    # The times of extracts carry no zone and surrogate ids hash their text: everything
+    # is written under one zone, and the caller's is put back.
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        return _run(spark, employee_paths, timesheet_paths, root, as_of, punch_as_of or as_of, grace_minutes, batch_id,
+                    strict, timesheet_partition_by, null_key_policy, expected_employees, prefix, employee_columns,
+                    timesheet_columns)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def _run(spark, employee_paths, timesheet_paths, root, as_of, punch_as_of, grace_minutes, batch_id, strict,
+         timesheet_partition_by, null_key_policy, expected_employees, prefix, employee_columns, timesheet_columns) -> dict:
     from workpulse.operators import dq, quarantine
     from workpulse.plans import contract, dq_suite, gates
     from workpulse.sources import extracts, io
-    # surrogate ids hash the JSON text of timestamps, rendered in the session zone
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     batch_id = batch_id or io.new_batch_id()
     layers = Layers(spark, root, prefix)
 
@@ -261,6 +273,6 @@ def run(spark, employee_paths, timesheet_paths, root: str | None, as_of: dt.date
     checks += [dq.check_counted(f"DQ_CNT_{t.replace('.', '_')}", f"{t} row count", f"{t}.rows", low=None)
                for t in contract.TABLES]
     report = layers.put("gold", "data_quality_report", dq_suite.run_suite(
-        spark, frames, as_of, punch_as_of or as_of, grace_minutes=grace_minutes, extra=tuple(checks)))
+        spark, frames, as_of, punch_as_of, grace_minutes=grace_minutes, extra=tuple(checks)))
     gate = dq.enforce_gate(report, strict=bool(strict))
     return {"paths": layers.paths, "gate": gate, "gates_failed": failing, "batch_id": batch_id, "layers": layers}
