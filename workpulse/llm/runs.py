@@ -5,7 +5,7 @@ is the least of the ``reach`` pairs before and after it, so equal runs of words
 cut alike whatever stands around them and wherever lines end.  Units held by two
 different texts are candidates.  Around them the match is extended word by word,
 exactly: every window of ``min_words`` words that contains a candidate unit is
-known by two 64-bit hashes, and a window of two texts is a run of both.  Windows that
+known by hashes of 96 bits, and a window of two texts is a run of both.  Windows that
 overlap are one run.  A shared run of ``min_words`` words without one whole unit
 inside is missed: one in 10,000 with ``reach`` 4.
 
@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from workpulse.llm import scratch
 from workpulse.llm.minhash import HOT_SHARE, SENT_ROWS, looked_up
 from workpulse.llm.scratch import stored
 from workpulse.llm.simhash import xxh64_spans
@@ -162,14 +163,14 @@ def windows(texts: DataFrame, min_words: int) -> DataFrame:
                 if not len(at):
                     continue
                 each = word_hashes([x for w in words for x in w])
-                w, b = (Sums(each, k).runs(at, at + min_words).view(np.int64) for k in (0, 1))
+                w, b = (Sums(each, k).runs(at, at + min_words) for k in (0, 1))
                 mine = np.searchsorted(base, at, side="right") - 1
                 # texts without words share their place with the next one, which is meant
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(w), pa.array(b), pa.array(ids[rows[0]:rows[-1] + 1][mine]),
+                    [pa.array(w.view(np.int64)), pa.array((b >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[rows[0]:rows[-1] + 1][mine]),
                      pa.array((at - base[mine]).astype(np.int32))], names=["w", "b", "id", "at"])
 
-    return texts.select("id", "text", "spots").mapInArrow(run, "w long, b long, id long, at int")
+    return texts.select("id", "text", "spots").mapInArrow(run, "w long, b int, id long, at int")
 
 
 def _joined_runs(found: DataFrame, min_words: int) -> DataFrame:
@@ -204,12 +205,15 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, reach: int = 4) -> DataF
     """(r_dkey, runs, n_run_words, n_later_words) of every document with a run of
     ``min_words`` words or more that another document holds: the runs by first and
     last word, the words in them, and those that another text holds first."""
-    every = stored(units(docs, min_words, reach), "units")
-    texts = stored(every.groupBy("digest").agg(
+    spark = docs.sparkSession
+    cut = stored(units(docs, min_words, reach), "units")
+    every = stored(cut.select(F.col("dkey").alias("r_dkey"), "digest").distinct(), "texts_of")
+    texts = stored(cut.groupBy("digest").agg(
         F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.max("n").alias("n"), F.first("hashes").alias("hashes"),
         F.first("starts").alias("starts")).withColumn("id", F.monotonically_increasing_id()), "texts")
     spot = F.transform("hashes", lambda h, i: F.struct(
         h.alias("h"), F.element_at("starts", i + 1).alias("at"), F.element_at("starts", i + 2).alias("stop")))
+    scratch.drop(spark, cut)
     placed = texts.select("id", F.explode(spot).alias("s")).select("id", "s.*")
     held = stored(placed.groupBy("h").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("c"))
                   .where("x <> y").select("h", "c"), "held")
@@ -232,6 +236,8 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, reach: int = 4) -> DataF
     places = looked_up(found.select("w", "id", "at"), twice, "w", often).groupBy("id").agg(F.collect_set(
         F.struct("at", (F.col("id") != F.col("x")).alias("later"))).alias("ats"))
     runs = stored(_joined_runs(places, min_words), "runs")
+    for done in (found, twice, held):
+        scratch.drop(spark, done)
     whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("n") - 1).alias("last")))
     copied = F.col("low") != F.col("high")  # the whole text is in several documents
     made = stored(texts.select(F.col("digest").alias("t_digest"), "id", "low", "high", "n").join(
@@ -239,9 +245,8 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, reach: int = 4) -> DataF
         copied | F.col("runs").isNotNull()).select(
         "t_digest", "low", F.when(copied, whole).otherwise(F.col("runs")).alias("runs"), copied.alias("copied"), "n",
         F.coalesce("n_later", F.lit(0)).alias("n_later")), "found")
-    rows = every.select(F.col("dkey").alias("r_dkey"), "digest").distinct()
     words = F.aggregate("runs", F.lit(0).cast("long"), lambda s, r: s + r["last"] - r["first"] + 1)
-    return rows.join(made, F.col("digest") == F.col("t_digest")).select(
+    return every.join(made, F.col("digest") == F.col("t_digest")).select(
         "r_dkey", "runs", words.alias("n_run_words"),
         F.when(F.col("copied") & (F.col("r_dkey") != F.col("low")), F.col("n")).otherwise(F.col("n_later"))
         .cast("long").alias("n_later_words"))

@@ -41,6 +41,17 @@ def mark() -> int:
     return len(_written)
 
 
+def drop(spark: SparkSession, table: DataFrame) -> None:
+    """Delete one table that ``stored`` returned; nothing may read it any more."""
+    for file in table.inputFiles()[:1]:
+        for at, path in enumerate(_written):
+            if f"/{path.rsplit('/', 2)[1]}/" in file:  # its own folder
+                fs_path = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+                fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, True)
+                del _written[at]
+                return
+
+
 def release(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
     """Delete the tables that ``stored`` has written after ``since`` (a ``mark``), but
     for the last ``keep``; results that still read them must have been written

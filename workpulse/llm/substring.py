@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from workpulse.llm.components import connected_components
 from workpulse.llm.runs import repeated_runs
+from workpulse.llm import scratch
 from workpulse.llm.scratch import stored
 from workpulse.llm.simhash import xxh64_spans
 
@@ -245,10 +246,13 @@ def repeated_paragraphs(docs: DataFrame, limit: float = 0.8, rows: int = 3, reca
     (another document holds one of its cluster), first_doc_id, removed (it is not
     the cluster's first occurrence)."""
     bands = tuned_bands(limit, rows, recall)
-    every = stored(paragraphs(docs, bands, rows), "paragraphs")
-    banded = every.where("keys IS NOT NULL").groupBy("phash").agg(F.first("keys").alias("keys"))
+    spark, start = docs.sparkSession, scratch.mark()
+    made = stored(paragraphs(docs, bands, rows), "paragraphs")
+    banded = made.where("keys IS NOT NULL").groupBy("phash").agg(F.first("keys").alias("keys"))
     links = near_links(banded, _class_sets(docs), limit)
-    parts = connected_components(links).select(F.col("node").alias("c_node"), "component")
+    parts = stored(connected_components(links).select(F.col("node").alias("c_node"), "component"), "parts")
+    every = stored(made.drop("keys"), "places")
+    scratch.release(spark, since=start, keep=2)  # bands, sets and rounds are as large as the texts
     place = F.struct("doc_id", "dkey", "pos")
     # One row per class first: a hot class has one row, however many paragraphs it has.
     classes = every.groupBy("phash").agg(F.min(place).alias("low"), F.max(place).alias("high"))
@@ -260,7 +264,7 @@ def repeated_paragraphs(docs: DataFrame, limit: float = 0.8, rows: int = 3, reca
         ~(F.col("low.doc_id").eqNullSafe(F.col("high.doc_id")) & (F.col("low.dkey") == F.col("high.dkey"))))
     shared = stored(classes.select("c_phash", "cluster").join(
         clusters, F.col("cluster") == F.col("k_cluster")).select("c_phash", "cluster", "low"), "shared")
-    made = every.drop("keys").join(shared, F.col("phash") == F.col("c_phash"), "left")
+    made = every.join(shared, F.col("phash") == F.col("c_phash"), "left")
     return made.select("doc_id", "dkey", "pos", "words", "cluster", F.col("cluster").isNotNull().alias("repeated"),
                        F.col("low.doc_id").alias("first_doc_id"),
                        (F.col("cluster").isNotNull() & ~place.eqNullSafe(F.col("low"))).alias("removed"))
