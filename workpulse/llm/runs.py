@@ -10,8 +10,9 @@ overlap are one run.  A shared run of ``min_words`` words without one whole unit
 inside is missed: one in 10,000 with ``reach`` 4.
 
 Texts of the same words are one text here, so a group of copies is searched once.
-Units and windows are counted before they meet again, and keys that many texts hold
-go by broadcast of bounded size (``minhash.looked_up``).
+Units and windows are counted before they meet again; the others are sifted out by a
+bitmap (``sieve``) before the join, and keys that many texts hold go by broadcast of
+bounded size (``minhash.looked_up``).
 
 Defined cases: as in ``substring``; a text of fewer than ``min_words`` words has no
 run; a run that only one text repeats within itself is none; a null id is a document
@@ -25,12 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from workpulse.llm import scratch
 from workpulse.llm.minhash import HOT_SHARE, SENT_ROWS, looked_up
 from workpulse.llm.scratch import stored
+from workpulse.llm.sieve import sieve, sifted
 from workpulse.llm.simhash import xxh64_spans
 
 #: Odd factors of two polynomial hashes over word hashes, and their inverses modulo 2^64.
@@ -94,9 +97,9 @@ def cuts(words: np.ndarray, reach: int, low: np.ndarray | int = 0, high: np.ndar
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[list[bytes]]]]:
     """Rows of a batch and their words, about ``BYTES_AT_ONCE`` of text at a time."""
-    texts, rows, words, held = batch.column("text"), [], [], 0
+    texts, rows, words, held = batch.column("text").cast(pa.binary()), [], [], 0
     for i, text in enumerate(texts):
-        text = (text.as_py() or "").encode()
+        text = text.as_py() or b""
         rows.append(i)
         words.append(text.lower().split())
         held += len(text)
@@ -139,6 +142,22 @@ def units(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
         run, "dkey long, n int, digest binary, hashes array<long>, starts array<int>")
 
 
+def placed(texts: DataFrame, by: Broadcast) -> DataFrame:
+    """(id, h, at, stop): the units of the texts (id, hashes, starts) that may be in the bitmap."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (n, flat), (m, starts) = ((np.diff(c.offsets.to_numpy()), c.flatten().to_numpy())
+                                      for c in (batch.column("hashes"), batch.column("starts")))
+            hits = np.flatnonzero(by.value.holds(flat))
+            owner = np.searchsorted(np.cumsum(n), hits, side="right")
+            at = (np.cumsum(m) - m)[owner] + hits - (np.cumsum(n) - n)[owner]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(owner, pa.int64())), pa.array(flat[hits]), pa.array(starts[at]),
+                 pa.array(starts[np.minimum(at + 1, len(starts) - 1)])], names=["id", "h", "at", "stop"])
+
+    return texts.select("id", "hashes", "starts").mapInArrow(run, "id long, h long, at int, stop int")
+
+
 def windows(texts: DataFrame, min_words: int) -> DataFrame:
     """(w, b, id, at): two hashes of each window of the texts (id, text, spots) that
     contains one of the ``spots`` (first word, word after the last) whole."""
@@ -180,23 +199,27 @@ def _joined_runs(found: DataFrame, min_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            runs, later = [], []
-            for ats in batch.column("ats").to_pylist():
-                at = np.array([x["at"] for x in ats])
-                order = np.argsort(at, kind="stable")
-                at = at[order]
-                first = np.flatnonzero(np.r_[True, at[1:] > at[:-1] + min_words])
-                last = np.r_[first[1:] - 1, len(at) - 1]
-                runs.append([{"first": int(x), "last": int(y) + min_words - 1} for x, y in zip(at[first], at[last])])
-                covered = np.zeros(int(at[-1]) + min_words + 1, np.int64)
-                for x, y in zip(at, np.array([x["later"] for x in ats])[order]):
-                    if y:
-                        covered[x] += 1
-                        covered[x + min_words] -= 1
-                later.append(int((np.cumsum(covered) > 0).sum()))
+            ats = batch.column("ats")
+            if not len(ats):
+                continue
+            flat, owner = ats.flatten(), np.repeat(np.arange(len(ats)), np.diff(ats.offsets.to_numpy()))
+            at = flat.field("at").to_numpy().astype(np.int64)
+            order = np.lexsort((at, owner))
+            at, owner = at[order], owner[order]
+            fresh = np.r_[True, (owner[1:] != owner[:-1]) | (at[1:] > at[:-1] + min_words)]
+            first = np.flatnonzero(fresh)
+            last = np.r_[first[1:] - 1, len(at) - 1]
+            count = np.bincount(owner[first], minlength=len(ats))
+            runs = pa.StructArray.from_arrays([pa.array(at[first].astype(np.int32)),
+                                               pa.array((at[last] + min_words - 1).astype(np.int32))], ["first", "last"])
+            # A window covers its words up to where the next later one of its text begins.
+            later = np.flatnonzero(flat.field("later").to_numpy(zero_copy_only=False)[order])
+            upto, mine = at[later], owner[later]
+            words = np.full(len(later), min_words)
+            words[:-1] = np.where(mine[1:] == mine[:-1], np.minimum(upto[1:] - upto[:-1], min_words), min_words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(runs, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-                 pa.array(later, pa.int64())], names=["id", "runs", "n_later"])
+                [batch.column("id"), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)], pa.int32()), runs),
+                 pa.array(np.bincount(mine, words, len(ats)).astype(np.int64))], names=["id", "runs", "n_later"])
 
     return found.mapInArrow(run, f"id long, runs {kind}, n_later long")
 
@@ -211,20 +234,23 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, reach: int = 4) -> DataF
     texts = stored(cut.groupBy("digest").agg(
         F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.max("n").alias("n"), F.first("hashes").alias("hashes"),
         F.first("starts").alias("starts")).withColumn("id", F.monotonically_increasing_id()), "texts")
-    spot = F.transform("hashes", lambda h, i: F.struct(
-        h.alias("h"), F.element_at("starts", i + 1).alias("at"), F.element_at("starts", i + 2).alias("stop")))
     scratch.drop(spark, cut)
-    placed = texts.select("id", F.explode(spot).alias("s")).select("id", "s.*")
-    held = stored(placed.groupBy("h").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("c"))
+    held = stored(texts.select("id", F.explode("hashes").alias("h")).groupBy("h").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("c"))
                   .where("x <> y").select("h", "c"), "held")
     total = texts.agg(F.sum(F.size("hashes"))).first()[0] or 0
     often = F.col("c") * HOT_SHARE * 64 > total  # at most 64 * HOT_SHARE keys
-    met = looked_up(placed, held, "h", often).groupBy("id").agg(F.collect_list(F.struct("at", "stop")).alias("spots"))
+    some = stored(placed(texts, sieve(held, "h")), "places")
+    met = looked_up(some, held, "h", often).groupBy("id").agg(F.collect_list(F.struct("at", "stop")).alias("spots"))
     met = stored(met.join(texts.select(F.col("id").alias("t_id"), "low"), F.col("id") == F.col("t_id")).select(
         "id", "low", "spots"), "spots")
+    for done in (held, some):
+        scratch.drop(spark, done)
+    one = docs.select(F.xxhash64("doc_id", "text").alias("dkey"), "text")
     if (met.agg(F.sum(F.size("spots"))).first()[0] or 0) <= 4 * SENT_ROWS:
         met = F.broadcast(met)
-    one = docs.select(F.xxhash64("doc_id", "text").alias("dkey"), "text").join(met, F.col("dkey") == F.col("low"))
+    else:
+        one = sifted(one, "dkey", sieve(met, "low"))  # texts without spots need not travel
+    one = one.join(met, F.col("dkey") == F.col("low"))
     # A document that is there twice gives its windows twice; the aggregates below take them once.
     found = stored(windows(one, min_words), "windows")
     # The second hash does not travel as a key: where one value of the first has two
@@ -233,10 +259,10 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, reach: int = 4) -> DataF
         F.min("id").alias("x"), F.max("id").alias("y"), F.min("b").alias("b1"), F.max("b").alias("b2"),
         F.count(F.lit(1)).alias("c")).where("x <> y AND b1 = b2").select("w", "x", "c"), "shared")
     often = F.col("c") * HOT_SHARE * 64 > found.count()
-    places = looked_up(found.select("w", "id", "at"), twice, "w", often).groupBy("id").agg(F.collect_set(
+    places = looked_up(sifted(found.select("w", "id", "at"), "w", sieve(twice, "w")), twice, "w", often).groupBy("id").agg(F.collect_set(
         F.struct("at", (F.col("id") != F.col("x")).alias("later"))).alias("ats"))
     runs = stored(_joined_runs(places, min_words), "runs")
-    for done in (found, twice, held):
+    for done in (found, twice):
         scratch.drop(spark, done)
     whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("n") - 1).alias("last")))
     copied = F.col("low") != F.col("high")  # the whole text is in several documents

@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ from workpulse.llm.components import connected_components
 from workpulse.llm.runs import repeated_runs
 from workpulse.llm import scratch
 from workpulse.llm.scratch import stored
+from workpulse.llm.sieve import sieve
 from workpulse.llm.simhash import xxh64_spans
 
 SHINGLE = 5
@@ -81,10 +83,14 @@ def signatures(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
     first = np.cumsum([0] + [len(s) for s in sets[:-1]])
     seeds = np.random.default_rng(5).integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
     keys = np.zeros((len(sets), bands), np.uint64)
+    flat = flat ^ (flat >> np.uint64(31))
+    mixed, high = np.empty_like(flat), np.empty_like(flat)
     with np.errstate(over="ignore"):
         for i, seed in enumerate(seeds):
-            mixed = (flat ^ (flat >> np.uint64(31))) * seed
-            low = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(32)), first)
+            np.multiply(flat, seed, out=mixed)
+            np.right_shift(mixed, np.uint64(32), out=high)
+            np.bitwise_xor(mixed, high, out=mixed)
+            low = np.minimum.reduceat(mixed, first)
             b = i // rows
             keys[:, b] = (keys[:, b] ^ low) * _PRIME
             keys[:, b] ^= keys[:, b] >> np.uint64(32)
@@ -101,21 +107,22 @@ def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 which, pos, words, phash, sets, owner, seen = [], [], [], [], [], [], set()
-                for i, text in enumerate(batch.column("text")):
-                    for p, line in enumerate((text.as_py() or "").encode().split(b"\n")):
-                        parts = line.lower().split()
+                for i, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
+                    for p, line in enumerate((text or b"").lower().split(b"\n")):
+                        parts = line.split()
                         if not parts:
                             continue
-                        h = xxhash.xxh64_intdigest(b" ".join(parts))
+                        joined = b" ".join(parts)
+                        h = xxhash.xxh64_intdigest(joined)
                         if len(parts) >= BANDED_WORDS and h not in seen:
                             seen.add(h)
                             owner.append(len(which))
-                            sets.append(b" ".join(parts))
+                            sets.append(joined)
                         which.append(i)
                         pos.append(p)
                         words.append(len(parts))
                         phash.append(h)
-                keys: list = [None] * len(which)
+                keys, some = np.zeros(0, np.int64), np.zeros(len(which), bool)
                 if sets:
                     data = b" ".join(sets)  # all words at once; runs do not cross paragraphs
                     ends = np.r_[np.flatnonzero(np.frombuffer(data, np.uint8) == 32), len(data)]
@@ -124,14 +131,15 @@ def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                     first = np.cumsum(n) - n
                     rolled = _rolled(each, SHINGLE)
                     inside = [rolled[a:a + k - SHINGLE + 1] for a, k in zip(first, n)]
-                    for o, row in zip(owner, signatures(inside, bands, rows)):
-                        keys[o] = row
+                    keys = signatures(inside, bands, rows).ravel()
+                    some[owner] = True
+                offsets = np.r_[0, np.cumsum(some * bands)]
                 take = pa.array(which, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(take), batch.column("dkey").take(take),
                      pa.array(pos, pa.int32()), pa.array(words, pa.int32()),
                      pa.array(np.array(phash, np.uint64).view(np.int64)),
-                     pa.array(keys, pa.list_(pa.int64()))],
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=np.r_[~some, False]), pa.array(keys))],
                     names=["doc_id", "dkey", "pos", "words", "phash", "keys"])
 
     source = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("dkey"), "text")
@@ -139,24 +147,39 @@ def paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
         run, f"doc_id {kind}, dkey long, pos int, words int, phash long, keys array<bigint>")
 
 
-def _class_sets(docs: DataFrame) -> DataFrame:
-    """(phash, line): the words of every banded paragraph, once a batch."""
+def _class_sets(docs: DataFrame, by: Broadcast) -> DataFrame:
+    """(phash, line): the words of every banded paragraph that may be in the bitmap, once a batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {}
-            for text in batch.column("text"):
-                for line in (text.as_py() or "").encode().split(b"\n"):
-                    parts = line.lower().split()
+            for text in batch.column("text").cast(pa.binary()):
+                for line in (text.as_py() or b"").lower().split(b"\n"):
+                    parts = line.split()
                     if len(parts) >= BANDED_WORDS:
                         joined = b" ".join(parts)
                         found[xxhash.xxh64_intdigest(joined)] = joined
+            phash, lines = np.array(list(found), np.uint64).view(np.int64), list(found.values())
+            hits = np.flatnonzero(by.value.holds(phash))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(list(found), np.uint64).view(np.int64)),
-                 pa.array([x.decode() for x in found.values()], pa.string())], names=["phash", "line"])
+                [pa.array(phash[hits]), pa.array([lines[i].decode() for i in hits], pa.string())], names=["phash", "line"])
 
     return docs.select("text").mapInArrow(run, "phash long, line string")
 
 
+def _band_keys(banded: DataFrame, by: Broadcast) -> DataFrame:
+    """(phash, key): the band keys of the classes (phash, keys) that may be in the bitmap."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("keys")
+            flat, ends = keys.flatten().to_numpy(), np.cumsum(np.diff(keys.offsets.to_numpy()))
+            hits = np.flatnonzero(by.value.holds(flat))
+            owner = np.searchsorted(ends, hits, side="right")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("phash").take(pa.array(owner, pa.int64())), pa.array(flat[hits])], names=["phash", "key"])
+
+    return banded.select("phash", "keys").mapInArrow(run, "phash long, key long")
+
+
 def _sets_of_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(phash, shingles): the shingle set of each class, in bytes."""
     for batch in batches:
@@ -192,25 +215,27 @@ def forest(ids: list[int], sets: list[np.ndarray], split: int, limit: float) ->
     return links
 
 
-def near_links(banded: DataFrame, lines: DataFrame, limit: float = 0.8, block: int = 256) -> DataFrame:
+def near_links(banded: DataFrame, docs: DataFrame, limit: float = 0.8, block: int = 256) -> DataFrame:
     """Links (u, v) between classes: ``banded`` (phash, keys) distinct classes
-    with their band keys, ``lines`` (phash, line) the classes' words."""
-    keyed = stored(banded.select("phash", F.posexplode("keys").alias("band", "key")), "banded")
-    sizes = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        F.col("band").alias("s_band"), F.col("key").alias("s_key"),
-        F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    met = stored(keyed.join(sizes, (F.col("band") == F.col("s_band")) & (F.col("key") == F.col("s_key")))
-                 .select("band", "key", "blocks", "phash"), "met")
-    wanted = met.select("phash").distinct()
+    with their band keys, ``docs`` (text) the texts with the classes' words.  Bands
+    have factors of their own, so a key is one band's; were it two's, the sets decide."""
+    banded = stored(banded.select("phash", "keys"), "banded")
+    sizes = stored(banded.select(F.explode("keys").alias("s_key")).groupBy("s_key").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "s_key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "sizes")
+    met = stored(_band_keys(banded, sieve(sizes, "s_key")).join(sizes, F.col("key") == F.col("s_key"))
+                 .select("key", "blocks", "phash"), "met")
+    wanted = stored(met.select("phash").distinct(), "wanted")
+    lines = _class_sets(docs, sieve(wanted, "phash"))
     sets = lines.join(wanted, "phash", "left_semi").groupBy("phash").agg(F.min("line").alias("line"))
     sets = stored(sets.mapInArrow(_sets_of_lines, "phash long, shingles binary"), "sets")
     own = F.pmod(F.xxhash64("phash"), F.col("blocks")).cast("int")
     dealt = (met.withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("band", "key", F.greatest("own", "other").alias("a"), F.least("own", "other").alias("b"),
+             .select("key", F.greatest("own", "other").alias("a"), F.least("own", "other").alias("b"),
                      (F.col("own") < F.col("other")).alias("later"), "phash")
              .join(sets, "phash"))
-    group = ["band", "key", "a", "b"]
+    group = ["key", "a", "b"]
     parts = max(1, int(banded.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = dealt.repartition(parts, *group).sortWithinPartitions(*group, "later", "phash")
 
@@ -249,7 +274,7 @@ def repeated_paragraphs(docs: DataFrame, limit: float = 0.8, rows: int = 3, reca
     spark, start = docs.sparkSession, scratch.mark()
     made = stored(paragraphs(docs, bands, rows), "paragraphs")
     banded = made.where("keys IS NOT NULL").groupBy("phash").agg(F.first("keys").alias("keys"))
-    links = near_links(banded, _class_sets(docs), limit)
+    links = near_links(banded, docs, limit)
     parts = stored(connected_components(links).select(F.col("node").alias("c_node"), "component"), "parts")
     every = stored(made.drop("keys"), "places")
     scratch.release(spark, since=start, keep=2)  # bands, sets and rounds are as large as the texts
